@@ -6,7 +6,7 @@ would ever be scored. The queries pass wider settings; the operators keep theirs
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,22 +63,26 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest(rows: DataFrame, column: str = "event_time") -> datetime:
     """The one time that stands for the present; a literal, so that scans are pruned."""
-    return rows.agg(F.max(column).cast("string").alias("m")).select(
-        F.col("m")
-    ).first()["m"]
+    micros = rows.agg(F.unix_micros(F.max(column)).alias("m")).first()["m"]
+    return datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=micros or 0)
 
 
 _stored: dict[tuple, str] = {}
 
 
-def stored_trades(spark: SparkSession, sf_dir: str, params: Params = SCALED) -> DataFrame:
-    """The enriched table, written once per application and read back with pruning."""
+def stored_path(spark: SparkSession, sf_dir: str, params: Params = SCALED) -> str:
+    """Folder of the enriched table, which is written once per application."""
     key = (spark.sparkContext.applicationId, sf_dir, params)
     if key not in _stored:
         path = fresh_path(utc(spark), "trades")
         write_trades(table_row(enrich(trades(spark, sf_dir), params)), path)
         _stored[key] = path
-    return read_trades(utc(spark), _stored[key])
+    return _stored[key]
+
+
+def stored_trades(spark: SparkSession, sf_dir: str, params: Params = SCALED) -> DataFrame:
+    """The enriched table as the feeds read it, with pruning by day and statistics."""
+    return read_trades(spark, stored_path(spark, sf_dir, params))
 
 
 def plain_times(df: DataFrame) -> DataFrame:
