@@ -12,7 +12,7 @@ DASH = "—"
 
 
 def _fixed(value: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f", _decimal(value, digits))
+    return _decimal(value, digits).cast("string")
 
 
 def _decimal(value: Column, digits: int) -> Column:

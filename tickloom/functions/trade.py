@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,22 +39,51 @@ def anomaly_flag(z: Column, params: Params) -> Column:
     return F.coalesce(F.abs(z) > params.z_score_threshold, F.lit(False))
 
 
+# Running sums of USD units and of their squares. A square may exceed 64 bits, so it is
+# kept as three products of the upper part h and the lower 20 bits l of the value:
+# q * q = (h*h << 40) + (h*l << 21) + l*l. Sums of 64-bit numbers are far cheaper in
+# window frames than wide decimals, and ANSI mode refuses to overflow silently: the
+# limit is about 2e11 dollars for one trade.
+SUM_LIMBS = {
+    "q": "q",
+    "hh": "(q >> 20) * (q >> 20)",
+    "hl": "(q >> 20) * (q & 1048575L)",
+    "ll": "(q & 1048575L) * (q & 1048575L)",
+}
+
+
 def usd_units(usd: Column) -> Column:
     """USD value as a whole number of 1/10000 dollars, so that sums are exact."""
-    return F.round(usd * USD_SCALE, 0).cast("decimal(18,0)")
+    return F.rint(usd * USD_SCALE).cast("bigint")
+
+
+def limb_sums(q: Column) -> dict[str, Column]:
+    """The aggregates of ``SUM_LIMBS`` over a column of USD units."""
+    high, low = F.shiftright(q, 20), q.bitwiseAND(F.lit(1048575))
+    products = {"q": q, "hh": high * high, "hl": high * low, "ll": low * low}
+    return {name: F.sum(value) for name, value in products.items()}
+
+
+def square_sum(sums: dict[str, Column]) -> Column:
+    wide = {x: sums[x].cast("decimal(19,0)") for x in ("hh", "hl", "ll")}
+    return wide["hh"] * F.lit(Decimal(1 << 40)) + wide["hl"] * F.lit(Decimal(1 << 21)) + wide["ll"]
+
 
+def mean_from_limbs(n: Column, sums: dict[str, Column]) -> Column:
+    return sums["q"].cast("double") / F.nullif(n, F.lit(0)) / USD_SCALE
 
-def mean_from_sums(n: Column, sx: Column) -> Column:
-    return sx.cast("double") / F.nullif(n, F.lit(0)) / USD_SCALE
 
+def stdev_from_limbs(n: Column, sums: dict[str, Column]) -> Column:
+    """Population deviation; the difference of large products is taken exactly.
 
-def stdev_from_sums(n: Column, sx: Column, sxx: Column) -> Column:
-    """Population deviation from exact sums; doubles only if the product overflows."""
+    Should a product not fit into 38 digits, doubles take over.
+    """
     count = F.nullif(n, F.lit(0)).cast("double")
-    exact = F.try_subtract(
-        F.try_multiply(n.cast("decimal(18,0)"), sxx), F.try_multiply(sx, sx)
+    sx, sxx = sums["q"].cast("decimal(19,0)"), square_sum(sums)
+    spread = F.try_subtract(
+        F.try_multiply(n.cast("decimal(19,0)"), sxx.cast("decimal(38,0)")), sx * sx
     ).cast("double") / (count * count)
     mean = sx.cast("double") / count
     rough = sxx.cast("double") / count - mean * mean
-    variance = F.greatest(F.coalesce(exact, rough), F.lit(0.0))
+    variance = F.greatest(F.coalesce(spread, rough), F.lit(0.0))
     return F.when(n > 0, F.sqrt(variance) / USD_SCALE)

@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.trade import (
-    mean_from_sums,
-    stdev_from_sums,
+    USD_SCALE,
+    limb_sums,
+    mean_from_limbs,
+    stdev_from_limbs,
     usd_units,
 )
 from tickloom.operators.stats import (
-    exact_moments,
-    last_state,
     symbol_summary,
+    symbol_windows,
     window_members,
     window_summary,
-    with_summary,
 )
 from tickloom.params import Params
 
@@ -59,27 +60,25 @@ def aligned_pairs(members: DataFrame, pair: tuple[str, str]) -> DataFrame:
     )
 
 
-def _wide(column: Column) -> Column:
-    return F.coalesce(F.sum(column).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+def _spread(n: Column, mixed: Column, a: Column, b: Column) -> Column:
+    """``n * sum(ab) - sum(a) * sum(b)``, exactly; doubles if a product does not fit."""
+    exact = F.try_subtract(F.try_multiply(n, mixed), F.try_multiply(a, b)).cast("double")
+    rough = [c.cast("double") for c in (n, mixed, a, b)]
+    return F.coalesce(exact, rough[0] * rough[1] - rough[2] * rough[3])
 
 
-def _product(a: str, b: str) -> Column:
-    return (F.col(a) * F.col(b)).cast("decimal(38,0)")
+def _product_sum(a: str, b: str) -> Column:
+    product = F.col(a).cast("decimal(19,0)") * F.col(b).cast("decimal(19,0)")
+    return F.coalesce(F.sum(product.cast("decimal(38,0)")), F.lit(Decimal(0)))
 
 
 def pearson(pairs: DataFrame) -> Column:
     """Correlation of ``x`` and ``y`` from exact sums; NULL without spread."""
-    n = F.count(F.lit(1)).cast("decimal(18,0)")
-    sx, sy = _wide(F.col("x")), _wide(F.col("y"))
-
-    def spread(s, other, mixed):
-        exact = F.try_subtract(F.try_multiply(n, mixed), F.try_multiply(s, other))
-        rough = n.cast("double") * mixed.cast("double") - s.cast("double") * other.cast("double")
-        return F.coalesce(exact.cast("double"), rough)
-
-    vx = spread(sx, sx, _wide(_product("x", "x")))
-    vy = spread(sy, sy, _wide(_product("y", "y")))
-    cov = spread(sx, sy, _wide(_product("x", "y")))
+    n = F.count(F.lit(1)).cast("decimal(19,0)")
+    sx, sy = (F.coalesce(F.sum(c), F.lit(0)).cast("decimal(19,0)") for c in ("x", "y"))
+    vx = _spread(n, _product_sum("x", "x"), sx, sx)
+    vy = _spread(n, _product_sum("y", "y"), sy, sy)
+    cov = _spread(n, _product_sum("x", "y"), sx, sy)
     return F.when((vx > 0) & (vy > 0), cov / F.nullif(F.sqrt(vx) * F.sqrt(vy), F.lit(0.0)))
 
 
@@ -87,11 +86,10 @@ def recent_z(value: str) -> Column:
     """Mean of the newest values against the mean and deviation of the older ones."""
     recent = F.when(F.col("pos") <= RECENT, F.col(value))
     older = F.when(F.col("pos") > RECENT, F.col(value))
-    n = F.count(older)
-    mean = mean_from_sums(n, _wide(older))
-    sd = stdev_from_sums(n, _wide(older), _wide((older * older).cast("decimal(38,0)")))
-    recent_mean = mean_from_sums(F.count(recent), _wide(recent))
-    return F.when(sd == 0, F.lit(0.0)).otherwise((recent_mean - mean) / F.nullif(sd, F.lit(0.0)))
+    n, sums = F.count(older), limb_sums(older)
+    sd = stdev_from_limbs(n, sums)
+    apart = F.avg(recent) / USD_SCALE - mean_from_limbs(n, sums)
+    return F.when(sd == 0, F.lit(0.0)).otherwise(apart / F.nullif(sd, F.lit(0.0)))
 
 
 def pair_figures(pairs: DataFrame) -> DataFrame:
@@ -120,16 +118,6 @@ def _pair_params(params: Params, pair: tuple[str, str]) -> Params:
     return params.with_(symbol_partitions=((pair[0], 0), (pair[1], 1)))
 
 
-def pair_windows(
-    trades: DataFrame, params: Params, pair: tuple[str, str]
-) -> tuple[DataFrame, DataFrame]:
-    """State and window content of the two symbols, each as of its own last trade."""
-    chosen = _pair_params(params, pair)
-    known = trades.where(F.col("symbol").isin(*pair))
-    state = last_state(known, chosen)
-    return state, window_members(known, state, chosen)
-
-
 def _side_by_side(summary: DataFrame, pair: tuple[str, str]) -> DataFrame:
     """One row with a struct per symbol and the two volume shares."""
     entry = F.struct(*SUMMARY_FIELDS)
@@ -163,12 +151,10 @@ def cross_asset_comparison(
 ) -> DataFrame:
     """Full comparison of two symbols from their trades, one row."""
     pair = pair or params.symbols[:2]
-    state, members = pair_windows(trades, params, pair)
-    moments = members.groupBy("symbol").agg(*exact_moments(F.col("usd_value")))
-    summary = (
-        with_summary(moments)
-        .join(state.select("symbol", "window_size", "warmed_up"), "symbol")
-        .withColumn("status", F.lit(None).cast("string"))
+    chosen = _pair_params(params, pair)
+    members = window_members(trades, chosen)
+    summary = symbol_windows(trades, members, chosen).withColumn(
+        "status", F.lit(None).cast("string")
     )
     figures = pair_figures(aligned_pairs(members, pair))
     return (

@@ -16,216 +16,171 @@ that are too old. Sums are exact integers, so the difference loses nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import trade as fx
 from tickloom.params import MICROS, Params
-from tickloom.schemas import ENRICHED_TRADE
+from tickloom.schemas import ENRICHED_TRADE, TABLE_COLUMNS
 
 
 def with_usd(trades: DataFrame, params: Params) -> DataFrame:
     usd = fx.usd_value(F.col("price"), F.col("quantity"))
-    return trades.withColumn("usd_value", usd).withColumn(
-        "classification", fx.size_class(F.col("usd_value"), params)
+    return trades.select("*", usd.alias("usd_value")).select(
+        "*", fx.size_class(F.col("usd_value"), params).alias("classification")
     )
 
 
 def _sliced(trades: DataFrame, params: Params) -> DataFrame:
-    """Assign time slices; late rows of a slice are copied to the next one."""
+    """Put the trades of a symbol and time slice together, each slice with its lead-in.
+
+    Only the given columns are shuffled; everything else is computed afterwards.
+    """
     width, lead = params.slice_us, params.lookback_us
-    start = F.col("t") - F.pmod(F.col("t"), F.lit(width))
-    home = trades.withColumn("t", F.unix_micros("event_time")).withColumn("home", start)
-    following = F.col("home") + width
-    targets = F.when(
-        F.col("t") >= following - lead, F.array("home", following)
-    ).otherwise(F.array("home"))
+    home = "t - pmod(t, {w})".format(w=width)
+    targets = f"IF(pmod(t, {width}) >= {width - lead}, array({home}, {home} + {width}), array({home}))"
     return (
-        home.withColumn("slice", F.explode(targets))
-        .withColumn("own", F.col("slice") == F.col("home"))
-        .drop("home")
+        trades.select("*", F.unix_micros("event_time").alias("t"))
+        .select("*", F.explode(F.expr(targets)).alias("slice"))
+        .repartition("symbol", "slice")
+        .select("*", F.expr(f"slice = {home}").alias("own"))
     )
 
 
 def _local_frames(rows: DataFrame, params: Params) -> DataFrame:
     """Everything that a slice and its lead-in determine by themselves."""
-    by_slice = Window.partitionBy("symbol", "slice").orderBy("t", "trade_id")
-    prior = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    so_far = by_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_slice = "PARTITION BY symbol, slice ORDER BY t, trade_id"
+    prior = f"OVER ({by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    so_far = f"OVER ({by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     expired = (
-        Window.partitionBy("symbol", "slice")
-        .orderBy("t")
-        .rangeBetween(Window.unboundedPreceding, -(params.window_us + 1))
+        "OVER (PARTITION BY symbol, slice ORDER BY t "
+        f"RANGE BETWEEN UNBOUNDED PRECEDING AND {params.window_us + 1} PRECEDING)"
     )
-    zero = F.lit(0).cast("decimal(38,0)")
-
-    def total(column, frame):
-        return F.coalesce(F.sum(column).over(frame).cast("decimal(38,0)"), zero)
-
-    rows = rows.withColumn("q", fx.usd_units(F.col("usd_value")))
-    rows = rows.withColumn("qq", (F.col("q") * F.col("q")).cast("decimal(38,0)"))
-    rows = rows.select(
+    limbs = list(fx.SUM_LIMBS)
+    usd = fx.usd_value(F.col("price"), F.col("quantity"))
+    rows = rows.select("*", fx.usd_units(usd).alias("q"))
+    rows = rows.selectExpr("*", *[f"{text} AS {name}" for name, text in fx.SUM_LIMBS.items() if name != "q"])
+    rows = rows.selectExpr(
         "*",
-        F.lag("t").over(by_slice).alias("local_prev_t"),
-        (F.row_number().over(by_slice) - 1).cast("long").alias("idx"),
-        total("q", prior).alias("prior_q"),
-        total("qq", prior).alias("prior_qq"),
-        F.count(F.lit(1)).over(expired).alias("old_n"),
-        total("q", expired).alias("old_q"),
-        total("qq", expired).alias("old_qq"),
+        f"lag(t) OVER ({by_slice}) AS local_prev_t",
+        f"CAST(row_number() OVER ({by_slice}) - 1 AS BIGINT) AS idx",
+        f"count(1) {expired} AS old_n",
+        *[f"coalesce(sum({x}) {prior}, 0L) AS prior_{x}" for x in limbs],
+        *[f"coalesce(sum({x}) {expired}, 0L) AS old_{x}" for x in limbs],
     )
-    gap = F.col("t") - F.col("local_prev_t")
-    rows = rows.withColumn("cut", F.coalesce(gap > params.purge_us, F.lit(False)))
-    rows = rows.withColumn("stop", F.coalesce(gap > params.pause_us, F.lit(False)))
-    # What has left the window: expired rows, or all rows before the last purge.
-    at_cut = F.max(
-        F.when(F.col("cut"), F.struct("idx", "prior_q", "prior_qq"))
-    ).over(so_far)
-    rows = rows.select(
+    rows = rows.selectExpr(
         "*",
-        at_cut.alias("at_cut"),
-        F.max(F.when(F.col("cut"), F.col("t"))).over(so_far).alias("cut_t"),
-        F.max(F.when(F.col("stop"), F.col("idx"))).over(so_far).alias("stop_idx"),
-        F.sum(F.when(F.col("own") & F.col("stop"), 1).otherwise(0))
-        .over(so_far)
-        .alias("own_stops"),
-        F.sum(F.when(F.col("own") & F.col("cut"), 1).otherwise(0))
-        .over(so_far)
-        .alias("own_cuts"),
-    )
-    cut_idx = F.coalesce(F.col("at_cut.idx"), F.lit(0))
-    use_cut = cut_idx > F.col("old_n")
-    gone_n = F.greatest("old_n", cut_idx)
-    gone_q = F.when(use_cut, F.col("at_cut.prior_q")).otherwise(F.col("old_q"))
-    gone_qq = F.when(use_cut, F.col("at_cut.prior_qq")).otherwise(F.col("old_qq"))
-    since_stop = F.col("idx") - F.greatest(
-        F.col("old_n"), F.coalesce(F.col("stop_idx"), F.lit(0))
+        f"coalesce(t - local_prev_t > {params.purge_us}, false) AS cut",
+        f"coalesce(t - local_prev_t > {params.pause_us}, false) AS stop",
     )
-    rows = (
-        rows.withColumn("n", F.col("idx") - gone_n)
-        .withColumn("sx", F.col("prior_q") - gone_q)
-        .withColumn("sxx", F.col("prior_qq") - gone_qq)
-        .withColumn("n_since_gap", since_stop)
+    # What has left the window: expired rows, or all rows before the last purge. A
+    # purge gap longer than the window leaves nothing that is not expired already.
+    purge_matters = params.purge_us < params.window_us
+    rows = rows.selectExpr(
+        "*",
+        f"max(IF(cut, t, NULL)) {so_far} AS cut_t",
+        f"max(IF(stop, idx, NULL)) {so_far} AS stop_idx",
+        f"sum(IF(own AND stop, 1L, 0L)) {so_far} AS own_stops",
+        f"sum(IF(own AND cut, 1L, 0L)) {so_far} AS own_cuts",
+        *(
+            [f"coalesce(max(IF(cut, idx, NULL)) {so_far}, 0L) AS cut_idx"]
+            + [f"last(IF(cut, prior_{x}, NULL), true) {so_far} AS cut_{x}" for x in limbs]
+            if purge_matters
+            else ["0L AS cut_idx"] + [f"CAST(NULL AS BIGINT) AS cut_{x}" for x in limbs]
+        ),
+    )
+    rows = rows.selectExpr(
+        "*",
+        "idx - greatest(old_n, cut_idx) AS n",
+        "idx - greatest(old_n, coalesce(stop_idx, 0L)) AS n_since_gap",
+        *[f"prior_{x} - IF(cut_idx > old_n, cut_{x}, old_{x}) AS s_{x}" for x in limbs],
     )
-    last_ready = F.max(
-        F.when(F.col("n_since_gap") >= params.warmup_min_samples, F.col("idx"))
-    ).over(so_far)
-    return rows.withColumn(
-        "local_over",
-        F.coalesce(last_ready >= F.coalesce(F.col("stop_idx"), F.lit(0)), F.lit(False)),
+    ready = f"IF(n_since_gap >= {params.warmup_min_samples}, idx, NULL)"
+    return rows.selectExpr(
+        "*",
+        f"coalesce(max({ready}) {so_far} >= coalesce(stop_idx, 0L), false) AS local_over",
     )
 
 
 def _slice_carry(rows: DataFrame) -> DataFrame:
     """One row per symbol and slice: what the slice takes over from earlier ones."""
-    order = F.struct("t", "trade_id")
     per_slice = (
         rows.where("own")
         .groupBy("symbol", "slice")
         .agg(
-            F.max("t").alias("last_t"),
-            F.bool_or(F.col("local_prev_t").isNull()).alias("fresh"),
-            F.max("own_stops").alias("stops"),
-            F.max("own_cuts").alias("cuts"),
-            F.max_by("local_over", order).alias("over_at_end"),
+            F.expr("max(t) AS last_t"),
+            F.expr("bool_or(local_prev_t IS NULL) AS fresh"),
+            F.expr("max(own_stops) AS stops"),
+            F.expr("max(own_cuts) AS cuts"),
+            F.expr("max_by(local_over, idx) AS over_at_end"),
         )
     )
     # Bounded by the time range over the slice width, whatever the number of trades.
-    in_order = Window.partitionBy("symbol").orderBy("slice")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = per_slice.withColumn("prev_last_t", F.lag("last_t").over(in_order))
+    in_order = "PARTITION BY symbol ORDER BY slice"
+    upto = "ROWS BETWEEN UNBOUNDED PRECEDING AND"
+    per_slice = per_slice.selectExpr("*", f"lag(last_t) OVER ({in_order}) AS prev_last_t")
     # A slice that starts without any row in its lead-in starts after a purge gap.
-    late_start = (F.col("fresh") & F.col("prev_last_t").isNotNull()).cast("long")
-    per_slice = per_slice.withColumn("late_start", late_start)
-    stops = F.col("stops") + F.col("late_start")
-    cuts = F.col("cuts") + F.col("late_start")
-    per_slice = per_slice.select(
-        "symbol",
-        "slice",
-        "late_start",
-        "prev_last_t",
-        "over_at_end",
-        F.coalesce(F.sum(stops).over(before), F.lit(0)).alias("stops_before"),
-        F.coalesce(F.sum(cuts).over(before), F.lit(0)).alias("cuts_before"),
-        F.sum(stops).over(so_far).alias("stops_after"),
+    per_slice = per_slice.selectExpr(
+        "*", "IF(fresh AND prev_last_t IS NOT NULL, 1L, 0L) AS late_start"
     )
-    # Within one pause segment the pause, once over, stays over.
-    same_gap = (
-        Window.partitionBy("symbol", "stops_after")
-        .orderBy("slice")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_slice = per_slice.selectExpr(
+        "*",
+        f"coalesce(sum(stops + late_start) OVER ({in_order} {upto} 1 PRECEDING), 0L) AS stops_before",
+        f"coalesce(sum(cuts + late_start) OVER ({in_order} {upto} 1 PRECEDING), 0L) AS cuts_before",
+        f"sum(stops + late_start) OVER ({in_order} {upto} CURRENT ROW) AS stops_after",
     )
-    per_slice = per_slice.withColumn("over_out", F.max("over_at_end").over(same_gap))
-    return per_slice.select(
+    # Within one pause segment the pause, once over, stays over.
+    same_gap = f"PARTITION BY symbol, stops_after ORDER BY slice {upto} CURRENT ROW"
+    per_slice = per_slice.selectExpr("*", f"max(over_at_end) OVER ({same_gap}) AS over_out")
+    return per_slice.selectExpr(
         "symbol",
         "slice",
         "late_start",
         "prev_last_t",
         "stops_before",
         "cuts_before",
-        F.coalesce(
-            F.lag("over_out").over(in_order) & (F.col("late_start") == 0), F.lit(False)
-        ).alias("over_before"),
+        f"coalesce(lag(over_out) OVER ({in_order}) AND late_start = 0, false) AS over_before",
     )
 
 
 def rolling_state(trades: DataFrame, params: Params = Params()) -> DataFrame:
     """Trades with the rolling state that held just before each of them.
 
-    Adds ``t`` (epoch micros), ``gap_us``, ``purge_seg``, ``pause_seg``, ``n``,
-    ``n_since_gap``, ``sx``, ``sxx``, ``mean``, ``stdev``, ``pause_over``, ``warm``,
-    ``z_score``, ``is_anomaly`` and ``cut_t``.
+    Adds the enriched columns and ``t`` (epoch micros), ``gap_us``, ``is_purge``,
+    ``is_pause``, ``purge_seg``, ``pause_seg``, ``n``, ``n_since_gap``, ``mean``,
+    ``stdev``, ``pause_over`` and ``warm``.
     """
-    rows = _local_frames(_sliced(with_usd(trades, params), params), params)
+    rows = _local_frames(_sliced(trades, params), params)
     rows = rows.where("own").join(_slice_carry(rows), ["symbol", "slice"], "left")
-    first_here = F.col("local_prev_t").isNull() & F.col("prev_last_t").isNotNull()
-    prev_t = F.coalesce(F.col("local_prev_t"), F.col("prev_last_t"))
-    over = F.col("local_over") | (F.col("stop_idx").isNull() & F.col("over_before"))
-    rows = (
-        rows.withColumn("gap_us", F.col("t") - prev_t)
-        .withColumn("is_purge", F.col("cut") | first_here)
-        .withColumn("is_pause", F.col("stop") | first_here)
-        .withColumn(
-            "purge_seg", F.col("cuts_before") + F.col("late_start") + F.col("own_cuts")
-        )
-        .withColumn(
-            "pause_seg", F.col("stops_before") + F.col("late_start") + F.col("own_stops")
-        )
-        .withColumn("pause_over", over)
-        .withColumn("warm", (F.col("n") >= params.warmup_min_samples) & over)
-        .withColumn("mean", fx.mean_from_sums(F.col("n"), F.col("sx")))
-        .withColumn("stdev", fx.stdev_from_sums(F.col("n"), F.col("sx"), F.col("sxx")))
-    )
-    z = F.when(
-        F.col("warm") & (F.col("n") >= 2),
-        fx.regularized_z(F.col("usd_value"), F.col("mean"), F.col("stdev")),
-    )
-    rows = rows.withColumn("z_score", z)
-    rows = rows.withColumn("is_anomaly", fx.anomaly_flag(F.col("z_score"), params))
-    return rows.select(
+    first_here = "local_prev_t IS NULL AND prev_last_t IS NOT NULL"
+    rows = rows.selectExpr(
         *trades.columns,
-        "usd_value",
-        "classification",
         "t",
-        "gap_us",
-        "is_purge",
-        "is_pause",
-        "purge_seg",
-        "pause_seg",
+        "t - coalesce(local_prev_t, prev_last_t) AS gap_us",
+        f"cut OR ({first_here}) AS is_purge",
+        f"stop OR ({first_here}) AS is_pause",
+        "cuts_before + late_start + own_cuts AS purge_seg",
+        "stops_before + late_start + own_stops AS pause_seg",
         "n",
         "n_since_gap",
         "q",
-        "sx",
-        "sxx",
-        "mean",
-        "stdev",
-        "pause_over",
-        "warm",
-        "z_score",
-        "is_anomaly",
+        *[f"s_{x}" for x in fx.SUM_LIMBS],
+        "local_over OR (stop_idx IS NULL AND over_before) AS pause_over",
         "cut_t",
     )
+    sums = {x: F.col(f"s_{x}") for x in fx.SUM_LIMBS}
+    rows = with_usd(rows, params).select(
+        "*",
+        F.expr(f"n >= {params.warmup_min_samples} AND pause_over").alias("warm"),
+        fx.mean_from_limbs(F.col("n"), sums).alias("mean"),
+        fx.stdev_from_limbs(F.col("n"), sums).alias("stdev"),
+    )
+    z = F.when(
+        F.col("warm") & (F.col("n") >= 2),
+        fx.regularized_z(F.col("usd_value"), F.col("mean"), F.col("stdev")),
+    )
+    rows = rows.select("*", z.alias("z_score"))
+    return rows.select("*", fx.anomaly_flag(F.col("z_score"), params).alias("is_anomaly"))
 
 
 def enrich(trades: DataFrame, params: Params = Params()) -> DataFrame:
@@ -235,8 +190,6 @@ def enrich(trades: DataFrame, params: Params = Params()) -> DataFrame:
 
 def table_row(enriched: DataFrame) -> DataFrame:
     """Column names and order of the stored table."""
-    from tickloom.schemas import TABLE_COLUMNS
-
     return enriched.withColumnRenamed("event_time", "time").select(*TABLE_COLUMNS)
 
 

@@ -8,8 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.timing import ago, event_order
-from tickloom.functions.trade import USD_SCALE, mean_from_sums, stdev_from_sums, usd_units
-from tickloom.operators.enrich import rolling_state, with_usd
+from tickloom.functions.trade import (
+    SUM_LIMBS,
+    USD_SCALE,
+    limb_sums,
+    mean_from_limbs,
+    stdev_from_limbs,
+    usd_units,
+    usd_value,
+)
+from tickloom.operators.enrich import rolling_state
 from tickloom.params import Params
 from tickloom.sources.table import scan_after
 
@@ -51,80 +59,91 @@ def live_stats(
     )
 
 
-def last_state(trades: DataFrame, params: Params = Params()) -> DataFrame:
-    """State of every symbol right after its last trade, from one aggregate."""
-    state = rolling_state(trades, params)
+def window_members(trades: DataFrame, params: Params = Params()) -> DataFrame:
+    """The trades inside each configured symbol's window as of its own last trade.
+
+    The last times are one row per configured symbol, so they are broadcast and the
+    trades are cut down where they are read. Only window contents are shuffled.
+    """
+    known = trades.where(F.col("symbol").isin(*params.symbols)).withColumn(
+        "t", F.unix_micros("event_time")
+    )
+    starts = known.groupBy("symbol").agg((F.max("t") - params.window_us).alias("from_t"))
+    tail = known.join(F.broadcast(starts), "symbol").where("t >= from_t").drop("from_t")
+    usd = usd_value(F.col("price"), F.col("quantity"))
+    tail = tail.select(*trades.columns, "t", usd.alias("usd_value"))
+    if params.purge_us >= params.window_us:
+        return tail
+    # A purge inside the window hides what came before it.
+    in_order = "PARTITION BY symbol ORDER BY t DESC, trade_id DESC"
+    later = f"OVER ({in_order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return (
+        tail.selectExpr("*", f"lag(t) OVER ({in_order}) - t AS gap_after")
+        .selectExpr("*", f"coalesce(gap_after > {params.purge_us}, false) AS ends_here")
+        .selectExpr("*", f"coalesce(bool_or(ends_here) {later}, false) OR ends_here AS purged")
+        .where("NOT purged")
+        .drop("gap_after", "ends_here", "purged")
+    )
+
+
+def pause_state(trades: DataFrame, params: Params = Params()) -> DataFrame:
+    """Whether each configured symbol is paused right after its last trade.
+
+    A pause can be as old as the data, so all trades count; only their symbol, time
+    and id are read.
+    """
+    known = trades.where(F.col("symbol").isin(*params.symbols))
     order = event_order(F.col("event_time"), F.col("trade_id"))
-    last = state.groupBy("symbol").agg(
-        F.max_by(
-            F.struct("t", "event_time", "n", "n_since_gap", "pause_seg", "pause_over", "cut_t"),
-            order,
-        ).alias("s")
+    last = rolling_state(known, params).groupBy("symbol").agg(
+        F.max("event_time").alias("last_event"),
+        F.max_by(F.expr("pause_seg > 0 AND NOT pause_over"), order).alias("paused"),
+        F.max_by("n_since_gap", order).alias("n_since_gap"),
     )
-    need = params.warmup_min_samples
-    size = F.col("s.n") + 1
-    paused = (F.col("s.pause_seg") > 0) & ~F.col("s.pause_over")
     # Looking at the window now counts the last trade too, and may find the pause over.
-    still_paused = paused & (F.col("s.n_since_gap") + 1 < need)
+    need = params.warmup_min_samples
     return last.select(
         "symbol",
-        size.alias("window_size"),
-        (~still_paused & (size >= need)).alias("warmed_up"),
-        still_paused.alias("in_gap_pause"),
-        F.col("s.event_time").alias("last_event"),
-        F.greatest(
-            F.col("s.t") - params.window_us, F.coalesce(F.col("s.cut_t"), F.col("s.t") - params.window_us)
-        ).alias("from_t"),
+        "last_event",
+        (F.col("paused") & (F.col("n_since_gap") + 1 < need)).alias("in_gap_pause"),
     )
 
 
-def window_members(trades: DataFrame, state: DataFrame, params: Params = Params()) -> DataFrame:
-    """The trades inside each configured symbol's window as of its own last trade.
-
-    ``state`` has at most one row per configured symbol, so it is broadcast and the
-    trades are filtered where they are read.
-    """
-    rows = with_usd(trades, params).withColumn("t", F.unix_micros("event_time"))
-    bounds = state.where(F.col("symbol").isin(*params.symbols)).select("symbol", "from_t")
-    return rows.join(F.broadcast(bounds), "symbol").where(F.col("t") >= F.col("from_t"))
-
-
-def exact_moments(usd: Column) -> list[Column]:
-    """Count, exact sum and sum of squares of USD values, plus their extremes."""
-    q = usd_units(usd)
-    return [
-        F.count(F.lit(1)).alias("n"),
-        F.sum(q).cast("decimal(38,0)").alias("sx"),
-        F.sum((q * q).cast("decimal(38,0)")).alias("sxx"),
-        F.min(usd).alias("min_usd"),
-        F.max(usd).alias("max_usd"),
-    ]
-
-
-def with_summary(moments: DataFrame) -> DataFrame:
-    """Rounded mean, deviation, volume and volatility from exact moments."""
-    n, sx, sxx = F.col("n"), F.col("sx"), F.col("sxx")
-    mean, sd = mean_from_sums(n, sx), stdev_from_sums(n, sx, sxx)
-    return (
-        moments.withColumn("volume_usd", F.round(sx.cast("double") / USD_SCALE, 2))
-        .withColumn("avg_trade_usd", F.round(mean, 2))
-        .withColumn("stdev_usd", F.round(sd, 2))
-        .withColumn("volatility_cv", F.when(mean > 0, F.round(sd / mean, 4)))
-        .withColumn("min_usd", F.round("min_usd", 2))
-        .withColumn("max_usd", F.round("max_usd", 2))
+def window_moments(members: DataFrame) -> DataFrame:
+    """Size, exact sums and extremes of every window, and the figures from them."""
+    usd = F.col("usd_value")
+    sums = [c.alias(f"s_{x}") for x, c in limb_sums(usd_units(usd)).items()]
+    moments = members.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("window_size"),
+        *sums,
+        F.round(F.min(usd), 2).alias("min_usd"),
+        F.round(F.max(usd), 2).alias("max_usd"),
+    )
+    n, s = F.col("window_size"), {x: F.col(f"s_{x}") for x in SUM_LIMBS}
+    moments = moments.select(
+        "*", mean_from_limbs(n, s).alias("mean"), stdev_from_limbs(n, s).alias("sd")
+    )
+    return moments.select(
+        "symbol",
+        "window_size",
+        F.round(F.col("s_q").cast("double") / USD_SCALE, 2).alias("volume_usd"),
+        F.round("mean", 2).alias("avg_trade_usd"),
+        F.round("sd", 2).alias("stdev_usd"),
+        F.expr("IF(mean > 0, round(sd / mean, 4), NULL) AS volatility_cv"),
+        "min_usd",
+        "max_usd",
     )
 
 
-def symbol_windows(trades: DataFrame, params: Params = Params()) -> DataFrame:
-    """Window content summary and readiness of the configured symbols that have data."""
-    known = trades.where(F.col("symbol").isin(*params.symbols))
-    state = last_state(known, params)
-    moments = (
-        window_members(known, state, params)
-        .groupBy("symbol")
-        .agg(*exact_moments(F.col("usd_value")))
+def symbol_windows(
+    trades: DataFrame, members: DataFrame, params: Params = Params()
+) -> DataFrame:
+    """Window summary and readiness of the configured symbols that have data."""
+    warmed = ~F.col("in_gap_pause") & (F.col("window_size") >= params.warmup_min_samples)
+    return (
+        window_moments(members)
+        .join(pause_state(trades, params), "symbol")
+        .withColumn("warmed_up", warmed)
     )
-    return state.join(with_summary(moments), "symbol").drop("from_t", "n", "sx", "sxx")
 
 
 def window_stats(
@@ -135,7 +154,7 @@ def window_stats(
         params = params.with_(symbol_partitions=((symbol.upper(), 0),))
     return (
         symbol_list(spark, params)
-        .join(symbol_windows(trades, params), "symbol", "left")
+        .join(symbol_windows(trades, window_members(trades, params), params), "symbol", "left")
         .select(
             "symbol",
             F.when(F.col("window_size").isNull(), F.lit("no_data")).alias("status"),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import labels as lb
 from tickloom.operators import compare as cp
+from tickloom.operators.stats import window_members
 from tickloom.plans import tables as tb
 from tickloom.plans.registry import query
 from tickloom.plans.sql import after, rolling
@@ -71,7 +72,7 @@ FALLBACK = f"""shaped AS (
 
 
 def _figures(spark, sf_dir):
-    _, members = cp.pair_windows(tb.trades(spark, sf_dir), SCALED, PAIR)
+    members = window_members(tb.trades(spark, sf_dir), SCALED)
     return cp.pair_figures(cp.aligned_pairs(members, PAIR))
 
 

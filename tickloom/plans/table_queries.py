@@ -102,7 +102,7 @@ _HOUR = SCALED.candle_seconds * 1_000_000
 @query(
     "refresh_candles",
     f"""WITH {rolling()}, span AS (
-  SELECT -(-(epoch_us(as_of) - 120 * {_HOUR}) // {_HOUR}) * {_HOUR} AS first,
+  SELECT (epoch_us(as_of) - 119 * {_HOUR} - 1) // {_HOUR} * {_HOUR} AS first,
          (epoch_us(as_of) - {_HOUR}) // {_HOUR} * {_HOUR} AS past FROM present)
 SELECT {bucket()} AS bucket, symbol, {candle_columns()} FROM enriched, span
 WHERE epoch_us(time) >= first AND epoch_us(time) < past GROUP BY 1, 2""",
