@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.schemas import TABLE_COLUMNS, TABLE_KEY
@@ -76,7 +76,7 @@ def append_new(
     again after a failure does no harm. Only the days that occur in the batch are
     looked up. ``order`` may use columns that are not stored, such as an offset.
     """
-    rows = rows.persist()
+    rows, fresh = rows.persist(), None
     try:
         span = rows.agg(
             F.count(F.lit(1)).alias("n"),
@@ -88,9 +88,12 @@ def append_new(
         stored = stored_or_none(spark, path)
         if stored is not None:
             stored = stored.where(F.col("day").between(F.lit(span["first"]), F.lit(span["last"])))
-        watch = Observation()
-        fresh = new_rows(rows, stored, key, order).select(*TABLE_COLUMNS)
-        write_trades(fresh.observe(watch, F.count(F.lit(1)).alias("n")), path, mode="append")
-        return SinkCounts(span["n"], watch.get["n"])
+        fresh = new_rows(rows, stored, key, order).select(*TABLE_COLUMNS).persist()
+        inserted = fresh.count()
+        if inserted:
+            write_trades(fresh, path, mode="append")
+        return SinkCounts(span["n"], inserted)
     finally:
         rows.unpersist()
+        if fresh is not None:
+            fresh.unpersist()
