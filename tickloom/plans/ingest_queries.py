@@ -6,7 +6,6 @@ from tickloom.functions.trade import normalize_symbol as normal
 from tickloom.operators import validate as va
 from tickloom.operators.quality import burst_windows as bursts
 from tickloom.operators.quality import ingest_counts
-from tickloom.operators.enrich import enrich, table_row
 from tickloom.operators.sink import append_new
 from tickloom.plans import messages as ms
 from tickloom.plans import tables as tb
@@ -168,7 +167,7 @@ MIDDLE = "2024-01-16 00:00:00"
 
 def _replay(spark, sf_dir):
     """First half of the table, then all of it again at a doubled quantity."""
-    rows = table_row(enrich(tb.trades(spark, sf_dir), SCALED))
+    rows = tb.stored_trades(spark, sf_dir).drop("day")
     early = rows.where(F.col("time") < F.lit(MIDDLE).cast("timestamp"))
     return early, rows.withColumn("quantity", F.col("quantity") * 2)
 

@@ -18,6 +18,7 @@ TRADE_EVENT = "aggTrade"
 # Texts that the message format takes as true or false.
 BOOLEAN_TEXTS = ("true", "false", "t", "f", "yes", "no", "y", "n", "on", "off", "1", "0")
 
+PLAIN_NUMBER = r"^\d+(\.\d+)?$"
 WHOLE_NUMBER = r"^\s*[+-]?\d+(\.0*)?\s*$"
 DECIMAL_NUMBER = (
     r"^\s*[+-]?((\d+(_\d+)*)?\.?\d+(_\d+)*|\d+(_\d+)*\.)([eE][+-]?\d+)?\s*$"
@@ -34,108 +35,118 @@ def read_wire(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(WIRE).text(path)
 
 
-def _kind(v: Column) -> Column:
-    return F.schema_of_variant(v)
-
-
-def _is_text(v: Column) -> Column:
-    return F.coalesce(_kind(v) == "STRING", F.lit(False))
-
-
-def _text(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "string")
-
-
-def _is_number(v: Column) -> Column:
-    return F.coalesce(_kind(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"), F.lit(False))
+def number_text(text: Column) -> Column:
+    """A double from text, NULL if the text is no number."""
+    loose = text.rlike(DECIMAL_NUMBER) | text.rlike(SPECIAL_NUMBER)
+    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double")).when(
+        loose, F.regexp_replace(F.trim(text), "_", "").try_cast("double")
+    )
 
 
-def _whole(v: Column) -> Column:
+def _whole(kind: Column, text: Column) -> Column:
     """A whole number, bare or quoted; NULL for anything else."""
-    text = F.when(_kind(v) == "BOOLEAN", F.when(_text(v) == "true", "1").otherwise("0"))
-    text = text.when(_is_number(v) | _is_text(v), _text(v))
-    digits = F.trim(F.regexp_replace(text, r"\.0*\s*$", ""))
-    return F.when(text.rlike(WHOLE_NUMBER), digits.try_cast("bigint"))
+    digits = F.when(
+        kind.rlike("^(STRING|DECIMAL|DOUBLE|FLOAT)") & text.rlike(WHOLE_NUMBER),
+        F.trim(F.regexp_replace(text, r"\.0*\s*$", "")).try_cast("bigint"),
+    )
+    return (
+        F.when(kind == "BIGINT", text.try_cast("bigint"))
+        .when(kind == "BOOLEAN", F.when(text == "true", 1).otherwise(0).cast("bigint"))
+        .otherwise(digits)
+    )
 
 
-def _is_boolean(v: Column) -> Column:
-    named = F.lower(_text(v)).isin(*BOOLEAN_TEXTS)
-    known = F.when(_kind(v) == "BOOLEAN", True).when(_is_text(v), named)
-    return F.coalesce(known.when(_is_number(v), _text(v).try_cast("double").isin(0.0, 1.0)), F.lit(False))
+def _is_boolean(kind: Column, text: Column) -> Column:
+    return (
+        F.when(kind == "BOOLEAN", True)
+        .when(kind == "STRING", F.lower(text).isin(*BOOLEAN_TEXTS))
+        .when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), text.try_cast("double").isin(0.0, 1.0))
+        .otherwise(False)
+    )
 
 
-def number_text(text: Column) -> Column:
-    """A double from text, NULL if the text is no number."""
-    plain = F.regexp_replace(F.trim(text), "_", "").try_cast("double")
-    return F.when(text.rlike(DECIMAL_NUMBER) | text.rlike(SPECIAL_NUMBER), plain)
+# The message's fields; those in upper case get a name that differs in more than case.
+FIELDS = {
+    "stream": "$.stream",
+    "e": "$.data.e",
+    "sent": "$.data.E",
+    "s": "$.data.s",
+    "a": "$.data.a",
+    "p": "$.data.p",
+    "q": "$.data.q",
+    "at": "$.data.T",
+    "m": "$.data.m",
+}
+TEXT_FIELDS = ("stream", "e", "s", "p", "q")
+LATEST_MS = 253_402_300_799_999
 
 
 def parse_wire(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add ``status`` (ok, ignored, parse_error) and the trade fields of good rows.
 
     Ignored: anything without a stream name and any well-formed message of another
-    event type. Other columns of the input stay.
+    event type. Other columns of the input stay. Each step is a projection of its
+    own, so that no field is taken out of the document twice.
     """
     keep = [c for c in messages.columns if c != value]
-    names = ("stream", "e", "E", "s", "a", "p", "q", "T", "m")
-    paths = {n: "$.stream" if n == "stream" else f"$.data.{n}" for n in names}
-    # Column names in Spark ignore case, so the fields sit in a struct under plain numbers.
-    fields = {n: f"f{i}" for i, n in enumerate(names)}
-    doc = F.try_parse_json(F.col(value))
-    rows = messages.select(*keep, F.col(value).alias("raw"), doc.alias("doc"))
+    rows = messages.select(
+        *keep, F.col(value).alias("raw"), F.try_parse_json(F.col(value)).alias("doc")
+    )
     rows = rows.select(
         *keep,
         "raw",
         F.schema_of_variant("doc").alias("shape"),
-        *[F.try_variant_get("doc", paths[n], "variant").alias(fields[n]) for n in names],
+        *[F.try_variant_get("doc", path, "variant").alias(n) for n, path in FIELDS.items()],
     )
-    f = {n: F.col(fields[n]) for n in names}
-    typed = (
-        _is_text(f["stream"])
-        & _is_text(f["e"])
-        & _is_text(f["s"])
-        & _is_text(f["p"])
-        & _is_text(f["q"])
-        & _is_boolean(f["m"])
-        & _whole(f["E"]).isNotNull()
-        & _whole(f["a"]).isNotNull()
-        & _whole(f["T"]).isNotNull()
+    rows = rows.select(
+        *keep,
+        "raw",
+        "shape",
+        *[F.schema_of_variant(n).alias(f"{n}_kind") for n in FIELDS],
+        *[F.try_variant_get(n, "$", "string").alias(f"{n}_text") for n in FIELDS],
     )
-    listed = F.col("shape").rlike("^(ARRAY|STRING)")
-    in_range = F.abs(_whole(f["T"])) <= 253_402_300_799_999
+
+    def of(name):
+        return F.col(f"{name}_kind"), F.col(f"{name}_text")
+
     rows = rows.select(
         *keep,
         "raw",
-        F.col("shape").isNull().alias("broken"),
-        (listed | (F.col("shape").startswith("OBJECT") & f["stream"].isNull())).alias("bare"),
-        F.coalesce(typed, F.lit(False)).alias("typed"),
-        (_text(f["e"]) == TRADE_EVENT).alias("is_trade"),
-        normalize_symbol(_text(f["s"])).alias("symbol"),
-        number_text(_text(f["p"])).alias("price"),
-        number_text(_text(f["q"])).alias("quantity"),
-        F.when(in_range, F.timestamp_millis(_whole(f["T"]))).alias("event_time"),
-        _whole(f["a"]).alias("trade_id"),
+        "shape",
+        F.col("stream_kind").isNull().alias("no_stream"),
+        F.expr(" AND ".join(f"coalesce({n}_kind = 'STRING', false)" for n in TEXT_FIELDS)).alias("texts"),
+        F.coalesce(_is_boolean(*of("m")), F.lit(False)).alias("flag"),
+        F.col("e_text").alias("event"),
+        F.col("s_text").alias("symbol_text"),
+        number_text(F.col("p_text")).alias("price"),
+        number_text(F.col("q_text")).alias("quantity"),
+        *[_whole(*of(n)).alias(n) for n in ("sent", "a", "at")],
     )
-    positive = (
-        (F.col("price") > 0)
-        & (F.col("quantity") > 0)
-        & ~F.isnan("price")
-        & ~F.isnan("quantity")
-        & F.col("event_time").isNotNull()
+    typed = F.expr("texts AND flag AND sent IS NOT NULL AND a IS NOT NULL AND at IS NOT NULL")
+    positive = F.expr(
+        "coalesce(price > 0 AND quantity > 0 AND NOT isnan(price) AND NOT isnan(quantity) "
+        f"AND abs(at) <= {LATEST_MS}, false)"
     )
+    bare = F.expr("shape RLIKE '^(ARRAY|STRING)' OR (startswith(shape, 'OBJECT') AND no_stream)")
     status = (
-        F.when(F.col("broken"), F.lit("parse_error"))
-        .when(F.col("bare"), F.lit("ignored"))
-        .when(~F.col("typed"), F.lit("parse_error"))
-        .when(~F.col("is_trade"), F.lit("ignored"))
-        .when(F.coalesce(positive, F.lit(False)), F.lit("ok"))
+        F.when(F.col("shape").isNull(), F.lit("parse_error"))
+        .when(bare, F.lit("ignored"))
+        .when(~typed, F.lit("parse_error"))
+        .when(F.col("event") != TRADE_EVENT, F.lit("ignored"))
+        .when(positive, F.lit("ok"))
         .otherwise(F.lit("parse_error"))
     )
-    rows = rows.withColumn("status", status)
+    rows = rows.select("*", status.alias("status"))
     good = F.col("status") == "ok"
-    trade_fields = ("symbol", "price", "quantity", "event_time", "trade_id")
     return rows.select(
-        *keep, "raw", "status", *[F.when(good, F.col(c)).alias(c) for c in trade_fields]
+        *keep,
+        "raw",
+        "status",
+        F.when(good, normalize_symbol(F.col("symbol_text"))).alias("symbol"),
+        F.when(good, F.col("price")).alias("price"),
+        F.when(good, F.col("quantity")).alias("quantity"),
+        F.when(good, F.timestamp_millis(F.col("at"))).alias("event_time"),
+        F.when(good, F.col("a")).alias("trade_id"),
     )
 
 
