@@ -1,10 +1,13 @@
+import random
+from datetime import timedelta
+
 import pytest
 
-from tickloom.operators.enrich import rolling_state
+from tickloom.operators.enrich import enrich, enrich_once, largest_slice, rolling_state
 from tickloom.params import Params
 from tickloom.schemas import RAW_TRADE
 
-from model import make_trades, run_model
+from model import EPOCH, make_trades, run_model
 
 SETTINGS = [
     Params(),
@@ -20,14 +23,15 @@ SETTINGS = [
 ]
 
 
+@pytest.mark.parametrize("by_tick", [False, True])
 @pytest.mark.parametrize("i", range(len(SETTINGS)))
 @pytest.mark.parametrize("seed,step", [(1, 1250), (2, 2500)])
-def test_matches_row_by_row_model(spark, i, seed, step):
+def test_matches_row_by_row_model(spark, i, seed, step, by_tick):
     params = SETTINGS[i]
-    rows = make_trades(seed, 3000, mean_step_ms=step)
+    rows = make_trades(seed, 2000, mean_step_ms=step)
     expected = run_model(rows, params)
     df = spark.createDataFrame(rows, RAW_TRADE)
-    got = rolling_state(df, params).collect()
+    got = rolling_state(df, params, by_tick).collect()
     assert len(got) == len(rows)
     for r in got:
         n, z, anomaly, paused = expected[r.trade_id]
@@ -37,3 +41,37 @@ def test_matches_row_by_row_model(spark, i, seed, step):
             assert r.z_score == pytest.approx(z, rel=1e-9, abs=1e-9)
         assert r.is_anomaly == anomaly
         assert (r.pause_seg > 0 and not r.pause_over) == paused, r
+
+
+def test_choice_by_slice_size_and_id_blocks(spark):
+    """Many trades at few moments, their ids in several blocks."""
+    params = Params(warmup_min_samples=5, max_slice_rows=100)
+    rng = random.Random(3)
+    rows = [
+        ("AAA", rng.randint(1, 900) / 100, 1.0, EPOCH + timedelta(seconds=i // 40 * 7), i * 300_000)
+        for i in range(600)
+    ]
+    expected = run_model(rows, params)
+    df = spark.createDataFrame(rows, RAW_TRADE)
+    assert largest_slice(df, params) > params.max_slice_rows
+    got = rolling_state(df, params).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        n, z, anomaly, paused = expected[r.trade_id]
+        assert r.n == n and r.is_anomaly == anomaly
+        assert (r.z_score is None) == (z is None)
+        assert z is None or r.z_score == pytest.approx(z, rel=1e-9, abs=1e-9)
+        assert (r.pause_seg > 0 and not r.pause_over) == paused
+
+
+def test_replays_count_once(spark):
+    rows = make_trades(4, 300)
+    df = spark.createDataFrame(rows, RAW_TRADE)
+    twice = df.unionByName(df.where("trade_id % 3 = 0"))
+    params = Params(warmup_min_samples=5)
+
+    def shape(result):
+        return sorted((r.trade_id, r.z_score is None, round(r.z_score or 0.0, 9)) for r in result.collect())
+
+    assert shape(enrich_once(twice, params)) == shape(enrich(df, params))
+    assert enrich_once(twice, params, dedup_before_enrich=False).count() == 400

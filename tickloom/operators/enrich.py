@@ -3,7 +3,7 @@
 The rolling statistics of a trade look only at earlier trades of its symbol, no
 further back than the window, and the purge rule looks back no further than the
 purge gap. A symbol is therefore cut into time slices that are worked on
-separately; each slice also gets a copy of the trades just before it (its
+separately; each slice also gets a copy of what comes just before it (its
 lead-in). Two facts reach further back: the running numbers of the gaps and
 whether the pause after the latest gap is already over. They travel in a small
 table with one row per symbol and slice.
@@ -12,6 +12,11 @@ All running frames start at the first row of a slice, which Spark evaluates in o
 pass; a frame with a moving lower bound would be re-aggregated for every row. The
 window content is the difference of two such frames: all prior rows, less the rows
 that are too old. Sums are exact integers, so the difference loses nothing.
+
+A slice may hold too many trades for one task. Its length in time is fixed, though,
+so trades of one symbol at one time are then summed up first, before any shuffle:
+the slices work on those sums, of which a slice has no more than ticks of the
+clock, and every trade adds what came before it within its own tick.
 """
 
 from __future__ import annotations
@@ -31,25 +36,57 @@ def with_usd(trades: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def _sliced(trades: DataFrame, params: Params) -> DataFrame:
-    """Put the trades of a symbol and time slice together, each slice with its lead-in.
+# Trades at one time are told apart by blocks of this many bits of their id, so that
+# not even a single moment has to fit into one group.
+ID_BLOCK_BITS = 20
 
-    Only the given columns are shuffled; everything else is computed afterwards.
-    """
-    width, lead = params.slice_us, params.lookback_us
-    home = "t - pmod(t, {w})".format(w=width)
+
+def _slice_start(params: Params) -> str:
+    return f"t - pmod(t, {params.slice_us})"
+
+
+def largest_slice(trades: DataFrame, params: Params) -> int:
+    """Trades in the fullest slice; one counting pass over symbol and time."""
+    return (
+        trades.select("symbol", F.unix_micros("event_time").alias("t"))
+        .groupBy("symbol", F.expr(_slice_start(params)).alias("slice"))
+        .count()
+        .agg(F.max("count").alias("n"))
+        .first()["n"]
+        or 0
+    )
+
+
+def _with_limbs(rows: DataFrame) -> DataFrame:
+    usd = fx.usd_value(F.col("price"), F.col("quantity"))
+    rows = rows.select("*", fx.usd_units(usd).alias("q"))
+    return rows.selectExpr("*", *[f"{t} AS {x}" for x, t in fx.SUM_LIMBS.items() if x != "q"])
+
+
+def _moments(rows: DataFrame) -> DataFrame:
+    """Count and exact sums per symbol, time and id block; combines before the shuffle."""
+    usd = fx.usd_value(F.col("price"), F.col("quantity"))
+    sums = [c.alias(x) for x, c in fx.limb_sums(fx.usd_units(usd)).items()]
+    return rows.groupBy("symbol", "t", "uid").agg(F.count(F.lit(1)).alias("cnt"), *sums)
+
+
+def _sliced(units: DataFrame, params: Params) -> DataFrame:
+    """Bring a symbol's time slices together, each with its lead-in."""
+    width, lead, home = params.slice_us, params.lookback_us, _slice_start(params)
     targets = f"IF(pmod(t, {width}) >= {width - lead}, array({home}, {home} + {width}), array({home}))"
     return (
-        trades.select("*", F.unix_micros("event_time").alias("t"))
-        .select("*", F.explode(F.expr(targets)).alias("slice"))
+        units.select("*", F.explode(F.expr(targets)).alias("slice"))
         .repartition("symbol", "slice")
         .select("*", F.expr(f"slice = {home}").alias("own"))
     )
 
 
 def _local_frames(rows: DataFrame, params: Params) -> DataFrame:
-    """Everything that a slice and its lead-in determine by themselves."""
-    by_slice = "PARTITION BY symbol, slice ORDER BY t, trade_id"
+    """Everything that a slice and its lead-in determine by themselves.
+
+    A row stands for ``cnt`` trades at one time. The results hold for the first.
+    """
+    by_slice = "PARTITION BY symbol, slice ORDER BY t, uid"
     prior = f"OVER ({by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     so_far = f"OVER ({by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     expired = (
@@ -57,14 +94,11 @@ def _local_frames(rows: DataFrame, params: Params) -> DataFrame:
         f"RANGE BETWEEN UNBOUNDED PRECEDING AND {params.window_us + 1} PRECEDING)"
     )
     limbs = list(fx.SUM_LIMBS)
-    usd = fx.usd_value(F.col("price"), F.col("quantity"))
-    rows = rows.select("*", fx.usd_units(usd).alias("q"))
-    rows = rows.selectExpr("*", *[f"{text} AS {name}" for name, text in fx.SUM_LIMBS.items() if name != "q"])
     rows = rows.selectExpr(
         "*",
         f"lag(t) OVER ({by_slice}) AS local_prev_t",
-        f"CAST(row_number() OVER ({by_slice}) - 1 AS BIGINT) AS idx",
-        f"count(1) {expired} AS old_n",
+        f"coalesce(sum(cnt) {prior}, 0L) AS idx",
+        f"coalesce(sum(cnt) {expired}, 0L) AS old_n",
         *[f"coalesce(sum({x}) {prior}, 0L) AS prior_{x}" for x in limbs],
         *[f"coalesce(sum({x}) {expired}, 0L) AS old_{x}" for x in limbs],
     )
@@ -78,7 +112,6 @@ def _local_frames(rows: DataFrame, params: Params) -> DataFrame:
     purge_matters = params.purge_us < params.window_us
     rows = rows.selectExpr(
         "*",
-        f"max(IF(cut, t, NULL)) {so_far} AS cut_t",
         f"max(IF(stop, idx, NULL)) {so_far} AS stop_idx",
         f"sum(IF(own AND stop, 1L, 0L)) {so_far} AS own_stops",
         f"sum(IF(own AND cut, 1L, 0L)) {so_far} AS own_cuts",
@@ -95,10 +128,14 @@ def _local_frames(rows: DataFrame, params: Params) -> DataFrame:
         "idx - greatest(old_n, coalesce(stop_idx, 0L)) AS n_since_gap",
         *[f"prior_{x} - IF(cut_idx > old_n, cut_{x}, old_{x}) AS s_{x}" for x in limbs],
     )
-    ready = f"IF(n_since_gap >= {params.warmup_min_samples}, idx, NULL)"
+    # The pause ends within a row if the last of its trades sees enough others.
+    rows = rows.selectExpr(
+        "*", f"n_since_gap + cnt - 1 >= {params.warmup_min_samples} AS ends_pause"
+    )
     return rows.selectExpr(
         "*",
-        f"coalesce(max({ready}) {so_far} >= coalesce(stop_idx, 0L), false) AS local_over",
+        f"coalesce(max(IF(ends_pause, idx, NULL)) {prior} >= coalesce(stop_idx, 0L), false)"
+        " AS over_earlier",
     )
 
 
@@ -112,7 +149,7 @@ def _slice_carry(rows: DataFrame) -> DataFrame:
             F.expr("bool_or(local_prev_t IS NULL) AS fresh"),
             F.expr("max(own_stops) AS stops"),
             F.expr("max(own_cuts) AS cuts"),
-            F.expr("max_by(local_over, idx) AS over_at_end"),
+            F.expr("max_by(over_earlier OR ends_pause, idx) AS over_at_end"),
         )
     )
     # Bounded by the time range over the slice width, whatever the number of trades.
@@ -143,19 +180,13 @@ def _slice_carry(rows: DataFrame) -> DataFrame:
     )
 
 
-def rolling_state(trades: DataFrame, params: Params = Params()) -> DataFrame:
-    """Trades with the rolling state that held just before each of them.
-
-    Adds the enriched columns and ``t`` (epoch micros), ``gap_us``, ``is_purge``,
-    ``is_pause``, ``purge_seg``, ``pause_seg``, ``n``, ``n_since_gap``, ``mean``,
-    ``stdev``, ``pause_over`` and ``warm``.
-    """
-    rows = _local_frames(_sliced(trades, params), params)
+def _unit_state(units: DataFrame, keep: list[str], params: Params) -> DataFrame:
+    """Rolling state at every unit, a unit being one trade or all trades of a tick."""
+    rows = _local_frames(_sliced(units, params), params)
     rows = rows.where("own").join(_slice_carry(rows), ["symbol", "slice"], "left")
     first_here = "local_prev_t IS NULL AND prev_last_t IS NOT NULL"
-    rows = rows.selectExpr(
-        *trades.columns,
-        "t",
+    return rows.selectExpr(
+        *keep,
         "t - coalesce(local_prev_t, prev_last_t) AS gap_us",
         f"cut OR ({first_here}) AS is_purge",
         f"stop OR ({first_here}) AS is_pause",
@@ -163,15 +194,68 @@ def rolling_state(trades: DataFrame, params: Params = Params()) -> DataFrame:
         "stops_before + late_start + own_stops AS pause_seg",
         "n",
         "n_since_gap",
-        "q",
         *[f"s_{x}" for x in fx.SUM_LIMBS],
-        "local_over OR (stop_idx IS NULL AND over_before) AS pause_over",
-        "cut_t",
+        "over_earlier OR (stop_idx IS NULL AND over_before) AS over_earlier",
+    )
+
+
+def _trade_state(rows: DataFrame, trades: DataFrame, params: Params) -> DataFrame:
+    """State per trade, found directly: the slices hold the trades themselves."""
+    units = _with_limbs(rows.withColumn("uid", F.col("trade_id")).withColumn("cnt", F.lit(1)))
+    return _unit_state(units, [*trades.columns, "t"], params)
+
+
+def _trade_state_by_tick(rows: DataFrame, trades: DataFrame, params: Params) -> DataFrame:
+    """State per trade by way of the sums per tick."""
+    rows = rows.withColumn("uid", F.shiftright("trade_id", ID_BLOCK_BITS))
+    state = _unit_state(_moments(rows), ["symbol", "t", "uid"], params)
+    tick = "PARTITION BY symbol, t, uid ORDER BY trade_id"
+    before = f"OVER ({tick} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    # The limbs are computed behind the shuffle by tick, which join and window share.
+    placed = _with_limbs(rows.repartition("symbol", "t", "uid")).selectExpr(
+        *trades.columns,
+        "t",
+        "uid",
+        f"CAST(row_number() OVER ({tick}) - 1 AS BIGINT) AS rank",
+        *[f"coalesce(sum({x}) {before}, 0L) AS tick_{x}" for x in fx.SUM_LIMBS],
+    )
+    return placed.join(state, ["symbol", "t", "uid"]).selectExpr(
+        *trades.columns,
+        "t",
+        "IF(rank = 0, gap_us, 0L) AS gap_us",
+        "rank = 0 AND is_purge AS is_purge",
+        "rank = 0 AND is_pause AS is_pause",
+        "purge_seg",
+        "pause_seg",
+        "n + rank AS n",
+        "n_since_gap + rank AS n_since_gap",
+        *[f"s_{x} + tick_{x} AS s_{x}" for x in fx.SUM_LIMBS],
+        "over_earlier",
     )
+
+
+def rolling_state(
+    trades: DataFrame, params: Params = Params(), by_tick: bool | None = None
+) -> DataFrame:
+    """Trades with the rolling state that held just before each of them.
+
+    Adds the enriched columns and ``t`` (epoch micros), ``gap_us``, ``is_purge``,
+    ``is_pause``, ``purge_seg``, ``pause_seg``, ``n``, ``n_since_gap``, ``mean``,
+    ``stdev``, ``pause_over`` and ``warm``.
+
+    ``by_tick`` says whether to go through sums per tick. Both ways give the same
+    result; by default the fullest slice is counted to choose.
+    """
+    if by_tick is None:
+        by_tick = largest_slice(trades, params) > params.max_slice_rows
+    rows = trades.select("*", F.unix_micros("event_time").alias("t"))
+    state = (_trade_state_by_tick if by_tick else _trade_state)(rows, trades, params)
+    need = params.warmup_min_samples
     sums = {x: F.col(f"s_{x}") for x in fx.SUM_LIMBS}
-    rows = with_usd(rows, params).select(
+    state = with_usd(state, params).select(
         "*",
-        F.expr(f"n >= {params.warmup_min_samples} AND pause_over").alias("warm"),
+        F.expr(f"over_earlier OR n_since_gap >= {need}").alias("pause_over"),
+        F.expr(f"n >= {need} AND (over_earlier OR n_since_gap >= {need})").alias("warm"),
         fx.mean_from_limbs(F.col("n"), sums).alias("mean"),
         fx.stdev_from_limbs(F.col("n"), sums).alias("stdev"),
     )
@@ -179,13 +263,29 @@ def rolling_state(trades: DataFrame, params: Params = Params()) -> DataFrame:
         F.col("warm") & (F.col("n") >= 2),
         fx.regularized_z(F.col("usd_value"), F.col("mean"), F.col("stdev")),
     )
-    rows = rows.select("*", z.alias("z_score"))
-    return rows.select("*", fx.anomaly_flag(F.col("z_score"), params).alias("is_anomaly"))
+    state = state.select("*", z.alias("z_score"))
+    return state.select("*", fx.anomaly_flag(F.col("z_score"), params).alias("is_anomaly"))
 
 
-def enrich(trades: DataFrame, params: Params = Params()) -> DataFrame:
+def enrich(
+    trades: DataFrame, params: Params = Params(), by_tick: bool | None = None
+) -> DataFrame:
     """Trades with USD value, size class, rolling z-score and anomaly flag."""
-    return rolling_state(trades, params).select(*ENRICHED_TRADE.fieldNames())
+    return rolling_state(trades, params, by_tick).select(*ENRICHED_TRADE.fieldNames())
+
+
+def distinct_trades(trades: DataFrame, key: tuple[str, ...] = ("trade_id", "event_time")) -> DataFrame:
+    """One trade per key, for input with replays; copies combine before the shuffle."""
+    rest = [c for c in trades.columns if c not in key]
+    first = F.min(F.struct(*rest)).alias("first")
+    return trades.groupBy(*key).agg(first).select(*key, "first.*").select(*trades.columns)
+
+
+def enrich_once(
+    trades: DataFrame, params: Params = Params(), dedup_before_enrich: bool = True
+) -> DataFrame:
+    """Enrichment of raw input; replayed trades do not count twice in the windows."""
+    return enrich(distinct_trades(trades) if dedup_before_enrich else trades, params)
 
 
 def table_row(enriched: DataFrame) -> DataFrame:
