@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.trade import (
@@ -15,6 +15,7 @@ from tickloom.functions.trade import (
     stdev_from_limbs,
     usd_units,
 )
+from tickloom.operators.enrich import ID_BLOCK_BITS
 from tickloom.operators.stats import (
     symbol_summary,
     symbol_windows,
@@ -42,16 +43,39 @@ SUMMARY_FIELDS = (
 )
 
 
+def positions(members: DataFrame) -> DataFrame:
+    """USD units of window members with their age rank per symbol, 1 for the newest.
+
+    Counts per clock tick are ranked first, then the trades within their tick, so no
+    single group holds all trades of a symbol.
+    """
+    rows = members.select(
+        "symbol",
+        "t",
+        F.shiftright("trade_id", ID_BLOCK_BITS).alias("uid"),
+        "trade_id",
+        usd_units(F.col("usd_value")).alias("q"),
+    )
+    newest = "PARTITION BY symbol ORDER BY t DESC, uid DESC"
+    ticks = (
+        rows.groupBy("symbol", "t", "uid")
+        .agg(F.count(F.lit(1)).alias("cnt"))
+        .selectExpr("symbol", "t", "uid", f"sum(cnt) OVER ({newest}) - cnt AS newer")
+    )
+    rank = "row_number() OVER (PARTITION BY symbol, t, uid ORDER BY trade_id DESC)"
+    return (
+        rows.selectExpr("*", f"{rank} AS rank")
+        .join(ticks, ["symbol", "t", "uid"])
+        .selectExpr("symbol", "q", "newer + rank AS pos")
+    )
+
+
 def aligned_pairs(members: DataFrame, pair: tuple[str, str]) -> DataFrame:
     """Window values of two symbols side by side, matched by age rank.
 
-    Both windows end at position 1. Positions run over one window of one symbol,
-    which the window length bounds; the pairing is one aggregate, not a self-join.
+    Both windows end at position 1. The pairing is one aggregate, not a self-join.
     """
-    newest = Window.partitionBy("symbol").orderBy(F.col("t").desc(), F.col("trade_id").desc())
-    placed = members.where(F.col("symbol").isin(*pair)).select(
-        "symbol", usd_units(F.col("usd_value")).alias("q"), F.row_number().over(newest).alias("pos")
-    )
+    placed = positions(members.where(F.col("symbol").isin(*pair)))
     first, second = (F.max(F.when(F.col("symbol") == s, F.col("q"))) for s in pair)
     return (
         placed.groupBy("pos")

@@ -73,21 +73,24 @@ def append_new(
     """Append the rows whose key is new; the first row of a key stays.
 
     A repeated call with the same rows writes nothing, so a batch that is tried
-    again after a failure does no harm. Only the days that occur in the batch are
-    looked up. ``order`` may use columns that are not stored, such as an offset.
+    again after a failure does no harm. Only the time span of the batch is looked
+    up: whole days and row groups outside it are skipped. ``order`` may use columns that are not stored, such as an offset.
     """
     rows, fresh = rows.persist(), None
     try:
         span = rows.agg(
             F.count(F.lit(1)).alias("n"),
-            F.to_date(F.min("time")).alias("first"),
-            F.to_date(F.max("time")).alias("last"),
+            F.min("time").alias("first"),
+            F.max("time").alias("last"),
         ).first()
         if span["n"] == 0:
             return SinkCounts(0, 0)
         stored = stored_or_none(spark, path)
-        if stored is not None:
-            stored = stored.where(F.col("day").between(F.lit(span["first"]), F.lit(span["last"])))
+        if stored is not None and "time" in key:
+            first, last = (F.lit(span[c]).cast("timestamp") for c in ("first", "last"))
+            stored = stored.where(F.col("time").between(first, last)).where(
+                F.col("day").between(F.to_date(first), F.to_date(last))
+            )
         fresh = new_rows(rows, stored, key, order).select(*TABLE_COLUMNS).persist()
         inserted = fresh.count()
         if inserted:

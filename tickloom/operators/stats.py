@@ -62,27 +62,40 @@ def live_stats(
 def window_members(trades: DataFrame, params: Params = Params()) -> DataFrame:
     """The trades inside each configured symbol's window as of its own last trade.
 
-    The last times are one row per configured symbol, so they are broadcast and the
-    trades are cut down where they are read. Only window contents are shuffled.
+    The last times, one row per configured symbol, are fetched first. They come back
+    as a broadcast table and as one literal bound, which lets the scan skip all data
+    that is older than every window.
     """
-    known = trades.where(F.col("symbol").isin(*params.symbols)).withColumn(
-        "t", F.unix_micros("event_time")
-    )
-    starts = known.groupBy("symbol").agg((F.max("t") - params.window_us).alias("from_t"))
-    tail = known.join(F.broadcast(starts), "symbol").where("t >= from_t").drop("from_t")
+    spark = trades.sparkSession
+    known = trades.where(F.col("symbol").isin(*params.symbols))
+    last = known.groupBy("symbol").agg(F.unix_micros(F.max("event_time")).alias("t")).collect()
+    starts = [(r["symbol"], r["t"] - params.window_us) for r in last]
+    bounds = spark.createDataFrame(starts, "symbol string, from_t long")
+    earliest = F.timestamp_micros(F.lit(min((t for _, t in starts), default=0)).cast("bigint"))
     usd = usd_value(F.col("price"), F.col("quantity"))
-    tail = tail.select(*trades.columns, "t", usd.alias("usd_value"))
+    tail = (
+        known.where(F.col("event_time") >= earliest)
+        .select("*", F.unix_micros("event_time").alias("t"), usd.alias("usd_value"))
+        .join(F.broadcast(bounds), "symbol")
+        .where("t >= from_t")
+        .drop("from_t")
+    )
     if params.purge_us >= params.window_us:
         return tail
-    # A purge inside the window hides what came before it.
-    in_order = "PARTITION BY symbol ORDER BY t DESC, trade_id DESC"
-    later = f"OVER ({in_order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    # A purge inside the window hides everything before it. Times are made distinct
+    # first, so one symbol's part has no more rows than its window has clock ticks.
+    gap_after = "lead(t) OVER (PARTITION BY symbol ORDER BY t) - t"
+    hidden = (
+        tail.select("symbol", "t")
+        .distinct()
+        .selectExpr("symbol", f"IF({gap_after} > {params.purge_us}, t, NULL) AS t")
+        .groupBy("symbol")
+        .agg(F.max("t").alias("hidden_t"))
+    )
     return (
-        tail.selectExpr("*", f"lag(t) OVER ({in_order}) - t AS gap_after")
-        .selectExpr("*", f"coalesce(gap_after > {params.purge_us}, false) AS ends_here")
-        .selectExpr("*", f"coalesce(bool_or(ends_here) {later}, false) OR ends_here AS purged")
-        .where("NOT purged")
-        .drop("gap_after", "ends_here", "purged")
+        tail.join(F.broadcast(hidden), "symbol")
+        .where("hidden_t IS NULL OR t > hidden_t")
+        .drop("hidden_t")
     )
 
 

@@ -30,6 +30,19 @@ def enrich_trades(spark, sf_dir):
     return _z(op.enrich(tb.trades(spark, sf_dir), SCALED))
 
 
+@query("enrich_by_tick", ENRICHED_SQL)
+def enrich_by_tick(spark, sf_dir):
+    """The same through sums per clock tick, the way taken when slices are too full."""
+    return _z(op.enrich(tb.trades(spark, sf_dir), SCALED, by_tick=True))
+
+
+@query("enrich_replayed", ENRICHED_SQL)
+def enrich_replayed(spark, sf_dir):
+    """All trades sent twice; replays are dropped before they count in the windows."""
+    rows = tb.trades(spark, sf_dir)
+    return _z(op.enrich_once(rows.unionByName(rows), SCALED))
+
+
 @query("usd_value", f"WITH {TRADES} SELECT trade_id, usd_value FROM priced")
 def usd_value(spark, sf_dir):
     return tb.trades(spark, sf_dir).select(

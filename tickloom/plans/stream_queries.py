@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 from tickloom.operators.enrich import table_row
 from tickloom.operators.quality import burst_windows
 from tickloom.plans import messages as ms
+from tickloom.plans import table_queries  # noqa: F401  (its SQL is shared)
 from tickloom.plans import tables as tb
 from tickloom.plans.enrich_queries import ENRICHED_SQL
 from tickloom.plans.ingest_queries import PARSED
 from tickloom.plans.registry import ORACLES, query
-from tickloom.plans.sql import TRADES
+from tickloom.plans.sql import TRADES, after, rolling
 from tickloom.plans.tables import SCALED
 from tickloom.schemas import TABLE_COLUMNS, TRADES_TABLE
 from tickloom.session import fresh_path
@@ -99,7 +100,7 @@ def stream_enrich(spark, sf_dir):
     return done.withColumn("z_score", F.round("z_score", 6))
 
 
-@query("stream_candles")
+@query("stream_candles", ORACLES["candles_1m"])
 def stream_candles(spark, sf_dir):
     """Candles kept up to date over the stored table read as a stream."""
     folder = tb.stored_path(spark, sf_dir)
@@ -123,12 +124,15 @@ def stream_dedup(spark, sf_dir):
     return _run_to_table(spark, rows.select("trade_id", "symbol", "event_time"), "distinct")
 
 
-@query("stream_late_rows")
+MIDDLE = "2024-01-16 00:00:00"
+
+
+@query("stream_late_rows", f"WITH {TRADES} SELECT * FROM trades WHERE event_time < TIMESTAMP '{MIDDLE}'")
 def stream_late_rows(spark, sf_dir):
     """Trades behind the watermark when the older half arrives after the newer half."""
     se.use_rocksdb(spark)
     rows = tb.trades(spark, sf_dir)
-    middle = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    middle = F.lit(MIDDLE).cast("timestamp")
     source = fresh_path(spark, "halves")
     rows.where(F.col("event_time") >= middle).write.parquet(f"{source}/part=1")
     first = se.enrich_stream(_parts(spark, source, rows.schema), SCALED, "1 hour")
@@ -148,7 +152,7 @@ def _parts(spark, source, schema):
     return spark.readStream.schema(schema).parquet(f"{source}/part=*")
 
 
-@query("stream_bursts")
+@query("stream_bursts", ORACLES["burst_windows"])
 def stream_bursts(spark, sf_dir):
     """Burst windows found on the stream."""
     rows = trade_stream(spark, sf_dir).withWatermark("event_time", "1 second")
@@ -166,7 +170,16 @@ def stream_bursts(spark, sf_dir):
     )
 
 
-@query("stream_push")
+@query(
+    "stream_push",
+    f"""WITH {rolling()}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY time DESC, trade_id DESC) AS rn
+  FROM enriched WHERE {after(tb.LONG_SECONDS)}), alarms AS (
+  SELECT trade_id FROM enriched WHERE is_anomaly AND {after(tb.LONG_SECONDS)}
+  ORDER BY time DESC, trade_id DESC LIMIT 10)
+SELECT 'trades' AS type, trade_id FROM ranked WHERE rn <= 20
+UNION ALL SELECT 'anomalies', trade_id FROM alarms""",
+)
 def stream_push(spark, sf_dir):
     """Push messages emitted once per micro-batch, read back as counts."""
     table = tb.stored_trades(spark, sf_dir)
@@ -199,8 +212,3 @@ def stream_sink(spark, sf_dir):
         rows = se.on_time(se.enrich_stream(trade_stream(spark, sf_dir), SCALED, "0 seconds"))
         jobs.once(jobs.table_sink(table_row(rows), path, fresh_path(spark, "sink-checkpoint")))
     return spark.read.parquet(path).select("trade_id", "symbol", "time")
-
-
-# Same question as in batch, same SQL.
-ORACLES["stream_candles"] = ORACLES["candles_1m"]
-ORACLES["stream_bursts"] = ORACLES["burst_windows"]
