@@ -56,11 +56,14 @@ def positions(members: DataFrame) -> DataFrame:
         "trade_id",
         usd_units(F.col("usd_value")).alias("q"),
     )
-    newest = "PARTITION BY symbol ORDER BY t DESC, uid DESC"
+    newest = (
+        "PARTITION BY symbol ORDER BY t DESC, uid DESC "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    )
     ticks = (
         rows.groupBy("symbol", "t", "uid")
         .agg(F.count(F.lit(1)).alias("cnt"))
-        .selectExpr("symbol", "t", "uid", f"sum(cnt) OVER ({newest} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - cnt AS newer")
+        .selectExpr("symbol", "t", "uid", f"sum(cnt) OVER ({newest}) - cnt AS newer")
     )
     rank = "row_number() OVER (PARTITION BY symbol, t, uid ORDER BY trade_id DESC)"
     return (

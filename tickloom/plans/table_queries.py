@@ -418,7 +418,7 @@ def feed_tabs(spark, sf_dir):
   ORDER BY time DESC, trade_id DESC LIMIT 10)
 SELECT 'anomalies' AS type, CAST(count(*) AS INTEGER) AS row_count,
        arg_max(trade_id, (time, trade_id)) AS newest_id, arg_min(trade_id, (time, trade_id)) AS oldest_id
-FROM feed""",
+FROM feed HAVING count(*) > 0""",
 )
 def push_envelope(spark, sf_dir):
     """One push message, read back: its type, size, first and last row."""
