@@ -15,13 +15,13 @@ from collections import deque
 from collections.abc import Iterator
 from math import sqrt
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.functions import trade as fx
-from tickloom.operators.enrich import with_usd
 from tickloom.params import Params
 from tickloom.schemas import ENRICHED_TRADE
 
@@ -30,12 +30,17 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 # Trades of this symbol only move the watermark forward and never come out.
 HEARTBEAT = "__HEARTBEAT__"
 
-TRADE_STATE = (
-    "t long, trade_id long, price double, quantity double, usd_value double, "
-    "classification string"
+# Trades and window entries are kept in state as packed arrays, one value per batch
+# instead of one per trade.
+TRADE = np.dtype(
+    [("t", "i8"), ("trade_id", "i8"), ("price", "f8"), ("quantity", "f8"), ("usd_value", "f8")]
+)
+ENTRY = np.dtype([("t", "i8"), ("q", "i8")])
+TRADE_FIELDS = list(TRADE.names)
+OUTPUT = (
+    "symbol string, t long, trade_id long, price double, quantity double, usd_value double, "
+    "z_score double, is_anomaly boolean, late boolean"
 )
-OUTPUT = f"symbol string, {TRADE_STATE}, z_score double, is_anomaly boolean, late boolean"
-TRADE_FIELDS = [part.split()[0] for part in TRADE_STATE.split(", ")]
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -97,8 +102,8 @@ class RollingEnricher(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", TRADE_STATE)
-        self.window = handle.getListState("window", "t long, q long")
+        self.waiting = handle.getListState("waiting", "trades binary")
+        self.window = handle.getValueState("window", "entries binary")
         self.pause = handle.getValueState(
             "pause", "last_t long, paused boolean, resume_from long"
         )
@@ -117,45 +122,49 @@ class RollingEnricher(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         passed_ms = timerValues.getCurrentWatermarkInMs()
         for batch in rows:
-            late = batch["t"] // 1000 <= passed_ms if passed_ms > 0 else batch["t"] < batch["t"]
+            trades = np.empty(len(batch), TRADE)
+            for name in TRADE_FIELDS:
+                trades[name] = batch[name].to_numpy()
+            late = (trades["t"] // 1000 <= passed_ms) & (passed_ms > 0)
             if late.any():
-                yield self._shape(
-                    key[0], batch.loc[late, TRADE_FIELDS].assign(z_score=None, is_anomaly=False), True
-                )
-            kept = batch.loc[~late, TRADE_FIELDS]
+                count = int(late.sum())
+                yield self._shape(key[0], trades[late], [None] * count, [False] * count, True)
+            kept = trades[~late]
             if len(kept):
-                self.waiting.appendList(list(kept.itertuples(index=False, name=None)))
+                self.waiting.appendValue((kept.tobytes(),))
                 self._set_alarm(int(kept["t"].min()) // 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed_ms = timerValues.getCurrentWatermarkInMs()
         self.alarm.clear()
-        ready, later = [], []
-        for row in self.waiting.get():
-            (ready if row[0] // 1000 <= passed_ms else later).append(tuple(row))
-        if later:
-            self.waiting.put(later)
-            self._set_alarm(min(row[0] for row in later) // 1000)
+        held = np.concatenate([np.frombuffer(r[0], TRADE) for r in self.waiting.get()])
+        due = held["t"] // 1000 <= passed_ms
+        ready, later = held[due], held[~due]
+        if len(later):
+            self.waiting.put([(later.tobytes(),)])
+            self._set_alarm(int(later["t"].min()) // 1000)
         else:
             self.waiting.clear()
-        if not ready:
+        if not len(ready):
             return
-        out = pd.DataFrame(sorted(ready, key=lambda r: (r[0], r[1])), columns=TRADE_FIELDS)
+        ready = ready[np.lexsort((ready["trade_id"], ready["t"]))]
         state = self.pause.get() if self.pause.exists() else (None, False, None)
-        entries = [(r[0], r[1]) for r in self.window.get()] if self.window.exists() else []
-        window = RollingWindow(self.params, entries, *state)
-        z = [window.score(int(t), usd) for t, usd in zip(out["t"], out["usd_value"])]
-        self.window.put(list(window.entries))
+        packed = self.window.get()[0] if self.window.exists() else b""
+        window = RollingWindow(self.params, np.frombuffer(packed, ENTRY).tolist(), *state)
+        z = [window.score(t, usd) for t, usd in zip(ready["t"].tolist(), ready["usd_value"].tolist())]
+        self.window.update((np.array(window.entries, ENTRY).tobytes(),))
         self.pause.update((window.last_t, window.paused, window.resume_from))
         limit = self.params.z_score_threshold
         flags = [x is not None and abs(x) > limit for x in z]
-        yield self._shape(key[0], out.assign(z_score=z, is_anomaly=flags), False)
+        yield self._shape(key[0], ready, z, flags, False)
 
     @staticmethod
-    def _shape(symbol: str, rows: pd.DataFrame, late: bool) -> pd.DataFrame:
-        rows = rows.assign(symbol=symbol, late=late)
-        rows["z_score"] = rows["z_score"].astype("float64")
-        return rows[["symbol", *TRADE_FIELDS, "z_score", "is_anomaly", "late"]]
+    def _shape(symbol: str, trades: np.ndarray, z: list, flags: list, late: bool) -> pd.DataFrame:
+        columns = {name: trades[name] for name in TRADE_FIELDS}
+        scores = np.array(z, dtype="float64")
+        return pd.DataFrame(
+            {"symbol": symbol, **columns, "z_score": scores, "is_anomaly": flags, "late": late}
+        )
 
     def close(self) -> None:
         pass
@@ -165,7 +174,8 @@ def enrich_stream(
     trades: DataFrame, params: Params = Params(), delay: str = "10 seconds"
 ) -> DataFrame:
     """Enriched trades of a stream, plus ``late`` for those behind the watermark."""
-    rows = with_usd(trades.withWatermark("event_time", delay), params)
+    usd = fx.usd_value(F.col("price"), F.col("quantity"))
+    rows = trades.withWatermark("event_time", delay).withColumn("usd_value", usd)
     # Without the watermarked column among its input the operator gets late rows too.
     rows = rows.select(
         "symbol",
@@ -181,6 +191,7 @@ def enrich_stream(
     return (
         out.where(F.col("symbol") != HEARTBEAT)
         .withColumn("event_time", F.timestamp_micros("t"))
+        .withColumn("classification", fx.size_class(F.col("usd_value"), params))
         .withColumn("z_score", F.when(~F.isnan("z_score"), F.col("z_score")))
         .select(*ENRICHED_TRADE.fieldNames(), "late")
     )
