@@ -7,7 +7,8 @@ from tickloom.operators import validate as va
 from tickloom.params import Params
 from tickloom.schemas import RAW_TRADE
 from tickloom.sources.topic import decode_topic, encode_topic
-from tickloom.sources.wire import parse_wire
+from tickloom.operators.quality import observed
+from tickloom.sources.wire import parse_wire, read_wire, wire_trades
 
 GOOD = {"e": "aggTrade", "E": 5, "s": "BTCUSDT", "a": 7, "p": "1.5", "q": "2", "T": 1500, "m": True}
 
@@ -155,3 +156,13 @@ def test_validation_faults(spark):
         5: (None, "missing_field"),
     }
     assert va.good_trades(df).count() == 1 and va.bad_trades(df).count() == 4
+
+
+def test_counts_pass_with_the_rows(spark, tmp_path):
+    texts = [message(), message(), message(e="trade"), "{cut"]
+    path = str(tmp_path / "wire")
+    spark.createDataFrame([(t,) for t in texts], "value string").write.text(path)
+    rows, watch = observed(parse_wire(read_wire(spark, path)), "ingest")
+    assert len(rows.collect()) == 4
+    assert watch.get == {"received": 4, "ok": 2, "ignored": 1, "parse_error": 1}
+    assert wire_trades(read_wire(spark, path)).count() == 2

@@ -4,8 +4,6 @@ import random
 from datetime import timedelta
 
 import pytest
-from pyspark.sql import functions as F
-
 from tickloom.operators.candles import candles
 from tickloom.operators.enrich import enrich, table_row
 from tickloom.params import Params

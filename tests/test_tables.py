@@ -3,7 +3,6 @@
 import json
 from datetime import datetime, timedelta, timezone
 
-import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import candles as cd

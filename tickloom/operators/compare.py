@@ -23,6 +23,7 @@ from tickloom.operators.stats import (
     window_summary,
 )
 from tickloom.params import Params
+from tickloom.session import settled
 
 RECENT = 5  # trades that count as recent activity
 MIN_FOR_CORRELATION = 5
@@ -179,7 +180,8 @@ def cross_asset_comparison(
     """Full comparison of two symbols from their trades, one row."""
     pair = pair or params.symbols[:2]
     chosen = _pair_params(params, pair)
-    members = window_members(trades, chosen)
+    # Three parts of the plan use the windows, which are as small as the window is short.
+    members = settled(window_members(trades, chosen), "windows")
     summary = symbol_windows(trades, members, chosen).withColumn(
         "status", F.lit(None).cast("string")
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tickloom.functions.timing import time_bucket
 from tickloom.params import Params
 
 
@@ -63,10 +62,3 @@ def burst_windows(trades: DataFrame, params: Params = Params()) -> DataFrame:
         "trade_count",
         rate.alias("rate_per_second"),
     ).where(rate > params.ingestion_rate_threshold)
-
-
-def trades_per_bucket(trades: DataFrame, width_seconds: int) -> DataFrame:
-    """Trades by fixed-width bucket."""
-    return trades.groupBy(
-        time_bucket(width_seconds, F.col("event_time")).alias("bucket")
-    ).agg(F.count(F.lit(1)).alias("trade_count"))

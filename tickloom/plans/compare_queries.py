@@ -7,7 +7,7 @@ from tickloom.operators import compare as cp
 from tickloom.operators.stats import window_members
 from tickloom.plans import tables as tb
 from tickloom.plans.registry import query
-from tickloom.plans.sql import after, rolling
+from tickloom.plans.sql import rolling
 from tickloom.plans.table_queries import SUMMARY, WINDOW
 from tickloom.plans.tables import PAIR, SCALED
 

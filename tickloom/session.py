@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # The JVM does not compile methods of more bytes than this. Longer generated stages
@@ -35,6 +35,17 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """A small intermediate result, written to the shared folder and read back.
+
+    For results that several parts of a plan use; they are then computed only once.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder, never used before."""
     app = spark.sparkContext.applicationId
