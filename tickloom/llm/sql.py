@@ -64,8 +64,60 @@ def quality_sql(docs: str = "documents") -> str:
     SELECT *, NOT base_failed AND {rules} AS kept FROM judged"""
 
 
+def shingles_sql(table: str, name: str) -> str:
+    """CTEs ``<name>_rows`` (k and the columns of a table) and ``<name>`` (k, s): the distinct
+    shingles of each row."""
+    folded = (
+        "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    )
+    return f"""
+    {name}_rows AS (SELECT row_number() OVER () AS k, * FROM {table}),
+    {name}_words AS (
+        SELECT k, regexp_extract_all({folded}, '[^\x20\x09-\x0D]+') AS ws FROM {name}_rows),
+    {name}_each AS (
+        SELECT k, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM {name}_words),
+    {name}_grams AS (
+        SELECT k, n, i, string_agg(w, ' ') OVER (PARTITION BY k ORDER BY i
+            ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS s FROM {name}_each),
+    {name} AS (SELECT DISTINCT k, s FROM {name}_grams WHERE i = 1 OR i + 4 <= n)"""
+
+
+def contaminated_sql(docs: str = "documents", items: str = "benchmark") -> str:
+    return f"""
+    WITH {shingles_sql(docs, "d")}, {shingles_sql(items, "b")},
+    sizes AS (SELECT k, count(*) AS n FROM b GROUP BY k),
+    pairs AS (
+        SELECT d.k AS dk, b.k AS bk, count(*) AS shared FROM d JOIN b USING (s) GROUP BY d.k, b.k)
+    SELECT doc_id, item_id, n AS n_item_shingles, shared AS n_shared, dk
+    FROM pairs JOIN sizes ON bk = sizes.k JOIN d_rows ON dk = d_rows.k JOIN b_rows ON bk = b_rows.k
+    WHERE 100 * shared >= 75 * n"""
+
+
+def classes_sql(docs: str = "documents") -> str:
+    """Links by an inverted index over whole sets, components by recursion."""
+    return f"""
+    WITH RECURSIVE {shingles_sql(docs, "d")},
+    sizes AS (SELECT k, count(*) AS n FROM d GROUP BY k),
+    pairs AS (
+        SELECT a.k AS x, b.k AS y, count(*) AS shared FROM d a JOIN d b ON a.s = b.s AND a.k <> b.k
+        GROUP BY a.k, b.k),
+    linked AS (
+        SELECT x, y FROM pairs JOIN sizes a ON x = a.k JOIN sizes b ON y = b.k
+        WHERE 100 * shared >= 75 * (a.n + b.n - shared)),
+    reached(k, r) AS (
+        SELECT k, k FROM d_rows UNION SELECT reached.k, y FROM reached JOIN linked ON r = x)
+    SELECT d_rows.k, any_value(d_rows.doc_id) AS doc_id,
+        coalesce(any_value(sizes.n), 0)::BIGINT AS n_shingles, min(other.doc_id) AS component_id
+    FROM reached JOIN d_rows USING (k) LEFT JOIN sizes USING (k) JOIN d_rows other ON r = other.k
+    GROUP BY d_rows.k"""
+
+
 ORACLES: dict[str, str] = {
     "op3_quality_rules": f"""
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
     FROM ({quality_sql()})""",
+    "op1_decontamination": f"""
+    SELECT doc_id, item_id, n_item_shingles, n_shared FROM ({contaminated_sql()})""",
+    "op9_jaccard_join": f"""
+    SELECT doc_id, n_shingles, component_id FROM ({classes_sql()})""",
 }
