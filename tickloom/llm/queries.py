@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, jaccard_join, mixing, quality, sharding, token_files
+from tickloom.llm import decontaminate, jaccard_join, mixing, quality, sharding, suffix_dedup, token_files
 from tickloom.llm.sql import ORACLES
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,13 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.strip_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(documents(spark, sf_dir))
