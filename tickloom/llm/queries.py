@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, jaccard_join, mixing, quality, sharding, suffix_dedup, token_files
+from tickloom.llm import decontaminate, jaccard_join, lm_scoring, mixing, quality, sharding, suffix_dedup, token_files
 from tickloom.llm.sql import ORACLES
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(documents(spark, sf_dir))
+
+
 @query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(documents(spark, sf_dir), tokenizer_file())

@@ -125,7 +125,9 @@ def read_token_files(files: DataFrame) -> DataFrame:
     """
     # One row per file pair.
     base = "coalesce(sum(n_ids) OVER (ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"
-    based = files.selectExpr("shard", "path", f"{base} AS base").repartition("shard")
+    based = files.selectExpr("shard", "path", f"{base} AS base")
+    # A task per file pair; by a number, so that rows this small are not put together.
+    based = based.repartition(max(1, files.count()), "shard")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
