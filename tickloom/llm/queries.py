@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, jaccard_join, lm_scoring, mixing, quality, sharding, suffix_dedup, token_files
+from tickloom.llm import decontaminate, jaccard_join, lm_scoring, mixing, quality, sharding, substring_dedup, suffix_dedup, token_files
 from tickloom.llm.sql import ORACLES
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), items)
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(documents(spark, sf_dir))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(documents(spark, sf_dir)).select(

@@ -37,11 +37,20 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+# Shuffle files of a finished write serve nobody any more.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame, written and read back: it is worked out once, and no lost machine matters."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     back = spark.read.schema(df.schema).parquet(path)
     back._llm_path = path
     return back

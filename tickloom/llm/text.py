@@ -39,6 +39,23 @@ def bound(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _window_hashes(ws: Column, size: int) -> Column:
+    return F.transform(
+        F.sequence(F.lit(0), F.size(ws) - size),
+        lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(size)]),
+    )
+
+
+def shingle_sequence(text: Column, size: int = SHINGLE_WORDS) -> Column:
+    """64-bit hashes of all word shingles in order, repeats included; none for shorter texts."""
+    return bound(
+        words(fold(text)),
+        lambda ws: F.when(F.size(ws) >= size, _window_hashes(ws, size)).otherwise(
+            F.array().cast("array<bigint>")
+        ),
+    )
+
+
 def shingle_hashes(text: Column, size: int = SHINGLE_WORDS) -> Column:
     """Distinct 64-bit hashes of the word shingles of a text.
 
@@ -46,13 +63,7 @@ def shingle_hashes(text: Column, size: int = SHINGLE_WORDS) -> Column:
     shingle; a text without words, or NULL, has none.
     """
     from_words = lambda ws: F.when(
-        F.size(ws) >= size,
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(0), F.size(ws) - size),
-                lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(size)]),
-            )
-        ),
+        F.size(ws) >= size, F.array_distinct(_window_hashes(ws, size))
     ).when(F.size(ws) > 0, F.array(F.xxhash64(ws))).otherwise(F.array().cast("array<bigint>"))
     return bound(words(fold(text)), from_words)
 
