@@ -11,7 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, jaccard_join, lm_scoring, mixing, quality, sharding, substring_dedup, suffix_dedup, token_files
+from tickloom.llm import (
+    decontaminate,
+    jaccard_join,
+    lm_scoring,
+    mixing,
+    quality,
+    sharding,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    token_files,
+)
 from tickloom.llm.sql import ORACLES
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +77,16 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(documents(spark, sf_dir))
 
 
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after personal data is masked, a real edit of many documents."""
+    counted = token_counts.count_tokens(documents(spark, sf_dir), tokenizer_file())
+    edited = counted.withColumn("edits", token_counts.masking_edits(F.col("text")))
+    return token_counts.apply_edits(edited, tokenizer_file()).select(
+        "doc_id", "tokens_before", "n_edits", "n_tokens", "encoded_chars"
+    )
+
+
 @query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(documents(spark, sf_dir), tokenizer_file())
