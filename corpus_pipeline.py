@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm import decontaminate, jaccard_join, mixing, quality, token_files
+from tickloom.llm.columns import named
 from tickloom.llm.queries import documents, tokenizer_file
 from tickloom.llm.scratch import written
 
@@ -32,7 +33,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of all sources, as often as the target weights ask for."""
-    return mixing.mix_sources(docs).select(*[f"`{c}`" for c in docs.columns])
+    return mixing.mix_sources(docs).select(*[named(c) for c in docs.columns])
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

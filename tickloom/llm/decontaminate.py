@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import text as tx
+from tickloom.llm.columns import carried, restored
 from tickloom.llm.scratch import written
 
 CONTAINED = 75  # of 100 shingles
@@ -113,5 +114,6 @@ def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that contain no item, with the columns they came with."""
     bad = _pairs(docs, items).select(F.col("doc_id").alias("_doc"), F.col("_t").alias("_text"))
     bad = written(bad.distinct(), "contaminated")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_text"))
-    return docs.join(bad, same, "left_anti")
+    rows = docs.select(*carried(docs), "doc_id", F.xxhash64("text").alias("_t"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_t") == F.col("_text"))
+    return rows.join(bad, same, "left_anti").select(*restored(docs))

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import text as tx
+from tickloom.llm.columns import carried, restored
 from tickloom.llm.components import components
 from tickloom.llm.scratch import drop, written
 
@@ -424,9 +425,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.isnull("doc_id").alias("late"), "doc_id", "text_hash")).alias("r")
     kept = rows.where("n > 0").groupBy("label").agg(first).select("r.doc_id", "r.text_hash")
     kept = written(kept.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text")), "kept")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_text"))
+    texts = docs.select(*carried(docs), "doc_id", "text", F.xxhash64("text").alias("_t"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_t") == F.col("_text"))
     worded = F.coalesce(F.col("text").rlike(tx.WORD), F.lit(False))
-    stay = docs.where(~worded).union(docs.where(worded).join(kept, same, "left_semi"))
+    stay = texts.where(~worded).union(texts.where(worded).join(kept, same, "left_semi"))
     # Rows that agree in id and text are in one component; of these, too, one stays.
     again = (
         rows.where("n > 0")
@@ -436,7 +438,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
         .select("_doc", "_text")
     )
     again = written(again, "repeated")
-    if again.isEmpty():
-        return stay
-    repeated = stay.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return stay.join(again, same, "left_anti").union(repeated)
+    if not again.isEmpty():
+        repeated = stay.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+        stay = stay.join(again, same, "left_anti").union(repeated)
+    return stay.select(*restored(docs))

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm import text as tx
+from tickloom.llm.columns import carried, restored
 from tickloom.llm.scratch import written
 
 LARGE = 64  # a document above 1 / LARGE of its source is a block of its own
@@ -48,7 +49,7 @@ class Mix:
     seed: int = 7
 
 
-ADDED = ("size", "source_size", "target", "draws", "_h", "_bucket", "_large", "_nth", "_before")
+ADDED = ("size", "source_size", "target", "draws")
 
 
 def targets(sizes: list[int], mix: Mix) -> list[float]:
@@ -130,9 +131,9 @@ def large_copies(sizes: list[int], ratio: float, most: int) -> list[int]:
 
 
 def _sized(docs: DataFrame, mix: Mix) -> DataFrame:
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
     return docs.select(
-        *rest,
+        *carried(docs),
+        F.col("source").cast("string").alias("source"),
         tx.word_count(F.col("text")).alias("size"),
         F.xxhash64(F.lit(mix.seed), F.col("doc_id"), F.col("text")).alias("_h"),
     )
@@ -157,7 +158,7 @@ def plan_mix(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     take it, once for each time it is taken."""
     spark = docs.sparkSession
     narrow = written(
-        _sized(docs, mix).select(F.col("source").cast("string").alias("_source"), "size", "_h"),
+        _sized(docs, mix).select(F.col("source").alias("_source"), "size", "_h"),
         "sizes",
     )
     totals = narrow.groupBy(F.col("_source").alias("s")).agg(
@@ -209,7 +210,7 @@ def plan_mix(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     # One row per source, or one row per 50,000 documents of a source: small beside the
     # documents at any size. Spark broadcasts them if they are below its limit.
     rows = _sized(docs, mix).join(
-        F.broadcast(info), F.col("source").cast("string").eqNullSafe(F.col("_source"))
+        F.broadcast(info), F.col("source").eqNullSafe(F.col("_source"))
     )
     rows = _nth(_bucketed(rows, F.col("source_size"), bits))
     rows = rows.join(
@@ -233,9 +234,8 @@ def plan_mix(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         last > first,
         F.transform(F.sequence(first, last - 1), lambda j: shard_of(F.col("_large_ends"), j)),
     ).otherwise(F.array().cast("array<int>"))
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
     return rows.select(
-        *kept,
+        *restored(docs, ADDED),
         "size",
         "source_size",
         "target",
@@ -271,10 +271,11 @@ def _placed(narrow: DataFrame, totals: DataFrame, bits: int) -> DataFrame:
 def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mix: documents, repeated as often as they are drawn, with ``shard`` and the
     ``shuffle_key`` by which a shard is to be ordered."""
-    taken = plan_mix(docs, mix).select("*", F.posexplode("draws").alias("copy", "shard"))
+    rows = docs.select(*carried(docs), "doc_id", "text", "source")
+    taken = plan_mix(rows, mix).select("*", F.posexplode("draws").alias("copy", "shard"))
     key = F.xxhash64(F.lit(mix.seed + 1), "doc_id", "text", "copy")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (*ADDED, "shard", "copy")]
-    return taken.select(*kept, "copy", "shard", key.alias("shuffle_key"))
+    added = ("copy", "shard", "shuffle_key")
+    return taken.select(*restored(docs, added), "copy", "shard", key.alias("shuffle_key"))
 
 
 def write_mix(docs: DataFrame, path: str, mix: Mix = Mix()) -> None:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import text as tx
+from tickloom.llm.columns import carried, restored
 
 REPEAT_WINDOW = 5
 
@@ -152,17 +153,20 @@ def _counts(content: Column) -> Column:
 
 def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents with the counts of their texts, ``base_failed`` and ``kept``."""
-    mine = {*COUNTS, "base_failed", "kept", "_counts"}
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in mine]
-    counted = docs.select(*rest, _counts(F.coalesce(F.col("text"), F.lit(""))).alias("_counts"))
-    counted = counted.select(*rest, "_counts.*")
+    counts = _counts(F.coalesce(F.col("text"), F.lit(""))).alias("_counts")
+    counted = docs.select(*carried(docs), counts).select("*", "_counts.*")
     failed = (F.col("n_words") < BASE_WORDS) | ~BASE_REPEATS.passes()
     verdict = ~failed
     for rule in rules:
         verdict = verdict & rule.passes()
-    return counted.select("*", failed.alias("base_failed"), verdict.alias("kept"))
+    added = [*COUNTS, "base_failed", "kept"]
+    return counted.select(
+        *restored(docs, added), *COUNTS, failed.alias("base_failed"), verdict.alias("kept")
+    )
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass all rules, with the columns they came with."""
-    return measure(docs, rules).where("kept").select(*[f"`{c}`" for c in docs.columns])
+    rows = docs.select(*carried(docs), F.col("text").alias("text"))
+    good = measure(rows, rules).where("kept")
+    return good.select(*restored(docs))

@@ -30,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.columns import carried, restored
 from tickloom.llm.scratch import written
 
 ID_BITS = 23
-ADDED = ("size", "shard", "slot", "_key", "_range")
+ADDED = ("size", "shard", "slot")
 
 
 @dataclass(frozen=True)
@@ -162,15 +163,18 @@ def shard_documents(docs: DataFrame, spec: Shards = Shards()) -> DataFrame:
     def range_of(key: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(ranges, key.to_numpy(), side="right").astype(np.int32))
 
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
-    placed = docs.select(*kept, byte_size().alias("size"), document_key().alias("_key"))
+    placed = docs.select(
+        *carried(docs), "doc_id", byte_size().alias("size"), document_key().alias("_key")
+    )
     placed = placed.select("*", range_of("_key").alias("_range"))
     nth = F.expr("row_number() OVER (PARTITION BY _range ORDER BY _key, doc_id, size) - 1")
     # One row per range; Spark broadcasts it if it is below the session's limit.
     return (
         placed.select("*", nth.alias("_nth"))
         .join(info, F.col("_range") == F.col("_r"))
-        .select(*kept, "size", "shard", (F.col("_offset") + F.col("_nth")).alias("slot"))
+        .select(
+            *restored(docs, ADDED), "size", "shard", (F.col("_offset") + F.col("_nth")).alias("slot")
+        )
     )
 
 
