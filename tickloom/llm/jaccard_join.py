@@ -8,14 +8,17 @@ T = ceil(0.75 n) of its shingles. That bound is used three times:
    buckets of hashes that are shipped as packed arrays. A node that has too few shingles that
    anybody else has can have no partner, and leaves. So do, by exact counts over all shingles of
    those that stayed, most documents that merely share a passage.
+   A pair of n and m shingles needs an overlap of 3 (n + m) / 7, which must not exceed what
+   either of them shares with anybody.
 2. Merging. Of x's lists (shingle -> nodes that have it) the L longest are set aside, with
    L = T / (mu log2(longest) + 1). A partner occurs T - L times in the short lists. Within a list
-   all members are first compared with one of them, drawn anew each round; verified links join
-   nodes to components, so a family of any size needs comparisons in proportion to its size.
-   What is left are pairs in different components: the short lists of x, restricted to other
+   all members are first compared with one of them: the most typical one, then others, drawn anew
+   each round while rounds find links. Verified links join nodes to components, so a family of
+   any size needs comparisons in proportion to its size. What is left are pairs in different
+   components: the short lists of x, in the smaller component, restricted to the other
    components, are merged by a heap of their heads, which counts occurrences.
-3. Probing. Those that occur T - L times are looked up in the long lists, by binary search for
-   each of x's set-aside shingles in the partner's sorted shingles, which completes the overlap.
+3. Probing. For those that occur often enough, x's shingles, those of its long lists first, are
+   looked up in the partner's sorted shingles by binary search, which gives the overlap.
 
 No pair within a component is ever formed, and no link between different sets is lost: every pair
 of nodes in different components that passes the bounds is verified.
@@ -47,7 +50,7 @@ LINKED = 75  # of 100
 MU = 0.01  # weight of probing against merging
 BLOCK_TOKENS = 1_000_000  # shingles that one task packs together
 BUCKET_BYTES = 16 << 20  # text per bucket of hashes
-ROUNDS = 2  # of comparison with one member of each list
+ROUNDS = 6  # at most, of comparison with one member of each list
 
 _PACKED = "bucket int, block bigint, tokens binary, owners binary"
 _SETS = "doc_id bigint, text_hash bigint, set_id bigint, n int, active boolean"
@@ -260,6 +263,7 @@ def _lists(nodes: DataFrame) -> DataFrame:
         "x",
         "n",
         "least",
+        F.size("ts").alias("a"),
         F.slice(tokens, F.lit(1), kept).alias("short"),
         F.slice(tokens, kept + 1, F.col("aside")).alias("rest"),
         "shingles",
@@ -275,47 +279,45 @@ def _verified(pairs: DataFrame, lists: DataFrame) -> DataFrame:
     return both.where(shared * 100 >= union * LINKED).select("x", "y")
 
 
-def _close_in_size():
+def _pair_least():
+    """The overlap that sets of n and m shingles need."""
+    return F.ceil((F.col("n") + F.col("m")) * LINKED / (100 + LINKED)).cast("int")
+
+
+def _possible():
+    """Whether sets of n and m shingles, of which others have a and a2, can be linked."""
     small, large = F.least("n", "m"), F.greatest("n", "m")
-    return small * 100 >= large * LINKED
+    return (small * 100 >= large * LINKED) & (_pair_least() <= F.least("a", "a2"))
 
 
 def _merge(table: pa.Table) -> pa.Table:
-    """Of one x: the partners that occur often enough in its short lists, and how often.
+    """Of one x: the partners that occur often enough in its short lists.
 
     The lists come sorted; a heap of their heads yields the members in order.
     """
-    x, least, aside = (table.column(c)[0].as_py() for c in ("x", "least", "aside"))
-    need = least - aside
-    lists = [np.sort(m.values.to_numpy()) for m in table.column("members")]
+    x = table.column("x")[0].as_py()
+    lists = []
+    for part in table.column("members"):
+        fields = part.values
+        lists.append(list(zip(fields.field("y").to_pylist(), fields.field("need").to_pylist())))
     out, now, count = [], None, 0
-    for y in heapq.merge(*(part.tolist() for part in lists)):
-        if y != now:
-            if now is not None and count >= need:
-                out.append((now, count))
-            now, count = y, 0
-        count += 1
-    if now is not None and count >= need:
-        out.append((now, count))
-    return pa.table(
-        {
-            "x": pa.array([x] * len(out), pa.int64()),
-            "y": pa.array([y for y, _ in out], pa.int64()),
-            "found": pa.array([c for _, c in out], pa.int32()),
-        }
-    )
+    for member in heapq.merge(*lists):
+        count = count + 1 if member == now else 1
+        now = member
+        if count == member[1]:
+            out.append(member[0])
+    return pa.table({"x": pa.array([x] * len(out), pa.int64()), "y": pa.array(out, pa.int64())})
 
 
 def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Look each partner up in the long lists of x; keep the linked pairs."""
+    """Look the shingles of x up in each partner's by binary search; keep the linked pairs."""
     for batch in batches:
-        x, y, found, n, rest, theirs = (batch.column(i) for i in range(6))
+        x, y, n, mine, theirs = (batch.column(i) for i in range(5))
         keep = []
         for i in range(batch.num_rows):
-            mine, other = rest[i].values.to_numpy(), theirs[i].values.to_numpy()
-            at = np.searchsorted(other, mine)
-            at[at == len(other)] = 0
-            shared = found[i].as_py() + int((other[at] == mine).sum()) if len(other) else 0
+            own, other = mine[i].values.to_numpy(), theirs[i].values.to_numpy()
+            at = np.minimum(np.searchsorted(other, own), len(other) - 1)
+            shared = int((other[at] == own).sum())
             if shared * 100 >= (n[i].as_py() + len(other) - shared) * LINKED:
                 keep.append(i)
         linked = [c.take(pa.array(keep, pa.int64())) for c in (x, y)]
@@ -325,7 +327,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(lists: DataFrame) -> DataFrame:
     """Links that join every node to its component: pairs (a, b) of sets; not all pairs."""
     short = written(
-        lists.select("x", "n", F.explode("short").alias("token")), "short"
+        lists.select("x", "n", "a", F.explode("short").alias("token")), "short"
     )
     edges: DataFrame | None = None
     labels: DataFrame | None = None
@@ -337,13 +339,14 @@ def links(lists: DataFrame) -> DataFrame:
         return rows.join(found, key, "left").withColumn(name, F.coalesce(name, key))
 
     for turn in range(ROUNDS):
-        rank = F.xxhash64("x", F.lit(turn))
-        heads = short.groupBy("token").agg(
-            F.min(F.struct(rank.alias("r"), F.col("x").alias("y"), F.col("n").alias("m"))).alias("h")
-        )
-        stars = short.join(heads.select("token", "h.y", "h.m"), "token").where(
-            (F.col("x") != F.col("y")) & _close_in_size()
+        # First the member with the fewest shingles that nobody else has.
+        rank = F.xxhash64("x", F.lit(turn)) if turn else (F.col("n") - F.col("a")).cast("bigint")
+        head = F.struct(
+            rank.alias("r"), F.col("x").alias("y"), F.col("n").alias("m"), F.col("a").alias("a2")
         )
+        heads = short.groupBy("token").agg(F.min(head).alias("h"))
+        stars = short.join(heads.select("token", "h.y", "h.m", "h.a2"), "token")
+        stars = stars.where((F.col("x") != F.col("y")) & _possible())
         # Of the members it met, x is compared with the one it met most often.
         pairs = (
             stars.groupBy("x", "y")
@@ -353,38 +356,50 @@ def links(lists: DataFrame) -> DataFrame:
         )
         pairs = labelled(labelled(pairs, "x", "lx"), "y", "ly").where("lx <> ly").select("x", "y")
         new = _verified(pairs, lists).select(F.col("x").alias("a"), F.col("y").alias("b"))
-        edges = written(new if edges is None else edges.union(new), "links")
+        new = written(new, "links")
+        if edges is not None and new.isEmpty():
+            break
+        edges = new if edges is None else edges.union(new)
         labels = components(edges)
 
-    # Pairs in different components that share a short list of x.
-    members = written(
-        labelled(
-            lists.select("x", "n", F.explode(F.concat("short", "rest")).alias("token")), "x", "label"
-        ),
-        "members",
+    # Pairs in different components. The common shingles that come first in the order by
+    # frequency are in the short lists of both, all but as many as the longer of both sets aside.
+    sizes = labelled(lists.select("x"), "x", "label").groupBy("label").agg(F.count("*").alias("of"))
+    info = lists.select("x", F.size("rest").alias("aside"))
+    members = labelled(short, "x", "label").join(sizes, "label")
+    members = written(members.join(info, "x"), "members")
+    per_list = members.select("token", "label", "of").distinct()
+    ends = per_list.groupBy("token").agg(
+        F.max(F.struct("of", "label")).alias("top"), F.count("*").alias("k")
+    )
+    mixed = ends.where("k > 1").select("token", "top")
+    members = members.join(mixed, "token")
+    # The largest component in a list asks nothing: the others ask about it.
+    asked = members.where(F.struct("of", "label") < F.col("top")).drop("top")
+    other = members.select(
+        "token",
+        F.col("x").alias("y"),
+        F.col("n").alias("m"),
+        F.col("of").alias("of2"),
+        F.col("label").alias("label2"),
+        F.col("a").alias("a2"),
+        F.col("aside").alias("aside2"),
     )
-    asking = labelled(short, "x", "label")
-    per_list = members.groupBy("token", "label").agg(F.count("*").alias("k"))
-    mixed = per_list.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    of = per_list.join(mixed, "token").select("token", F.col("label").alias("l2"))
-    mine = asking.join(mixed, "token").select("token", "label").distinct()
-    across = mine.join(of, "token").where("label <> l2")  # components, not their members
-    asked = asking.join(across, ["token", "label"]).select("x", "n", "token", "l2")
-    other = members.select("token", F.col("label").alias("l2"), F.col("x").alias("y"), F.col("n").alias("m"))
-    met = asked.join(other, ["token", "l2"]).where(
-        _close_in_size() & ((F.col("n") > F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("x") > F.col("y"))))
+    met = asked.join(other, "token").where(
+        _possible() & (F.struct("of", "label") < F.struct("of2", "label2"))
     )
-    lists_of_x = met.groupBy("x", "token").agg(F.collect_list("y").alias("members"))
-    info = lists.select("x", "least", F.size("rest").alias("aside"))
+    need = _pair_least() - F.greatest("aside", "aside2")
+    member = F.struct(F.col("y"), F.greatest(need, F.lit(1)).alias("need"))
     merged = (
-        lists_of_x.join(info, "x")
+        met.groupBy("x", "token")
+        .agg(F.sort_array(F.collect_list(member)).alias("members"))
         .groupBy("x")
-        .applyInArrow(_merge, "x bigint, y bigint, found int")
+        .applyInArrow(_merge, "x bigint, y bigint")
     )
     probed = (
-        merged.join(lists.select("x", "n", "rest"), "x")
+        merged.join(lists.select("x", "n", F.concat("rest", "short").alias("mine")), "x")
         .join(lists.select(F.col("x").alias("y"), F.col("shingles").alias("theirs")), "y")
-        .select("x", "y", "found", "n", "rest", "theirs")
+        .select("x", "y", "n", "mine", "theirs")
         .mapInArrow(_probe, "x bigint, y bigint")
     )
     return written(edges.union(probed.select(F.col("x").alias("a"), F.col("y").alias("b"))), "links")
