@@ -20,6 +20,9 @@ anchors, in the same place, so a window can only have an equal where its anchor
    bytes.
 4. The removed stretches come back to their documents.
 
+Later copies of a whole text lose every byte, whatever else there is; they are found by their
+hashes beforehand and take no part, so the first copy need not be compared with them.
+
 Defined results for odd input: a NULL or empty text has nothing to remove; a NULL doc_id is larger
 than any other and none is smaller than itself; rows with equal ids do not affect each other; an
 empty table gives an empty result; other columns are not read.
@@ -32,14 +35,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.scratch import written
+
 SPAN = 50  # bytes that must agree
 ANCHOR = 24  # bytes of an anchor
 PLACES = SPAN - ANCHOR + 1  # of an anchor in a window
-BLOCK_BYTES = 8 << 20  # text that one task works on together
+BLOCK_BYTES = 3 << 20  # text that one task works on together
 BUCKET_BYTES = 16 << 20  # text per bucket
 HOT_DOCS = 5_000  # from here on an anchor's windows travel one by one
 PORTION = 1_000_000  # suffixes that are sorted together
@@ -59,7 +65,7 @@ class Block:
         self.starts = self.ends - sizes
         self.data = b"".join(texts) + bytes(16)
         self.run_lo = self.run_hi = self.run_anchor = self.run_doc = np.zeros(0, np.int64)
-        self.run_hash = np.zeros(0, np.uint64)
+        self.run_hash = self.hashes = np.zeros(0, np.uint64)
         total = int(sizes.sum())
         if total >= SPAN:
             self._find_runs(total)
@@ -95,7 +101,7 @@ class Block:
         ok = hi >= lo
         self.run_lo, self.run_hi, self.run_doc = lo[ok], hi[ok], doc[ok]
         self.run_anchor = anchor[lo[ok]]
-        self.run_hash = h[self.run_anchor] >> np.uint64(1)
+        self.run_hash, self.hashes = h[self.run_anchor] >> np.uint64(1), h
 
 
 def _bucket_of(values: np.ndarray, buckets: int) -> np.ndarray:
@@ -215,81 +221,129 @@ def _to_documents(table: pa.Table) -> pa.Table:
     return pa.table({"_id": ids[docs, 0], "_text": ids[docs, 1], "anchors": anchors})
 
 
-_CUT = "part int, lead bigint, anchor binary, bytes binary, places binary, _id bigint, _text bigint"
+_CUT = "part int, anchor bigint, bytes binary, places binary, _id bigint, _text bigint"
 _CUT_SCHEMA = pa.schema(
-    [("part", pa.int32()), ("lead", pa.int64()), ("anchor", pa.binary()), ("bytes", pa.binary())]
-    + [("places", pa.binary()), ("_id", pa.int64()), ("_text", pa.int64())]
+    [("part", pa.int32()), ("anchor", pa.int64()), ("bytes", pa.binary()), ("places", pa.binary())]
+    + [("_id", pa.int64()), ("_text", pa.int64())]
 )
 
 
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Consecutive stretches of an array of bytes as binary values."""
+    offsets = np.concatenate([[0], sizes.cumsum()]).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
+    )
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges with these starts and sizes, one range after the other."""
+    total = int(sizes.sum())
+    return np.arange(total) + np.repeat(starts - (sizes.cumsum() - sizes), sizes)
+
+
 def _cut(buckets: int, splitters: np.ndarray):
-    """Segments to compare, one per distinct content and block, and settled stretches."""
+    """Segments to compare, one for each content and document, and settled stretches."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in _blocks(batches, 3):
             order = sorted(range(len(rows)), key=lambda i: rows[i][:2])
-            rows, texts = [rows[i] for i in order], [texts[i] for i in order]
-            block = Block(texts)
+            block = Block([texts[i] for i in order])
+            ids = np.array([rows[i][0] for i in order], np.int64)
+            text_hash = np.array([rows[i][1] for i in order], np.int64)
+            # The surviving anchors of each document, as (document, key) in one order.
+            anchors = [np.array(rows[i][2], np.int64) for i in order]
+            owner = np.repeat(np.arange(len(rows)), [len(x) for x in anchors])
+            known = np.concatenate(anchors)
             key = (_bucket_of(block.run_hash, buckets) << 32) + (
                 block.run_hash & np.uint64(0xFFFFFFFF)
             ).astype(np.int64) + 1
-            state = np.zeros(len(key), np.int8)
-            edges = np.searchsorted(block.run_doc, np.arange(len(rows) + 1))
-            for i, (_, _, anchors) in enumerate(rows):
-                mine, known = key[edges[i] : edges[i + 1]], np.array(anchors, np.int64)
-                state[edges[i] : edges[i + 1]] = np.isin(mine, known) + 2 * np.isin(mine, -known)
-            # Of each content: the smallest id, the anchor's place, and where it is in the
-            # documents of that id. Documents come in the order of their ids.
-            first: dict[bytes, tuple[int, int, dict[int, list[int]]]] = {}
-            gone: dict[int, list[tuple[int, int]]] = {}
-            live = np.flatnonzero(state)
-            for lo, hi, doc, anchor, kind in zip(
-                block.run_lo[live].tolist(),
-                block.run_hi[live].tolist(),
-                block.run_doc[live].tolist(),
-                block.run_anchor[live].tolist(),
-                state[live].tolist(),
+            plain = np.isin(_joint(block.run_doc, key), _joint(owner[known > 0], known[known > 0]))
+            hot = np.isin(_joint(block.run_doc, key), _joint(owner[known < 0], -known[known < 0]))
+            lo, hi = block.run_lo[plain], block.run_hi[plain]
+            windows = block.run_hi[hot] - block.run_lo[hot] + 1
+            single = _ranges(block.run_lo[hot], windows)
+            start = np.concatenate([lo, single])
+            end = np.concatenate([hi, single]) + SPAN
+            at = np.concatenate([block.run_anchor[plain], single])
+            doc = np.concatenate([block.run_doc[plain], np.repeat(block.run_doc[hot], windows)])
+            if not len(start):
+                continue
+            h = block.hashes
+            # ANCHOR-byte strings that cover a segment tell its content.
+            content = (end - start).astype(np.uint64)
+            for place in (
+                start,
+                np.minimum(start + ANCHOR, end - ANCHOR),
+                np.maximum(end - 2 * ANCHOR, start),
+                end - ANCHOR,
             ):
-                base, own_id = int(block.starts[doc]), rows[doc][0]
-                if kind == 1:
-                    pieces = ((lo, hi + SPAN, anchor - lo),)
-                else:
-                    pieces = tuple((p, p + SPAN, -1) for p in range(lo, hi + 1))
-                for begin, end, offset in pieces:
-                    seen = first.setdefault(block.data[begin:end], (own_id, offset, {}))
-                    if seen[0] == own_id:
-                        seen[2].setdefault(doc, []).append(begin - base)
-                    else:
-                        gone.setdefault(doc, []).append((begin - base, end - base))
-            out = {name: [] for name in _CUT_SCHEMA.names}
-
-            def add(part, lead, anchor, content, places, doc):
-                row = (part, lead, anchor, content, places, rows[doc][0], rows[doc][1])
-                for name, value in zip(_CUT_SCHEMA.names, row):
-                    out[name].append(value)
-
-            for doc, spans in gone.items():
-                part = int(rows[doc][1] % (len(splitters) + 1))
-                add(part, 0, None, None, np.array(spans, np.int64).tobytes(), doc)
-            heads = [
-                content if at < 0 else content[at : at + ANCHOR]
-                for content, (_, at, _) in first.items()
-            ]
-            leads = np.array([int.from_bytes(x[:8], "big") for x in heads], np.uint64)
-            parts = np.searchsorted(splitters, leads, side="right").tolist()
-            # Shifted to signed numbers of the same order.
-            signed = (leads ^ np.uint64(1 << 63)).view(np.int64).tolist()
-            for (content, seen), head, part, lead in zip(first.items(), heads, parts, signed):
-                for doc, places in seen[2].items():
-                    add(part, lead, head, content, np.array(places, np.int64).tobytes(), doc)
-            for at in range(0, len(out["part"]), 20_000):
-                yield pa.RecordBatch.from_pydict(
-                    {k: v[at : at + 20_000] for k, v in out.items()}, _CUT_SCHEMA
+                content = (content ^ h[place]) * np.uint64(0x9E3779B97F4A7C15)
+                content ^= content >> np.uint64(31)
+            group_key = np.where(
+                np.arange(len(start)) < len(lo), h[at].view(np.int64), content.view(np.int64)
+            )
+            order = np.lexsort((start, doc, content, group_key))
+            start, end, at, doc = start[order], end[order], at[order], doc[order]
+            content, group_key = content[order], group_key[order]
+            new = np.append(True, (content[1:] != content[:-1]) | (group_key[1:] != group_key[:-1]))
+            first = np.flatnonzero(new)[new.cumsum() - 1]
+            base = block.starts[doc]
+            gone = ids[doc] > ids[doc[first]]
+            # What an earlier document of the block has is settled.
+            by_doc = np.flatnonzero(gone)
+            by_doc = by_doc[np.argsort(doc[by_doc], kind="stable")]
+            if len(by_doc):
+                spans = np.stack([start[by_doc] - base[by_doc], end[by_doc] - base[by_doc]], axis=1)
+                edge = np.flatnonzero(np.append(True, doc[by_doc][1:] != doc[by_doc][:-1]))
+                sizes = np.diff(np.append(edge, len(by_doc)))
+                own = doc[by_doc][edge]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array((text_hash[own] % (len(splitters) + 1)).astype(np.int32)),
+                        pa.array(np.zeros(len(own), np.int64)),
+                        pa.nulls(len(own), pa.binary()),
+                        _binary(spans.astype(np.int32), sizes * 8),
+                        pa.array(ids[own]),
+                        pa.array(text_hash[own]),
+                    ],
+                    schema=_CUT_SCHEMA,
+                )
+            stay = np.flatnonzero(~gone)
+            edge = np.flatnonzero(
+                np.append(True, (doc[stay][1:] != doc[stay][:-1]) | (first[stay][1:] != first[stay][:-1]))
+            )
+            head, count = stay[edge], np.diff(np.append(edge, len(stay)))
+            places = (start[stay] - base[stay]).astype(np.int32)
+            data = np.frombuffer(block.data, np.uint8)
+            lead = np.ndarray((len(block.data) - 7,), ">u8", block.data, 0, (1,))[at[head]]
+            parts = np.searchsorted(splitters, lead.astype(np.uint64), side="right").astype(np.int32)
+            ends = count.cumsum()
+            for i in range(0, len(head), 20_000):
+                some = head[i : i + 20_000]
+                sizes = end[some] - start[some]
+                mine = places[ends[i] - count[i] : ends[min(i + 20_000, len(head)) - 1]]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(parts[i : i + 20_000]),
+                        pa.array(group_key[some]),
+                        _binary(data[_ranges(start[some], sizes)], sizes),
+                        _binary(mine, count[i : i + 20_000] * 4),
+                        pa.array(ids[doc[some]]),
+                        pa.array(text_hash[doc[some]]),
+                    ],
+                    schema=_CUT_SCHEMA,
                 )
 
     return cut
 
 
+def _joint(doc: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """A document's place in the block and a key as one number."""
+    mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed ^ (mixed >> np.uint64(32))) + doc.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+
+
 def equal_suffixes(data: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes in groups that agree in their first SPAN bytes.
 
@@ -323,83 +377,118 @@ def equal_suffixes(data: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(members), np.concatenate(cuts)
 
 
-_SPANS = "_id bigint, _text bigint, spans binary"
-_SPANS_SCHEMA = pa.schema([("_id", pa.int64()), ("_text", pa.int64()), ("spans", pa.binary())])
+_SPANS = "_id bigint, _text bigint, begin int, finish int"
+_SPANS_SCHEMA = pa.schema(
+    [("_id", pa.int64()), ("_text", pa.int64()), ("begin", pa.int32()), ("finish", pa.int32())]
+)
 
 
-def _sort_portion(rows: list[tuple]) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
-    """Stretches that go, by document, from segments whose anchors are all here."""
-    contents = [r[0] for r in rows]
-    sizes = np.array([len(c) for c in contents], np.int64)
-    base = sizes.cumsum() - sizes
+def _sort_portion(table: pa.Table) -> pa.RecordBatch | None:
+    """Stretches that go, from segments all of whose equal anchors are here."""
+    table = table.combine_chunks()
+    content, places = table.column("bytes").chunk(0), table.column("places").chunk(0)
+    ids = table.column("_id").to_numpy()
+    texts = table.column("_text").to_numpy()
+    offsets = np.frombuffer(content.buffers()[1], np.int32)[content.offset :][: len(content) + 1]
+    base, sizes = offsets[:-1].astype(np.int64), np.diff(offsets).astype(np.int64)
+    data = content.buffers()[2].to_pybytes() + bytes(8)
     windows = sizes - SPAN + 1
-    row = np.repeat(np.arange(len(rows)), windows)
-    offset = np.arange(len(row)) - np.repeat(windows.cumsum() - windows, windows)
-    ids = np.array([r[2] for r in rows], np.int64)
-    members, cuts = equal_suffixes(b"".join(contents), base[row] + offset)
+    row = np.repeat(np.arange(len(sizes)), windows)
+    at = _ranges(base, windows)
+    members, cuts = equal_suffixes(data, at)
     if not len(members):
-        return
+        return None
     of = ids[row[members]]
     least = np.minimum.reduceat(of, cuts)
-    later = of > np.repeat(least, np.diff(np.append(cuts, len(members))))
-    gone = np.sort(members[later])
+    gone = np.sort(members[of > np.repeat(least, np.diff(np.append(cuts, len(members))))])
     if not len(gone):
-        return
+        return None
     new = np.append(True, (gone[1:] != gone[:-1] + 1) | (row[gone[1:]] != row[gone[:-1]]))
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(gone)) - 1
-    for a, b in zip(gone[first], gone[last]):
-        content, places, doc_id, text = rows[row[a]]
-        begins = np.frombuffer(places, np.int64)
-        yield (doc_id, text), np.stack([begins + offset[a], begins + offset[b] + SPAN], axis=1)
+    own = row[gone[first]]
+    begin, finish = at[gone[first]] - base[own], at[gone[last]] - base[own] + SPAN
+    place_ends = np.frombuffer(places.buffers()[1], np.int32)[places.offset :][: len(places) + 1] // 4
+    all_places = np.frombuffer(places.buffers()[2], np.int32)
+    times = np.diff(place_ends)[own]
+    place = all_places[_ranges(place_ends[:-1][own].astype(np.int64), times.astype(np.int64))]
+    arrays = [np.repeat(ids[own], times), np.repeat(texts[own], times)]
+    arrays += [np.repeat(begin, times) + place, np.repeat(finish, times) + place]
+    return _span_batch(*arrays)
+
+
+def _span_batch(ids, texts, begin, finish) -> pa.RecordBatch:
+    begin, finish = begin.astype(np.int32), finish.astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x) for x in (ids, texts, begin, finish)], schema=_SPANS_SCHEMA
+    )
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sort the suffixes of consecutive ranges; rows come in the order of their anchors."""
-    found: dict[tuple[int, int], list[bytes]] = {}
-
-    def flush() -> pa.RecordBatch:
-        keys = list(found)
-        columns = [
-            pa.array([k[0] for k in keys], pa.int64()),
-            pa.array([k[1] for k in keys], pa.int64()),
-            pa.array([b"".join(found[k]) for k in keys], pa.binary()),
-        ]
-        found.clear()
-        return pa.RecordBatch.from_arrays(columns, schema=_SPANS_SCHEMA)
-
-    rows, held, last = [], 0, None
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        for anchor, content, places, doc_id, text in zip(
-            *(batch.column(i).to_pylist() for i in range(2, 7))
-        ):
-            if content is None:
-                found.setdefault((doc_id, text), []).append(places)
-                continue
-            if held >= PORTION and anchor != last:
-                for key, spans in _sort_portion(rows):
-                    found.setdefault(key, []).append(spans.tobytes())
-                yield flush()
-                rows, held = [], 0
-            rows.append((content, places, doc_id, text))
-            held += len(content) - SPAN + 1
-            last = anchor
-    if rows:
-        for key, spans in _sort_portion(rows):
-            found.setdefault(key, []).append(spans.tobytes())
-    yield flush()
+        settled = batch.filter(pc.is_null(batch.column("bytes")))
+        if settled.num_rows:
+            spans = settled.column("places").to_pylist()
+            times = np.array([len(x) // 8 for x in spans])
+            flat = np.frombuffer(b"".join(spans), np.int32).reshape(-1, 2)
+            ids, texts = (settled.column(c).to_numpy() for c in ("_id", "_text"))
+            yield _span_batch(np.repeat(ids, times), np.repeat(texts, times), flat[:, 0], flat[:, 1])
+        batch = batch.filter(pc.is_valid(batch.column("bytes")))
+        while batch.num_rows:
+            lengths = pc.binary_length(batch.column("bytes")).to_numpy().astype(np.int64)
+            total = size + (lengths - SPAN + 1).cumsum()
+            anchor = np.stack([batch.column(c).to_numpy() for c in ("part", "anchor")], axis=1)
+            before = held[-1].slice(held[-1].num_rows - 1) if held else None
+            last = (
+                [before.column("part")[0].as_py(), before.column("anchor")[0].as_py()]
+                if before
+                else anchor[0]
+            )
+            new = (anchor != np.vstack([[last], anchor[:-1]])).any(axis=1)
+            # The first change of anchor behind the row that fills the portion.
+            cut = np.flatnonzero(new & (np.concatenate([[size], total[:-1]]) >= PORTION))
+            if not len(cut):
+                held.append(batch)
+                size = int(total[-1])
+                break
+            if cut[0]:
+                held.append(batch.slice(0, cut[0]))
+            found = _sort_portion(pa.Table.from_batches(held))
+            if found is not None:
+                yield found
+            held, size, batch = [], 0, batch.slice(cut[0])
+    if held:
+        found = _sort_portion(pa.Table.from_batches(held))
+        if found is not None:
+            yield found
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """Every row by its id and the hash of its text; all later joins use this one shuffle."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("_id"),
         F.xxhash64("text").alias("_text"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("data"),
-    )
+    ).repartition("_id", "_text")
 
 
-def _splitters(keyed: DataFrame, parts: int, rows: int) -> np.ndarray:
+def _later_copies(docs: DataFrame) -> DataFrame:
+    """Rows whose whole text an earlier document has, by two hashes of 64 bits."""
+    rows = docs.select(
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("_id"),
+        F.xxhash64("text").alias("_text"),
+        F.xxhash64(F.lit(1), "text").alias("_again"),
+    ).where(F.octet_length("text") >= SPAN)
+    first = rows.groupBy("_text", "_again").agg(F.min("_id").alias("first"), F.count("*").alias("k"))
+    rows = rows.join(first.where("k > 1"), ["_text", "_again"]).where("_id > first")
+    return written(rows.select("_id", "_text").distinct(), "copies")
+
+
+def _splitters(docs: DataFrame, parts: int, rows: int) -> np.ndarray:
     """Leading bytes that cut the anchors of a sample of documents into equal parts."""
 
     def leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,7 +500,8 @@ def _splitters(keyed: DataFrame, parts: int, rows: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["lead"])
 
     share = min(1.0, SAMPLE_DOCS / max(1, rows))
-    sample = keyed.select("data").sample(share, seed=1).mapInArrow(leads, "lead bigint")
+    data = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("data")
+    sample = docs.select(data).sample(share, seed=1).mapInArrow(leads, "lead bigint")
     # At most some 64 numbers for each of about 2,000 documents.
     found = np.array([r[0] for r in sample.collect()], np.int64).view(np.uint64)
     found.sort()
@@ -419,15 +509,15 @@ def _splitters(keyed: DataFrame, parts: int, rows: int) -> np.ndarray:
     return np.unique(found[at]) if len(found) else np.zeros(0, np.uint64)
 
 
-def removed_spans(docs: DataFrame) -> DataFrame:
-    """``_id``, ``_text`` (hash) and ``spans`` of documents that lose bytes: byte ranges as pairs
-    of 64-bit numbers, which may overlap; several rows may belong to a document."""
-    keyed = _keyed(docs)
+def _spans(docs: DataFrame, keyed: DataFrame, copies: DataFrame) -> DataFrame:
+    """``_id``, ``_text``, ``begin``, ``finish`` of byte ranges that go, which may overlap; later
+    copies of a whole text are left out."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
     buckets = max(1, math.ceil((size["b"] or 0) / BUCKET_BYTES))
-    splitters = _splitters(keyed, buckets, size["n"])
+    splitters = _splitters(docs, buckets, size["n"])
+    fresh = keyed.join(copies, ["_id", "_text"], "left_anti")
     survivors = (
-        keyed.select("_id", "_text", "data")
+        fresh.select("_id", "_text", "data")
         .mapInArrow(_pack(buckets), "bucket int, block bigint, tokens binary, owners binary")
         .groupBy("bucket")
         .applyInArrow(_count_bucket, _COUNTED)
@@ -436,13 +526,13 @@ def removed_spans(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["_id", "_text"])
     )
     parts = (
-        keyed.join(survivors, ["_id", "_text"])
+        fresh.join(survivors, ["_id", "_text"])
         .select("_id", "_text", "anchors", "data")
         .mapInArrow(_cut(buckets, splitters), _CUT)
     )
     return (
         parts.repartition(buckets, "part")
-        .sortWithinPartitions("part", "lead", "anchor")
+        .sortWithinPartitions("part", "anchor")
         .mapInArrow(_compare, _SPANS)
     )
 
@@ -450,22 +540,25 @@ def removed_spans(docs: DataFrame) -> DataFrame:
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for data, parts in zip(batch.column(1), batch.column(2)):
+        copies = batch.column(3).to_pylist()
+        for data, spans, copy in zip(batch.column(1), batch.column(2), copies):
             raw = data.as_buffer().to_pybytes()
-            spans = [np.frombuffer(p, np.int64).reshape(-1, 2) for p in parts.as_py() or []]
-            kept, n_spans, end = [], 0, 0
-            if spans:
-                ranges = np.concatenate(spans)
-                begin = np.sort(ranges[:, 0])
-                finish = np.maximum.accumulate(ranges[np.argsort(ranges[:, 0], kind="stable"), 1])
-                gap = np.append(True, begin[1:] > finish[:-1])
-                starts, at = begin[gap], np.flatnonzero(gap)
+            if copy:
+                out.append((len(raw), 1, b""))
+                continue
+            kept, n_spans, done = [], 0, 0
+            if spans.is_valid:
+                begin = spans.values.field("begin").to_numpy()
+                order = np.argsort(begin, kind="stable")
+                begin = begin[order]
+                finish = np.maximum.accumulate(spans.values.field("finish").to_numpy()[order])
+                at = np.flatnonzero(np.append(True, begin[1:] > finish[:-1]))
                 ends = finish[np.append(at[1:], len(begin)) - 1]
-                n_spans = len(starts)
-                for a, b in zip(starts.tolist(), ends.tolist()):
-                    kept.append(raw[end:a])
-                    end = b
-            kept.append(raw[end:])
+                n_spans = len(at)
+                for a, b in zip(begin[at].tolist(), ends.tolist()):
+                    kept.append(raw[done:a])
+                    done = b
+            kept.append(raw[done:])
             out.append((len(raw), n_spans, b"".join(kept)))
         yield pa.RecordBatch.from_arrays(
             [
@@ -482,11 +575,13 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def strip_repeats(docs: DataFrame) -> DataFrame:
     """Every row's ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the bytes that
     are left. What is left need not be valid UTF-8."""
-    keyed = _keyed(docs)
-    spans = removed_spans(docs).groupBy("_id", "_text").agg(F.collect_list("spans").alias("spans"))
+    keyed, copies = _keyed(docs), _later_copies(docs)
+    spans = _spans(docs, keyed, copies).groupBy("_id", "_text")
+    spans = spans.agg(F.collect_list(F.struct("begin", "finish")).alias("spans"))
     return (
         keyed.join(spans, ["_id", "_text"], "left")
-        .select("doc_id", "data", "spans")
+        .join(copies.withColumn("copy", F.lit(True)), ["_id", "_text"], "left")
+        .select("doc_id", "data", "spans", "copy")
         .mapInArrow(
             _strip, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
         )
