@@ -42,8 +42,8 @@ from tickloom.llm.scratch import written
 MU = 20.0
 ADDED = 0.1  # to each count of a word
 FOLDS = 10  # of which one is held out
-BLOCK_BYTES = 16 << 20
-BUCKET_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
+BUCKET_BYTES = 8 << 20
 
 END, START = np.uint64(0x0123456789ABCDEF), np.uint64(0x0FEDCBA987654321)
 _LOW = np.uint64((1 << 40) - 1)
