@@ -29,14 +29,34 @@ def test_z_floor_and_strict_limit(spark):
     assert one(spark, fx.anomaly_flag(F.lit(None).cast("double"), Params())) is False
 
 
-def test_limb_sums_are_exact(spark):
-    values = [10**12 + 7, 123_456_789, 1, 10**13 + 3]
-    df = spark.createDataFrame([(v,) for v in values], "q long")
-    sums = fx.limb_sums(F.col("q"))
-    row = df.agg(fx.square_sum(sums).alias("xx"), sums["q"].alias("x")).first()
+def test_sums_are_exact(spark):
+    values = [10**12 + 7, 123_456_789, 1, 10**16 + 3]
+    df = spark.createDataFrame([(v,) for v in values], "v long").selectExpr(
+        "CAST(v AS DECIMAL(19,0)) AS q"
+    )
+    sums = fx.exact_sums(F.col("q"))
+    row = df.agg(sums["qq"].alias("xx"), sums["q"].alias("x")).first()
     assert int(row.xx) == sum(v * v for v in values) and row.x == sum(values)
-    inline = df.selectExpr(*[f"sum({t}) AS {n}" for n, t in fx.SUM_LIMBS.items()]).first()
-    assert inline.hh * 2**40 + inline.hl * 2**21 + inline.ll == sum(v * v for v in values)
+    inline = df.selectExpr(*[f"sum({t}) AS {n}" for n, t in fx.SUMS.items()]).first()
+    assert inline.qq == row.xx and inline.q == row.x
+
+
+@pytest.mark.parametrize("values", [[5, 5, 5], [10**16, 10**16 + 2], [1, 2, 3, 10**15], [7]])
+def test_deviation_does_not_cancel(spark, values):
+    from fractions import Fraction
+
+    df = spark.createDataFrame([(v,) for v in values], "v long").selectExpr(
+        "CAST(v AS DECIMAL(19,0)) AS q"
+    )
+    got = df.agg(fx.stdev_from_sums(F.count("q"), fx.exact_sums(F.col("q")))).first()[0]
+    mean = Fraction(sum(values), len(values))
+    want = float(sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5 / fx.USD_SCALE
+    assert got == pytest.approx(want, rel=1e-12, abs=1e-15)
+
+
+def test_amounts_that_cannot_be_represented_have_no_units(spark):
+    for usd in (float("inf"), float("nan"), 1e30, None):
+        assert one(spark, fx.usd_units(F.lit(usd).cast("double"))) is None
 
 
 @pytest.mark.parametrize(

@@ -168,3 +168,49 @@ def test_default_settings_end_to_end(spark):
     windows = {r.symbol: r for r in st.window_stats(spark, trades, params).collect()}
     assert windows["NONE"].status == "no_data" and windows["AAA"].status is None
     assert cd.candles(stored).agg(F.sum("trade_count")).first()[0] == 1500
+
+
+def test_days_do_not_depend_on_the_zone(spark, tmp_path):
+    """Written under one zone; read, appended and refreshed under another."""
+    from datetime import datetime, timedelta, timezone
+
+    from pyspark.sql import functions as F
+
+    from tickloom.operators.candles import read_candles, refresh_candles
+    from tickloom.operators.sink import append_new
+    from tickloom.params import Params
+    from tickloom.schemas import TABLE_COLUMNS, TRADES_TABLE
+    from tickloom.sources.table import read_trades, scan_recent
+
+    start = datetime(2024, 3, 1, 22, 30, tzinfo=timezone.utc)
+    rows = [
+        {
+            "trade_id": i,
+            "time": start + timedelta(minutes=3 * i),
+            "symbol": "AAA",
+            "price": 1.0 + i,
+            "quantity": 1.0,
+            "usd_value": 1.0 + i,
+            "classification": "Retail",
+            "z_score": None,
+            "is_anomaly": False,
+        }
+        for i in range(60)
+    ]
+    frame = spark.createDataFrame([tuple(r[c] for c in TABLE_COLUMNS) for r in rows], TRADES_TABLE)
+    path, candle_path = str(tmp_path / "trades"), str(tmp_path / "candles")
+    last = rows[-1]["time"]
+    seen = []
+    try:
+        for zone in ("UTC", "Asia/Tokyo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            counts = append_new(spark, frame, path, order=F.col("trade_id"))
+            table = read_trades(spark, path)
+            recent = scan_recent(table, last, 10_000).count()
+            refresh_candles(spark, table, candle_path, last, Params(candle_seconds=3600))
+            candles = read_candles(spark, candle_path).select(F.unix_micros("bucket"), "close", "day")
+            seen.append((recent, sorted(tuple(r) for r in candles.collect())))
+            assert (counts.inserted, counts.skipped) == ((60, 0) if zone == "UTC" else (0, 60))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert seen[0] == seen[1] == seen[2] and seen[0][0] == 56

@@ -21,6 +21,12 @@ def time_bucket(width_seconds: int, ts: Column) -> Column:
     return F.timestamp_micros(us - F.pmod(us, F.lit(width_seconds * MICROS)))
 
 
+def utc_day(ts: Column) -> Column:
+    """The calendar day in UTC, whatever the zone of the session."""
+    us, day = micros(ts), 86_400 * MICROS
+    return F.date_from_unix_date(((us - F.pmod(us, F.lit(day))) / day).cast("int"))
+
+
 def ago(as_of: datetime | None, seconds: float) -> Column:
     """The moment ``seconds`` before ``as_of`` (default: now)."""
     end = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,51 +37,50 @@ def anomaly_flag(z: Column, params: Params) -> Column:
     return F.coalesce(F.abs(z) > params.z_score_threshold, F.lit(False))
 
 
-# Running sums of USD units and of their squares. A square may exceed 64 bits, so it is
-# kept as three products of the upper part h and the lower 20 bits l of the value:
-# q * q = (h*h << 40) + (h*l << 21) + l*l. Sums of 64-bit numbers are far cheaper in
-# window frames than wide decimals, and ANSI mode refuses to overflow silently: the
-# limit is about 2e11 dollars for one trade.
-SUM_LIMBS = {
-    "q": "q",
-    "hh": "(q >> 20) * (q >> 20)",
-    "hl": "(q >> 20) * (q & 1048575L)",
-    "ll": "(q & 1048575L) * (q & 1048575L)",
-}
+# Running sums of USD units and of their squares, as wide decimals: exact, so that windows can be
+# differences of sums. Amounts of up to LARGEST_USD leave room for a million squares of that size.
+SUMS = {"q": "q", "qq": "CAST(q * q AS DECIMAL(38,0))"}
+LARGEST_USD = 1e12
+MOST_USD = 9e14  # beyond it, or if it is no number, an amount has no part in any sum
 
 
 def usd_units(usd: Column) -> Column:
-    """USD value as a whole number of 1/10000 dollars, so that sums are exact."""
-    return F.rint(usd * USD_SCALE).cast("bigint")
-
+    """USD value as a whole number of 1/10000 dollars.
 
-def limb_sums(q: Column) -> dict[str, Column]:
-    """The aggregates of ``SUM_LIMBS`` over a column of USD units."""
-    high, low = F.shiftright(q, 20), q.bitwiseAND(F.lit(1048575))
-    products = {"q": q, "hh": high * high, "hl": high * low, "ll": low * low}
-    return {name: F.sum(value) for name, value in products.items()}
+    NULL, and thereby no part of any sum, from MOST_USD on; validation refuses such trades.
+    """
+    units = F.rint(usd * USD_SCALE).try_cast("decimal(19,0)")
+    return F.when(F.abs(usd) < MOST_USD, units)
 
 
-def square_sum(sums: dict[str, Column]) -> Column:
-    wide = {x: sums[x].cast("decimal(19,0)") for x in ("hh", "hl", "ll")}
-    return wide["hh"] * F.lit(Decimal(1 << 40)) + wide["hl"] * F.lit(Decimal(1 << 21)) + wide["ll"]
+def exact_sums(q: Column) -> dict[str, Column]:
+    """The aggregates of ``SUMS`` over a column of USD units."""
+    return {"q": F.sum(q), "qq": F.sum((q * q).cast("decimal(38,0)"))}
 
 
-def mean_from_limbs(n: Column, sums: dict[str, Column]) -> Column:
+def mean_from_sums(n: Column, sums: dict[str, Column]) -> Column:
     return sums["q"].cast("double") / F.nullif(n, F.lit(0)) / USD_SCALE
 
 
-def stdev_from_limbs(n: Column, sums: dict[str, Column]) -> Column:
-    """Population deviation; the difference of large products is taken exactly.
+def spread_from_sums(n: Column, mixed: Column, a: Column, b: Column) -> Column:
+    """Covariance from n, sum(ab), sum(a) and sum(b), without cancellation.
 
-    Should a product not fit into 38 digits, doubles take over.
+    The products are moved to whole numbers near the two means, ma and mb, exactly:
+    sum((a - ma)(b - mb)) = sum(ab) - ma sum(b) - mb (sum(a) - n ma). No term is larger
+    than the sums of squares; only what is left is divided.
     """
-    count = F.nullif(n, F.lit(0)).cast("double")
-    sx, sxx = sums["q"].cast("decimal(19,0)"), square_sum(sums)
-    spread = F.try_subtract(
-        F.try_multiply(n.cast("decimal(19,0)"), sxx.cast("decimal(38,0)")), sx * sx
-    ).cast("double") / (count * count)
-    mean = sx.cast("double") / count
-    rough = sxx.cast("double") / count - mean * mean
-    variance = F.greatest(F.coalesce(spread, rough), F.lit(0.0))
-    return F.when(n > 0, F.sqrt(variance) / USD_SCALE)
+    wide = lambda c: c.cast("decimal(38,0)")
+    near = lambda c: F.rint(c.cast("double") / F.nullif(n, F.lit(0))).cast("decimal(19,0)")
+    ma, mb = near(a), near(b)
+    rest_a, rest_b = wide(a) - wide(n * ma), wide(b) - wide(n * mb)
+    moved = wide(mixed) - wide(ma * wide(b)) - wide(mb * wide(rest_a))
+    count = n.cast("double")
+    return moved.cast("double") / count - rest_a.cast("double") / count * (
+        rest_b.cast("double") / count
+    )
+
+
+def stdev_from_sums(n: Column, sums: dict[str, Column]) -> Column:
+    """Population deviation."""
+    variance = spread_from_sums(n, sums["qq"], sums["q"], sums["q"])
+    return F.when(n > 0, F.sqrt(F.greatest(variance, F.lit(0.0))) / USD_SCALE)

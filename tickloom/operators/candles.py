@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.timing import event_order, time_bucket
+from tickloom.functions.timing import event_order, time_bucket, utc_day
 from tickloom.operators.checks import at_most
 from tickloom.params import Params
 from tickloom.sources.table import scan_after
@@ -112,7 +112,7 @@ def refresh_candles(
         outside = (F.col("bucket") < F.lit(start)) | (F.col("bucket") >= F.lit(end))
         fresh = stored.where(days & outside).drop("day").unionByName(fresh)
     (
-        fresh.withColumn("day", F.to_date("bucket"))
+        fresh.withColumn("day", utc_day(F.col("bucket")))
         .hint("rebalance", "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

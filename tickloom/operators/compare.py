@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.trade import (
     USD_SCALE,
-    limb_sums,
-    mean_from_limbs,
-    stdev_from_limbs,
+    exact_sums,
+    mean_from_sums,
+    spread_from_sums,
+    stdev_from_sums,
     usd_units,
 )
 from tickloom.operators.enrich import ID_BLOCK_BITS
@@ -88,25 +89,17 @@ def aligned_pairs(members: DataFrame, pair: tuple[str, str]) -> DataFrame:
     )
 
 
-def _spread(n: Column, mixed: Column, a: Column, b: Column) -> Column:
-    """``n * sum(ab) - sum(a) * sum(b)``, exactly; doubles if a product does not fit."""
-    exact = F.try_subtract(F.try_multiply(n, mixed), F.try_multiply(a, b)).cast("double")
-    rough = [c.cast("double") for c in (n, mixed, a, b)]
-    return F.coalesce(exact, rough[0] * rough[1] - rough[2] * rough[3])
-
-
-def _product_sum(a: str, b: str) -> Column:
-    product = F.col(a).cast("decimal(19,0)") * F.col(b).cast("decimal(19,0)")
-    return F.coalesce(F.sum(product.cast("decimal(38,0)")), F.lit(Decimal(0)))
-
-
 def pearson(pairs: DataFrame) -> Column:
     """Correlation of ``x`` and ``y`` from exact sums; NULL without spread."""
-    n = F.count(F.lit(1)).cast("decimal(19,0)")
-    sx, sy = (F.coalesce(F.sum(c), F.lit(0)).cast("decimal(19,0)") for c in ("x", "y"))
-    vx = _spread(n, _product_sum("x", "x"), sx, sx)
-    vy = _spread(n, _product_sum("y", "y"), sy, sy)
-    cov = _spread(n, _product_sum("x", "y"), sx, sy)
+    n = F.count(F.lit(1))
+    zero = F.lit(Decimal(0))
+    total = {c: F.coalesce(F.sum(c), zero) for c in ("x", "y")}
+
+    def spread(a: str, b: str) -> Column:
+        products = F.sum((F.col(a) * F.col(b)).cast("decimal(38,0)"))
+        return spread_from_sums(n, F.coalesce(products, zero), total[a], total[b])
+
+    vx, vy, cov = spread("x", "x"), spread("y", "y"), spread("x", "y")
     return F.when((vx > 0) & (vy > 0), cov / F.nullif(F.sqrt(vx) * F.sqrt(vy), F.lit(0.0)))
 
 
@@ -114,9 +107,9 @@ def recent_z(value: str) -> Column:
     """Mean of the newest values against the mean and deviation of the older ones."""
     recent = F.when(F.col("pos") <= RECENT, F.col(value))
     older = F.when(F.col("pos") > RECENT, F.col(value))
-    n, sums = F.count(older), limb_sums(older)
-    sd = stdev_from_limbs(n, sums)
-    apart = F.avg(recent) / USD_SCALE - mean_from_limbs(n, sums)
+    n, sums = F.count(older), exact_sums(older)
+    sd = stdev_from_sums(n, sums)
+    apart = F.avg(recent) / USD_SCALE - mean_from_sums(n, sums)
     return F.when(sd == 0, F.lit(0.0)).otherwise(apart / F.nullif(sd, F.lit(0.0)))
 
 

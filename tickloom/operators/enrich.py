@@ -13,15 +13,15 @@ pass; a frame with a moving lower bound would be re-aggregated for every row. Th
 window content is the difference of two such frames: all prior rows, less the rows
 that are too old. Sums are exact integers, so the difference loses nothing.
 
-A slice may hold too many trades for one task. Its length in time is fixed, though,
-so trades of one symbol at one time are then summed up first, before any shuffle:
-the slices work on those sums, of which a slice has no more than ticks of the
-clock, and every trade adds what came before it within its own tick.
+A slice may hold any number of trades, but its length in time is fixed. Trades of one symbol at one
+time are therefore summed up first, before any shuffle: the slices work on those sums, of which
+a slice has no more than ticks of the clock, and every trade adds what came before it within its
+own tick.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import trade as fx
@@ -45,28 +45,16 @@ def _slice_start(params: Params) -> str:
     return f"t - pmod(t, {params.slice_us})"
 
 
-def largest_slice(trades: DataFrame, params: Params) -> int:
-    """Trades in the fullest slice; one counting pass over symbol and time."""
-    return (
-        trades.select("symbol", F.unix_micros("event_time").alias("t"))
-        .groupBy("symbol", F.expr(_slice_start(params)).alias("slice"))
-        .count()
-        .agg(F.max("count").alias("n"))
-        .first()["n"]
-        or 0
-    )
-
-
-def _with_limbs(rows: DataFrame) -> DataFrame:
+def _with_units(rows: DataFrame) -> DataFrame:
     usd = fx.usd_value(F.col("price"), F.col("quantity"))
     rows = rows.select("*", fx.usd_units(usd).alias("q"))
-    return rows.selectExpr("*", *[f"{t} AS {x}" for x, t in fx.SUM_LIMBS.items() if x != "q"])
+    return rows.selectExpr("*", *[f"{t} AS {x}" for x, t in fx.SUMS.items() if x != "q"])
 
 
 def _moments(rows: DataFrame) -> DataFrame:
     """Count and exact sums per symbol, time and id block; combines before the shuffle."""
     usd = fx.usd_value(F.col("price"), F.col("quantity"))
-    sums = [c.alias(x) for x, c in fx.limb_sums(fx.usd_units(usd)).items()]
+    sums = [c.alias(x) for x, c in fx.exact_sums(fx.usd_units(usd)).items()]
     return rows.groupBy("symbol", "t", "uid").agg(F.count(F.lit(1)).alias("cnt"), *sums)
 
 
@@ -93,14 +81,14 @@ def _local_frames(rows: DataFrame, params: Params) -> DataFrame:
         "OVER (PARTITION BY symbol, slice ORDER BY t "
         f"RANGE BETWEEN UNBOUNDED PRECEDING AND {params.window_us + 1} PRECEDING)"
     )
-    limbs = list(fx.SUM_LIMBS)
+    sums = list(fx.SUMS)
     rows = rows.selectExpr(
         "*",
         f"lag(t) OVER ({by_slice}) AS local_prev_t",
         f"coalesce(sum(cnt) {prior}, 0L) AS idx",
         f"coalesce(sum(cnt) {expired}, 0L) AS old_n",
-        *[f"coalesce(sum({x}) {prior}, 0L) AS prior_{x}" for x in limbs],
-        *[f"coalesce(sum({x}) {expired}, 0L) AS old_{x}" for x in limbs],
+        *[f"CAST(coalesce(sum({x}) {prior}, 0) AS DECIMAL(38,0)) AS prior_{x}" for x in sums],
+        *[f"CAST(coalesce(sum({x}) {expired}, 0) AS DECIMAL(38,0)) AS old_{x}" for x in sums],
     )
     rows = rows.selectExpr(
         "*",
@@ -117,16 +105,16 @@ def _local_frames(rows: DataFrame, params: Params) -> DataFrame:
         f"sum(IF(own AND cut, 1L, 0L)) {so_far} AS own_cuts",
         *(
             [f"coalesce(max(IF(cut, idx, NULL)) {so_far}, 0L) AS cut_idx"]
-            + [f"last(IF(cut, prior_{x}, NULL), true) {so_far} AS cut_{x}" for x in limbs]
+            + [f"last(IF(cut, prior_{x}, NULL), true) {so_far} AS cut_{x}" for x in sums]
             if purge_matters
-            else ["0L AS cut_idx"] + [f"CAST(NULL AS BIGINT) AS cut_{x}" for x in limbs]
+            else ["0L AS cut_idx"] + [f"CAST(NULL AS DECIMAL(38,0)) AS cut_{x}" for x in sums]
         ),
     )
     rows = rows.selectExpr(
         "*",
         "idx - greatest(old_n, cut_idx) AS n",
         "idx - greatest(old_n, coalesce(stop_idx, 0L)) AS n_since_gap",
-        *[f"prior_{x} - IF(cut_idx > old_n, cut_{x}, old_{x}) AS s_{x}" for x in limbs],
+        *[f"prior_{x} - IF(cut_idx > old_n, cut_{x}, old_{x}) AS s_{x}" for x in sums],
     )
     # The pause ends within a row if the last of its trades sees enough others.
     rows = rows.selectExpr(
@@ -180,13 +168,15 @@ def _slice_carry(rows: DataFrame) -> DataFrame:
     )
 
 
-def _unit_state(units: DataFrame, keep: list[str], params: Params) -> DataFrame:
-    """Rolling state at every unit, a unit being one trade or all trades of a tick."""
+def _tick_state(units: DataFrame, params: Params) -> DataFrame:
+    """Rolling state before the first trade of every tick."""
     rows = _local_frames(_sliced(units, params), params)
     rows = rows.where("own").join(_slice_carry(rows), ["symbol", "slice"], "left")
     first_here = "local_prev_t IS NULL AND prev_last_t IS NOT NULL"
     return rows.selectExpr(
-        *keep,
+        "symbol",
+        "t",
+        "uid",
         "t - coalesce(local_prev_t, prev_last_t) AS gap_us",
         f"cut OR ({first_here}) AS is_purge",
         f"stop OR ({first_here}) AS is_pause",
@@ -194,30 +184,25 @@ def _unit_state(units: DataFrame, keep: list[str], params: Params) -> DataFrame:
         "stops_before + late_start + own_stops AS pause_seg",
         "n",
         "n_since_gap",
-        *[f"s_{x}" for x in fx.SUM_LIMBS],
+        *[f"s_{x}" for x in fx.SUMS],
         "over_earlier OR (stop_idx IS NULL AND over_before) AS over_earlier",
     )
 
 
-def _trade_state(rows: DataFrame, trades: DataFrame, params: Params) -> DataFrame:
-    """State per trade, found directly: the slices hold the trades themselves."""
-    units = _with_limbs(rows.withColumn("uid", F.col("trade_id")).withColumn("cnt", F.lit(1)))
-    return _unit_state(units, [*trades.columns, "t"], params)
-
-
-def _trade_state_by_tick(rows: DataFrame, trades: DataFrame, params: Params) -> DataFrame:
+def _trade_state(trades: DataFrame, params: Params) -> DataFrame:
     """State per trade by way of the sums per tick."""
+    rows = trades.select("*", F.unix_micros("event_time").alias("t"))
     rows = rows.withColumn("uid", F.shiftright("trade_id", ID_BLOCK_BITS))
-    state = _unit_state(_moments(rows), ["symbol", "t", "uid"], params)
+    state = _tick_state(_moments(rows), params)
     tick = "PARTITION BY symbol, t, uid ORDER BY trade_id"
     before = f"OVER ({tick} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    # The limbs are computed behind the shuffle by tick, which join and window share.
-    placed = _with_limbs(rows.repartition("symbol", "t", "uid")).selectExpr(
+    # The units are computed behind the shuffle by tick, which join and window share.
+    placed = _with_units(rows.repartition("symbol", "t", "uid")).selectExpr(
         *trades.columns,
         "t",
         "uid",
         f"CAST(row_number() OVER ({tick}) - 1 AS BIGINT) AS rank",
-        *[f"coalesce(sum({x}) {before}, 0L) AS tick_{x}" for x in fx.SUM_LIMBS],
+        *[f"CAST(coalesce(sum({x}) {before}, 0) AS DECIMAL(38,0)) AS tick_{x}" for x in fx.SUMS],
     )
     return placed.join(state, ["symbol", "t", "uid"]).selectExpr(
         *trades.columns,
@@ -229,35 +214,27 @@ def _trade_state_by_tick(rows: DataFrame, trades: DataFrame, params: Params) ->
         "pause_seg",
         "n + rank AS n",
         "n_since_gap + rank AS n_since_gap",
-        *[f"s_{x} + tick_{x} AS s_{x}" for x in fx.SUM_LIMBS],
+        *[f"s_{x} + tick_{x} AS s_{x}" for x in fx.SUMS],
         "over_earlier",
     )
 
 
-def rolling_state(
-    trades: DataFrame, params: Params = Params(), by_tick: bool | None = None
-) -> DataFrame:
+def rolling_state(trades: DataFrame, params: Params = Params()) -> DataFrame:
     """Trades with the rolling state that held just before each of them.
 
     Adds the enriched columns and ``t`` (epoch micros), ``gap_us``, ``is_purge``,
     ``is_pause``, ``purge_seg``, ``pause_seg``, ``n``, ``n_since_gap``, ``mean``,
-    ``stdev``, ``pause_over`` and ``warm``.
-
-    ``by_tick`` says whether to go through sums per tick. Both ways give the same
-    result; by default the fullest slice is counted to choose.
+    ``stdev``, ``pause_over`` and ``warm``. Nothing runs until an action.
     """
-    if by_tick is None:
-        by_tick = largest_slice(trades, params) > params.max_slice_rows
-    rows = trades.select("*", F.unix_micros("event_time").alias("t"))
-    state = (_trade_state_by_tick if by_tick else _trade_state)(rows, trades, params)
+    state = _trade_state(trades, params)
     need = params.warmup_min_samples
-    sums = {x: F.col(f"s_{x}") for x in fx.SUM_LIMBS}
+    sums = {x: F.col(f"s_{x}") for x in fx.SUMS}
     state = with_usd(state, params).select(
         "*",
         F.expr(f"over_earlier OR n_since_gap >= {need}").alias("pause_over"),
         F.expr(f"n >= {need} AND (over_earlier OR n_since_gap >= {need})").alias("warm"),
-        fx.mean_from_limbs(F.col("n"), sums).alias("mean"),
-        fx.stdev_from_limbs(F.col("n"), sums).alias("stdev"),
+        fx.mean_from_sums(F.col("n"), sums).alias("mean"),
+        fx.stdev_from_sums(F.col("n"), sums).alias("stdev"),
     )
     z = F.when(
         F.col("warm") & (F.col("n") >= 2),
@@ -267,17 +244,24 @@ def rolling_state(
     return state.select("*", fx.anomaly_flag(F.col("z_score"), params).alias("is_anomaly"))
 
 
-def enrich(
-    trades: DataFrame, params: Params = Params(), by_tick: bool | None = None
-) -> DataFrame:
+def enrich(trades: DataFrame, params: Params = Params()) -> DataFrame:
     """Trades with USD value, size class, rolling z-score and anomaly flag."""
-    return rolling_state(trades, params, by_tick).select(*ENRICHED_TRADE.fieldNames())
+    return rolling_state(trades, params).select(*ENRICHED_TRADE.fieldNames())
+
 
+def distinct_trades(
+    trades: DataFrame,
+    key: tuple[str, ...] = ("trade_id", "event_time"),
+    order: Column | None = None,
+) -> DataFrame:
+    """One trade per key, for input with replays; copies combine before the shuffle.
 
-def distinct_trades(trades: DataFrame, key: tuple[str, ...] = ("trade_id", "event_time")) -> DataFrame:
-    """One trade per key, for input with replays; copies combine before the shuffle."""
+    ``order`` says which of several copies came first, such as the offset of the source;
+    without it, copies that differ are taken by their values.
+    """
     rest = [c for c in trades.columns if c not in key]
-    first = F.min(F.struct(*rest)).alias("first")
+    row = F.struct(*rest)
+    first = (F.min(row) if order is None else F.min_by(row, order)).alias("first")
     return trades.groupBy(*key).agg(first).select(*key, "first.*").select(*trades.columns)
 
 

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.timing import utc_day
 from tickloom.schemas import TABLE_COLUMNS, TABLE_KEY
 from tickloom.sources.table import read_trades, with_day, write_trades
 
@@ -73,29 +74,42 @@ def append_new(
     """Append the rows whose key is new; the first row of a key stays.
 
     A repeated call with the same rows writes nothing, so a batch that is tried
-    again after a failure does no harm. Only the time span of the batch is looked
-    up: whole days and row groups outside it are skipped. ``order`` may use columns that are not stored, such as an offset.
+    again after a failure does no harm. Only the days of the batch are looked up; all
+    other folders are skipped. ``order`` says which of several copies came first, and may
+    use columns that are not stored, such as an offset; it is needed wherever copies of a
+    key may differ.
     """
     rows, fresh = rows.persist(), None
     try:
-        span = rows.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("time").alias("first"),
-            F.max("time").alias("last"),
-        ).first()
-        if span["n"] == 0:
+        # One row per day that the batch touches.
+        days = (
+            rows.groupBy(utc_day(F.col("time")).alias("day"))
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.unix_micros(F.min("time")).alias("first"),
+                F.unix_micros(F.max("time")).alias("last"),
+            )
+            .collect()
+        )
+        if not days:
             return SinkCounts(0, 0)
+        attempted = sum(d["n"] for d in days)
         stored = stored_or_none(spark, path)
         if stored is not None and "time" in key:
-            first, last = (F.lit(span[c]).cast("timestamp") for c in ("first", "last"))
-            stored = stored.where(F.col("time").between(first, last)).where(
-                F.col("day").between(F.to_date(first), F.to_date(last))
+            # Days as literals skip all other folders, the outer times skip row groups.
+            moment = lambda us: F.timestamp_micros(F.lit(us))
+            known = [d for d in days if d["day"] is not None]
+            stored = stored.where(F.col("day").isin([d["day"] for d in known])).where(
+                F.col("time").between(
+                    moment(min((d["first"] for d in known), default=0)),
+                    moment(max((d["last"] for d in known), default=0)),
+                )
             )
         fresh = new_rows(rows, stored, key, order).select(*TABLE_COLUMNS).persist()
         inserted = fresh.count()
         if inserted:
             write_trades(fresh, path, mode="append")
-        return SinkCounts(span["n"], inserted)
+        return SinkCounts(attempted, inserted)
     finally:
         rows.unpersist()
         if fresh is not None:

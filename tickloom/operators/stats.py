@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.timing import ago, event_order
 from tickloom.functions.trade import (
-    SUM_LIMBS,
+    SUMS,
     USD_SCALE,
-    limb_sums,
-    mean_from_limbs,
-    stdev_from_limbs,
+    exact_sums,
+    mean_from_sums,
+    stdev_from_sums,
     usd_units,
     usd_value,
 )
@@ -124,16 +124,16 @@ def pause_state(trades: DataFrame, params: Params = Params()) -> DataFrame:
 def window_moments(members: DataFrame) -> DataFrame:
     """Size, exact sums and extremes of every window, and the figures from them."""
     usd = F.col("usd_value")
-    sums = [c.alias(f"s_{x}") for x, c in limb_sums(usd_units(usd)).items()]
+    sums = [c.alias(f"s_{x}") for x, c in exact_sums(usd_units(usd)).items()]
     moments = members.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("window_size"),
         *sums,
         F.round(F.min(usd), 2).alias("min_usd"),
         F.round(F.max(usd), 2).alias("max_usd"),
     )
-    n, s = F.col("window_size"), {x: F.col(f"s_{x}") for x in SUM_LIMBS}
+    n, s = F.col("window_size"), {x: F.col(f"s_{x}") for x in SUMS}
     moments = moments.select(
-        "*", mean_from_limbs(n, s).alias("mean"), stdev_from_limbs(n, s).alias("sd")
+        "*", mean_from_sums(n, s).alias("mean"), stdev_from_sums(n, s).alias("sd")
     )
     return moments.select(
         "symbol",

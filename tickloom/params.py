@@ -29,8 +29,6 @@ class Params:
     # Width of the time slices that share the work on one symbol, in multiples of
     # the longest look-back. Larger: less overlap; smaller: more parallel tasks.
     slice_factor: int = 4
-    # Above this many trades in one slice, trades are summed up per clock tick first.
-    max_slice_rows: int = 2_000_000
 
     def __post_init__(self) -> None:
         for name in (

@@ -9,30 +9,31 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-# The JVM does not compile methods of more bytes than this. Longer generated stages
-# are faster when Spark runs them expression by expression.
-METHOD_LIMIT = "8000"
-
-
 def utc(spark: SparkSession) -> SparkSession:
-    """Pin the session zone to UTC (naive times in the inputs mean UTC) and tune it."""
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.codegen.hugeMethodLimit": METHOD_LIMIT,
-    }
-    for name, value in settings.items():
-        if spark.conf.get(name) != value:
-            spark.conf.set(name, value)
+    """Pin the session zone to UTC: naive times in the inputs of the queries mean UTC."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
+_local: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a local one only where none is named."""
+    """The folder named by ``spark.checkpoint.dir``, which all machines share.
+
+    Where none is named, only a session whose driver and executors are one process gets a
+    folder of its own.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="tickloom-")
+    return _local[app]
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:
@@ -47,6 +48,10 @@ def settled(df: DataFrame, label: str) -> DataFrame:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder, never used before."""
+    """A new path below the shared folder, never used before; gone when the session ends."""
     app = spark.sparkContext.applicationId
-    return os.path.join(shared_dir(spark), "tickloom", app, f"{label}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(shared_dir(spark), "tickloom", app, f"{label}-{uuid.uuid4().hex[:12]}")
+    # Removed when the session ends.
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path

@@ -1,16 +1,16 @@
-"""The stored table of enriched trades: Parquet, one folder per day."""
+"""The stored table of enriched trades: Parquet, one folder per day (UTC)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.timing import ago
+from tickloom.functions.timing import ago, utc_day
 from tickloom.schemas import TABLE_COLUMNS, TRADES_TABLE
 
 
 def with_day(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("day", F.to_date("time"))
+    return rows.withColumn("day", utc_day(F.col("time")))
 
 
 def write_trades(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -46,7 +46,7 @@ def scan_after(table: DataFrame, as_of, seconds: float) -> DataFrame:
     start = ago(as_of, seconds)
     rows = table.where(F.col("time") > start)
     if "day" in table.columns:
-        rows = rows.where(F.col("day") >= F.to_date(start))
+        rows = rows.where(F.col("day") >= utc_day(start))
     return rows
 
 

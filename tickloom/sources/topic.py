@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.trade import normalize_symbol
+from tickloom.functions.trade import LARGEST_USD, normalize_symbol
 from tickloom.operators.validate import known_symbols
 from tickloom.params import Params
 from tickloom.schemas import TOPIC
@@ -64,6 +64,7 @@ def decode_topic(messages: DataFrame) -> DataFrame:
         & (F.col("quantity") > 0)
         & ~F.isnan("price")
         & ~F.isnan("quantity")
+        & (F.col("price") * F.col("quantity") <= LARGEST_USD)
         & F.col("event_time").isNotNull()
         & F.col("trade_id").isNotNull(),
         F.lit(False),

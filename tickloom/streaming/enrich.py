@@ -88,7 +88,8 @@ class RollingWindow:
             mean = self.sx / n / fx.USD_SCALE
             stdev = sqrt(n * self.sxx - self.sx * self.sx) / n / fx.USD_SCALE
             z = (usd - mean) / max(stdev, abs(mean) * 0.001, 1.0)
-        q = round(usd * fx.USD_SCALE)
+        # Amounts that batch cannot represent either have no part in the sums.
+        q = round(usd * fx.USD_SCALE) if abs(usd) < fx.MOST_USD else 0
         self.entries.append((t, q))
         self.sx += q
         self.sxx += q * q

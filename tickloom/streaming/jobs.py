@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,15 +36,17 @@ def table_sink(
     checkpoint: str,
     key=TABLE_KEY,
     on_counts: Callable | None = None,
+    order: Column | None = None,
 ):
     """Writer that appends the new table rows of every micro-batch.
 
     The source position of a batch is committed after the batch is stored; a batch
-    that is run again finds its rows stored and adds none.
+    that is run again finds its rows stored and adds none. ``order`` says which of several
+    copies of a trade in one batch came first, such as the offset of the source.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        counts = append_new(batch.sparkSession, batch, path, key)
+        counts = append_new(batch.sparkSession, batch, path, key, order)
         if on_counts:
             on_counts(batch_id, counts)
 
