@@ -203,6 +203,36 @@ def stream_push(spark, sf_dir):
     )
 
 
+@query(
+    "stream_pipeline",
+    f"""SELECT 'stored' AS destination, trade_id, z_score FROM ({ENRICHED_SQL}) WHERE symbol IN {tb.PAIR}
+UNION ALL SELECT 'refused', NULL, NULL""",
+)
+def stream_pipeline(spark, sf_dir):
+    """The main job from a topic to the table: decode, set refused messages aside, enrich, store."""
+    se.use_rocksdb(spark)
+    topic, table, late, refused = (
+        fresh_path(spark, n) for n in ("topic", "stored", "late", "refused")
+    )
+    sent = tp.encode_topic(tb.trades(spark, sf_dir), SCALED)
+    sent = sent.withColumn("offset", F.col("partition").cast("long"))
+    bad = sent.limit(1).withColumn("value", F.lit('{"symbol": 1}'))
+    sent.unionByName(bad).coalesce(1).write.parquet(topic)
+    decoded = tp.decode_topic(tp.read_topic_stream(spark, SCALED, path=topic))
+    jobs.once(jobs.refused_sink(decoded, refused, fresh_path(spark, "refused-checkpoint"), SCALED))
+    rows = se.enrich_stream(tp.good_messages(decoded), SCALED, "0 seconds")
+    jobs.once(jobs.enriched_sink(rows, table, late, fresh_path(spark, "main-checkpoint"), SCALED))
+    stored = spark.read.parquet(table).select(
+        F.lit("stored").alias("destination"), "trade_id", F.round("z_score", 6).alias("z_score")
+    )
+    aside = spark.read.parquet(refused).select(
+        F.lit("refused").alias("destination"),
+        F.lit(None).cast("long").alias("trade_id"),
+        F.lit(None).cast("double").alias("z_score"),
+    )
+    return stored.unionByName(aside)
+
+
 @query("stream_sink", f"WITH {TRADES} SELECT trade_id, symbol, event_time AS time FROM trades")
 def stream_sink(spark, sf_dir):
     """Enriched stream stored through the idempotent sink, then the same run again."""

@@ -79,12 +79,16 @@ def decode_topic(messages: DataFrame) -> DataFrame:
     )
 
 
-def topic_trades(messages: DataFrame) -> DataFrame:
-    return decode_topic(messages).where("status = 'ok'").select(
+def good_messages(decoded: DataFrame) -> DataFrame:
+    return decoded.where("status = 'ok'").select(
         "symbol", "price", "quantity", "event_time", "trade_id"
     )
 
 
+def topic_trades(messages: DataFrame) -> DataFrame:
+    return good_messages(decode_topic(messages))
+
+
 def read_topic_stream(
     spark: SparkSession,
     params: Params = Params(),

@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tickloom.operators.enrich import table_row
 from tickloom.operators.candles import CANDLE_COLUMNS, candle_aggregates
 from tickloom.operators.feeds import push_anomalies, push_trades
 from tickloom.operators.output import push_envelope
 from tickloom.operators.sink import append_new
 from tickloom.params import Params
 from tickloom.schemas import TABLE_KEY
+from tickloom.streaming.enrich import late_only, on_time
 
 
 def once(writer, name: str | None = None) -> StreamingQuery:
@@ -57,6 +59,53 @@ def table_sink(
     )
 
 
+def enriched_sink(
+    enriched: DataFrame,
+    path: str,
+    late_path: str,
+    checkpoint: str,
+    params: Params = Params(),
+    on_counts: Callable | None = None,
+):
+    """Writer of the main job: on-time trades to the table, late ones to a folder of their own.
+
+    It starts a batch at most every ``batch_flush_interval_ms``; another trigger may be set on
+    the writer. The folder of late rows carries the batch number and is replaced when the batch
+    runs again. ``on_counts`` gets the batch number, the counts of the table and of late rows.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            late = late_only(batch)
+            n_late = late.count()
+            if n_late:
+                late.write.mode("overwrite").parquet(f"{late_path}/batch={batch_id}")
+            counts = append_new(batch.sparkSession, table_row(on_time(batch)), path)
+            if on_counts:
+                on_counts(batch_id, counts, n_late)
+        finally:
+            batch.unpersist()
+
+    return (
+        enriched.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**flush_trigger(params))
+        .foreachBatch(store)
+    )
+
+
+def refused_sink(decoded: DataFrame, path: str, checkpoint: str, params: Params = Params()):
+    """Writer of the messages of a topic that could not be decoded."""
+    refused = decoded.where("status <> 'ok'").select("status", "raw")
+    return (
+        refused.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**flush_trigger(params))
+    )
+
+
 def split_sink(parsed: DataFrame, good_path: str, bad_path: str, checkpoint: str):
     """Writer that sends good rows one way and refused rows to a quarantine.
 
