@@ -1,6 +1,8 @@
 """Stored table, candles, feeds and statistics on hand-made rows."""
 
 import json
+
+import pytest
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
@@ -214,3 +216,17 @@ def test_days_do_not_depend_on_the_zone(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert seen[0] == seen[1] == seen[2] and seen[0][0] == 56
+
+
+def test_bounds_are_enforced(spark):
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    rows = spark.range(5).selectExpr("id AS trade_id", "timestamp_seconds(id) AS time", "1.0D AS close")
+    assert output.push_envelope(rows, "trades", 5).count() == 1
+    with pytest.raises(PySparkException):
+        output.push_envelope(rows, "trades", 4).collect()
+    chart = rows.select(F.lit("A").alias("symbol"), F.col("time").alias("bucket"), "close")
+    assert fd.normalized_series(chart, 5).count() == 5
+    with pytest.raises(PySparkException):
+        fd.normalized_series(chart, 4).collect()

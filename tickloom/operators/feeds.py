@@ -137,11 +137,11 @@ def feed_tabs(feed: DataFrame, assets: tuple[str, ...] = ("BTC", "ETH")) -> Data
     )
 
 
-def normalized_series(series: DataFrame) -> DataFrame:
+def normalized_series(series: DataFrame, most: int = 1440) -> DataFrame:
     """Chart points scaled to a 100 by 54 canvas, per symbol.
 
-    The input holds one symbol's candles of a chart, at most 1440 by the limit on
-    the chart range, so a window over them is small.
+    A symbol's candles are worked on together; more than ``most`` of them, the limit on the
+    range of a chart, are refused with an error.
     """
     per_symbol = Window.partitionBy("symbol")
     spot = F.row_number().over(per_symbol.orderBy("bucket")) - 1
@@ -159,7 +159,8 @@ def normalized_series(series: DataFrame) -> DataFrame:
     return rows.select(
         "symbol",
         "bucket",
-        F.when(F.col("n") == 1, F.lit(0.0))
+        F.when(F.col("n") > most, F.raise_error(F.lit(f"more than {most} points in a chart")))
+        .when(F.col("n") == 1, F.lit(0.0))
         .otherwise(F.col("i") / F.nullif(F.col("n") - 1, F.lit(0)) * 100)
         .alias("x"),
         (54 - (F.col("close") - F.col("low")) / F.col("span") * 54).alias("y"),
