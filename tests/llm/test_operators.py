@@ -254,9 +254,9 @@ def test_families_whose_links_are_chains(spark):
     assert got == want and len({r[2] for r in want}) < len(rows)
 
 
-def test_divide_skip_with_few_long_lists(docs, monkeypatch):
+def test_divide_skip_with_fewer_long_lists(docs, monkeypatch):
     want = ordered(jaccard_join.classes(docs).collect())
-    monkeypatch.setattr(jaccard_join, "MU", 10.0)
+    monkeypatch.setattr(jaccard_join, "OCCURRENCES", 4)
     monkeypatch.setattr(jaccard_join, "ROUNDS", 1)
     assert ordered(jaccard_join.classes(docs).collect()) == want
 

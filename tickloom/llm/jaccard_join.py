@@ -11,12 +11,14 @@ T = ceil(0.75 n) of its shingles. That bound is used three times:
    A pair of n and m shingles needs an overlap of 3 (n + m) / 7, which must not exceed what
    either of them shares with anybody.
 2. Merging. Of x's lists (shingle -> nodes that have it) the L longest are set aside, with
-   L = T / (mu log2(longest) + 1). A partner occurs T - L times in the short lists. Within a list
+   L = T - OCCURRENCES, as long lists are many times as long as short ones and probing a partner
+   is cheap; so a partner occurs OCCURRENCES times in the short lists. Within a list
    all members are first compared with one of them: the most typical one, then others, drawn anew
    each round while rounds find links. Verified links join nodes to components, so a family of
    any size needs comparisons in proportion to its size. What is left are pairs in different
    components: the short lists of x, in the smaller component, restricted to the other
-   components, are merged by a heap of their heads, which counts occurrences.
+   components, are merged by a heap of their heads, which counts occurrences. For each pair the
+   lists are cut again by the overlap that its two sizes need.
 3. Probing. For those that occur often enough, x's shingles, those of its long lists first, are
    looked up in the partner's sorted shingles by binary search, which gives the overlap.
 
@@ -47,7 +49,7 @@ from tickloom.llm.components import components
 from tickloom.llm.scratch import drop, written
 
 LINKED = 75  # of 100
-MU = 0.01  # weight of probing against merging
+OCCURRENCES = 1  # in short lists, of a partner; L follows from it
 BLOCK_TOKENS = 1_000_000  # shingles that one task packs together
 BUCKET_BYTES = 16 << 20  # text per bucket of hashes
 ROUNDS = 6  # at most, of comparison with one member of each list
@@ -254,9 +256,7 @@ def _lists(nodes: DataFrame) -> DataFrame:
         .withColumn("least", _least_overlap(F.col("n")))
         .where(F.size("ts") >= F.col("least"))
     )
-    longest = F.element_at("ts", -1)["df"]
-    aside = F.floor(F.col("least") / (MU * F.log2(longest + 1) + 1)).cast("int")
-    rows = rows.withColumn("aside", F.least(aside, F.col("least") - 1))
+    rows = rows.withColumn("aside", F.greatest(F.col("least") - OCCURRENCES, F.lit(0)))
     tokens = F.transform("ts", lambda t: t["token"])
     kept = F.size("ts") - F.col("aside")
     return rows.select(
@@ -327,7 +327,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(lists: DataFrame) -> DataFrame:
     """Links that join every node to its component: pairs (a, b) of sets; not all pairs."""
     short = written(
-        lists.select("x", "n", "a", F.explode("short").alias("token")), "short"
+        lists.select("x", "n", "a", F.posexplode("short").alias("place", "token")), "short"
     )
     edges: DataFrame | None = None
     labels: DataFrame | None = None
@@ -362,12 +362,10 @@ def links(lists: DataFrame) -> DataFrame:
         edges = new if edges is None else edges.union(new)
         labels = components(edges)
 
-    # Pairs in different components. The common shingles that come first in the order by
-    # frequency are in the short lists of both, all but as many as the longer of both sets aside.
+    # Pairs in different components. Behind the first OCCURRENCES common shingles, in the order by
+    # frequency, both must have room for the rest of the overlap that the pair needs.
     sizes = labelled(lists.select("x"), "x", "label").groupBy("label").agg(F.count("*").alias("of"))
-    info = lists.select("x", F.size("rest").alias("aside"))
-    members = labelled(short, "x", "label").join(sizes, "label")
-    members = written(members.join(info, "x"), "members")
+    members = written(labelled(short, "x", "label").join(sizes, "label"), "members")
     per_list = members.select("token", "label", "of").distinct()
     ends = per_list.groupBy("token").agg(
         F.max(F.struct("of", "label")).alias("top"), F.count("*").alias("k")
@@ -383,13 +381,15 @@ def links(lists: DataFrame) -> DataFrame:
         F.col("of").alias("of2"),
         F.col("label").alias("label2"),
         F.col("a").alias("a2"),
-        F.col("aside").alias("aside2"),
+        F.col("place").alias("place2"),
     )
     met = asked.join(other, "token").where(
-        _possible() & (F.struct("of", "label") < F.struct("of2", "label2"))
+        _possible()
+        & (F.struct("of", "label") < F.struct("of2", "label2"))
+        & (F.col("place") <= F.col("a") - _pair_least() + OCCURRENCES - 1)
+        & (F.col("place2") <= F.col("a2") - _pair_least() + OCCURRENCES - 1)
     )
-    need = _pair_least() - F.greatest("aside", "aside2")
-    member = F.struct(F.col("y"), F.greatest(need, F.lit(1)).alias("need"))
+    member = F.struct(F.col("y"), F.least(_pair_least(), F.lit(OCCURRENCES)).alias("need"))
     merged = (
         met.groupBy("x", "token")
         .agg(F.sort_array(F.collect_list(member)).alias("members"))
