@@ -343,7 +343,7 @@ def test_repeated_passages_are_found_and_others_left(docs, empty):
 
 def test_compact_windows_are_the_wide_nodes_of_the_tree():
     rng = np.random.default_rng(4)
-    values = rng.integers(1, 60, 400).astype(np.uint64)
+    values = rng.integers(1, 60, 400).astype(np.uint64) << np.uint64(30)
     breaks = np.array([0, 90, 91, 260, 399])
     got = {tuple(w) for w in substring_dedup.compact_windows(values, breaks).tolist()}
     flat = values.astype(int).tolist()
