@@ -45,12 +45,12 @@ from tickloom.llm.scratch import written
 SPAN = 50  # bytes that must agree
 ANCHOR = 24  # bytes of an anchor
 PLACES = SPAN - ANCHOR + 1  # of an anchor in a window
-BLOCK_BYTES = 3 << 20  # text that one task works on together
+BLOCK_BYTES = 2 << 20  # text that one task works on together
 BUCKET_BYTES = 16 << 20  # text per bucket
 HOT_DOCS = 5_000  # from here on an anchor's windows travel one by one
-PORTION = 1_000_000  # suffixes that are sorted together
+PORTION = 500_000  # suffixes that are sorted together
 SAMPLE_DOCS = 2_000  # whose anchors give the splitters
-NO_ID = (1 << 63) - 1
+NO_ID = (1 << 63) - 1  # stands for NULL, and is no id of a document
 
 _BITS = 28  # of a position in a block
 _LOW = np.uint64((1 << _BITS) - 1)
@@ -467,11 +467,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Every row by its id and the hash of its text; all later joins use this one shuffle."""
+    """Every row by its id and the hash of its text.
+
+    All joins read these three columns, so that Spark shuffles the texts once.
+    """
     return docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("_id"),
         F.xxhash64("text").alias("_text"),
-        F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("data"),
     ).repartition("_id", "_text")
 
@@ -581,7 +583,7 @@ def strip_repeats(docs: DataFrame) -> DataFrame:
     return (
         keyed.join(spans, ["_id", "_text"], "left")
         .join(copies.withColumn("copy", F.lit(True)), ["_id", "_text"], "left")
-        .select("doc_id", "data", "spans", "copy")
+        .select(F.when(F.col("_id") != NO_ID, F.col("_id")), "data", "spans", "copy")
         .mapInArrow(
             _strip, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
         )
