@@ -37,20 +37,26 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-# Shuffle files of a finished write serve nobody any more.
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# While a table is written: shuffle files of a finished write serve nobody any more, and rows that
+# hold whole texts or arrays go to Python in batches of bounded size.
+_WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame, written and read back: it is worked out once, and no lost machine matters."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    before = spark.conf.get(_CLEAN)
-    spark.conf.set(_CLEAN, "true")
+    before = {name: spark.conf.get(name) for name in _WHILE_WRITING}
     try:
+        for name, value in _WHILE_WRITING.items():
+            spark.conf.set(name, value)
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEAN, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     back = spark.read.schema(df.schema).parquet(path)
     back._llm_path = path
     return back
