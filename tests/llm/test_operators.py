@@ -362,6 +362,67 @@ def test_compact_windows_are_the_wide_nodes_of_the_tree():
     assert got == want and got
 
 
+def longest_stretches(b, a):
+    """Stretches of b that begin and end with tokens of their partner in a, none within another."""
+    least, found = substring_dedup.LEAST, []
+    for i in range(len(b) - least + 1):
+        for j in range(len(b), i + least - 1, -1):
+            if any(x <= i and j <= y for x, y in found):
+                break
+            part = set(b[i:j])
+            if not similar_part(part, b[i], b[j - 1], a, least):
+                continue
+            found.append((i, j))
+            break
+    return found
+
+
+def similar_part(part, first, last, a, least):
+    for u in range(len(a) - least + 1):
+        shared, theirs = 0, set()
+        for v in range(u, len(a)):
+            if a[v] not in theirs:
+                theirs.add(a[v])
+                shared += a[v] in part
+            if v + 1 - u >= least and {first, last} <= theirs and a[u] in part and a[v] in part:
+                if shared * 4 >= 3 * (len(part) + len(theirs) - shared):
+                    return True
+    return False
+
+
+def stretches(b, a):
+    b, a = (substring_dedup.Text(np.array(x, np.uint64)) for x in (b, a))
+    return [p[:2] for p in substring_dedup.passages(b, a)]
+
+
+def test_stretches_equal_brute_force(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "_overlaps", lambda b, a: [(0, len(b.tokens))])
+    rng = random.Random(8)
+    fresh = lambda n: [rng.getrandbits(60) for _ in range(n)]
+    for n in range(12):
+        same = fresh(rng.randrange(46, 66))
+        cut, other = rng.randrange(len(same)), same[:]
+        if n % 4 == 0:
+            other[cut:cut] = fresh(rng.randrange(12, 26))
+        elif n % 4 == 1:
+            other[cut : cut + 9] = fresh(rng.randrange(9))
+        elif n % 4 == 2:
+            other = same[cut:] + fresh(4) + same[:cut]
+        else:
+            other[cut:cut] = same[: rng.randrange(20)]
+        a, b = fresh(9) + same + fresh(7), fresh(8) + other + fresh(11)
+        if n % 2:
+            a, b = b, a
+        assert stretches(b, a) == longest_stretches(b, a)
+
+
+def test_an_insertion_in_either_document_keeps_the_passage():
+    rng = np.random.default_rng(5)
+    same = rng.integers(1, 1 << 60, 90).tolist()
+    longer = same[:41] + rng.integers(1, 1 << 60, 16).tolist() + same[45:86]
+    assert stretches(longer, same[:86]) and stretches(same[:86], longer)
+
+
 # ---- language model --------------------------------------------------------------------------------------
 
 
