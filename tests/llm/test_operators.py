@@ -423,6 +423,22 @@ def test_an_insertion_in_either_document_keeps_the_passage():
     assert stretches(longer, same[:86]) and stretches(same[:86], longer)
 
 
+def test_parts_of_a_passage_in_other_documents_hide_no_holder(spark):
+    rng, rows, holders = random.Random(9), [], []
+    for case in range(40):
+        passage = prose(rng, 60).split()
+        parts = [passage[:40], passage[20:]]
+        for kind in (*parts, passage, *parts, passage):
+            if kind is passage:
+                holders.append((case, len(rows)))
+            text = prose(rng, 40).split() + kind + prose(rng, 40).split()
+            rows.append((len(rows), " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r["source_id"], r["doc_id"]) for r in substring_dedup.repeated_passages(docs).collect()}
+    pairs = {(a, b) for (case, a), (other, b) in zip(holders[::2], holders[1::2])}
+    assert pairs <= got
+
+
 # ---- language model --------------------------------------------------------------------------------------
 
 
