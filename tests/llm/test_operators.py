@@ -439,6 +439,20 @@ def test_parts_of_a_passage_in_other_documents_hide_no_holder(spark):
     assert pairs <= got
 
 
+def test_places_beyond_the_bits_of_a_piece(monkeypatch):
+    rng = np.random.default_rng(6)
+    tokens = rng.integers(1, 1 << 63, 2_000).astype(np.uint64)
+    data = bytes(rng.integers(97, 123, 3_000).astype(np.uint8))
+    whole, block = substring_dedup.Text(tokens).windows, suffix_dedup.Block([data, data[:500]])
+    monkeypatch.setattr(substring_dedup, "_PLACE", np.uint64(255))
+    monkeypatch.setattr(substring_dedup, "PIECE", 150, raising=False)
+    monkeypatch.setattr(suffix_dedup, "_LOW", np.uint64(255))
+    monkeypatch.setattr(suffix_dedup, "PIECE", 200, raising=False)
+    assert substring_dedup.Text(tokens).windows == whole
+    cut = suffix_dedup.Block([data, data[:500]])
+    assert (cut.run_anchor == block.run_anchor).all() and (cut.run_lo == block.run_lo).all()
+
+
 # ---- language model --------------------------------------------------------------------------------------
 
 

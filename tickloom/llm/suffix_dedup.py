@@ -52,7 +52,8 @@ PORTION = 500_000  # suffixes that are sorted together
 SAMPLE_DOCS = 2_000  # whose anchors give the splitters
 NO_ID = (1 << 63) - 1  # stands for NULL, and is no id of a document
 
-_BITS = 28  # of a position in a block
+_BITS = 28  # of a position in a piece
+PIECE = 1 << 27  # windows whose positions are told apart; longer blocks are taken in pieces
 _LOW = np.uint64((1 << _BITS) - 1)
 
 
@@ -81,15 +82,19 @@ class Block:
         h ^= h >> np.uint64(32)
         h *= np.uint64(0x94D049BB133111EB)
         h ^= h >> np.uint64(29)
-        v = (h & ~_LOW) | np.arange(n, dtype=np.uint64)
         # Least of each PLACES neighbours: prefix and suffix minima of chunks of that length.
         m = n - PLACES + 1
-        padded = np.full(-(-n // PLACES) * PLACES, np.iinfo(np.uint64).max, np.uint64)
-        padded[:n] = v
-        chunks = padded.reshape(-1, PLACES)
-        ahead = np.minimum.accumulate(chunks, axis=1).ravel()
-        back = np.minimum.accumulate(chunks[:, ::-1], axis=1)[:, ::-1].ravel()
-        anchor = (np.minimum(back[:m], ahead[PLACES - 1 : PLACES - 1 + m]) & _LOW).astype(np.int64)
+        anchor = np.empty(m, np.int64)
+        for start in range(0, m, PIECE):
+            part = h[start : start + PIECE + PLACES - 1]
+            size = len(part)
+            padded = np.full(-(-size // PLACES) * PLACES, np.iinfo(np.uint64).max, np.uint64)
+            padded[:size] = (part & ~_LOW) | np.arange(size, dtype=np.uint64)
+            chunks = padded.reshape(-1, PLACES)
+            ahead = np.minimum.accumulate(chunks, axis=1).ravel()
+            back = np.minimum.accumulate(chunks[:, ::-1], axis=1)[:, ::-1].ravel()
+            low = np.minimum(back[: size - PLACES + 1], ahead[PLACES - 1 : size]) & _LOW
+            anchor[start : start + len(low)] = low.astype(np.int64) + start
         new = np.ones(m, bool)
         new[1:] = anchor[1:] != anchor[:-1]
         new[self.starts[self.starts < m]] = True
