@@ -15,7 +15,10 @@ from tickloom.llm import (
     decontaminate,
     jaccard_join,
     lm_scoring,
+    merkle,
     mixing,
+    piece_codec,
+    prefix_trie,
     quality,
     sharding,
     substring_dedup,
@@ -47,6 +50,13 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model() -> str:
+    """The SentencePiece model that the queries use; operators take the file as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 @query
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -126,3 +136,43 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "target",
         (F.size("draws") * F.col("size")).alias("taken"),
     )
+
+
+@query
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    coded = piece_codec.encode_documents(docs, piece_model()).select("doc_id", "ids")
+    return piece_codec.decode_documents(coded, piece_model()).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir)).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie.prefix_nodes(turns).select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        "ends_sha256",
+    )

@@ -10,6 +10,7 @@ from tickloom.llm.quality import (
     STOP_WORDS,
     Rule,
 )
+from tickloom.llm.sql_trees import MERKLE_SQL, TRIE_SQL
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -120,4 +121,6 @@ ORACLES: dict[str, str] = {
     SELECT doc_id, item_id, n_item_shingles, n_shared FROM ({contaminated_sql()})""",
     "op9_jaccard_join": f"""
     SELECT doc_id, n_shingles, component_id FROM ({classes_sql()})""",
+    "op12_merkle_manifest": MERKLE_SQL,
+    "op13_prefix_trie": TRIE_SQL,
 }
