@@ -32,8 +32,9 @@ from pyspark.sql import DataFrame
 from tickloom.llm.columns import carried, restored
 
 MARK = "▁"
-MOST_WORDS = 400_000  # entries of a task's table; it is emptied when full
-PORTION = 1 << 20  # characters whose words are looked up together
+MOST_WORDS = 200_000  # entries of a task's table; it is emptied when full
+PORTION = 1 << 18  # characters whose words are looked up together
+ROWS = 128  # rows that go back to Spark together
 _WORD_END = re.compile(r"(?<=[^ ]) ")
 
 _loaded: dict[str, "PieceCodec"] = {}
@@ -163,9 +164,10 @@ def _with_result(docs: DataFrame, source: str, kind: str, result: str, name: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, work(batch.column(at))], [*batch.schema.names, "_result"]
+                    [*part.columns, work(part.column(at))], [*part.schema.names, "_result"]
                 )
 
     out = rows.mapInArrow(run, _arrow_fields(rows, "_result", result))
