@@ -29,34 +29,54 @@ def test_z_floor_and_strict_limit(spark):
     assert one(spark, fx.anomaly_flag(F.lit(None).cast("double"), Params())) is False
 
 
-def test_sums_are_exact(spark):
-    values = [10**12 + 7, 123_456_789, 1, 10**16 + 3]
-    df = spark.createDataFrame([(v,) for v in values], "v long").selectExpr(
-        "CAST(v AS DECIMAL(19,0)) AS q"
-    )
-    sums = fx.exact_sums(F.col("q"))
-    row = df.agg(sums["qq"].alias("xx"), sums["q"].alias("x")).first()
-    assert int(row.xx) == sum(v * v for v in values) and row.x == sum(values)
-    inline = df.selectExpr(*[f"sum({t}) AS {n}" for n, t in fx.SUMS.items()]).first()
-    assert inline.qq == row.xx and inline.q == row.x
-
-
-@pytest.mark.parametrize("values", [[5, 5, 5], [10**16, 10**16 + 2], [1, 2, 3, 10**15], [7]])
+def limb_table(spark, units):
+    df = spark.createDataFrame([(float(u),) for u in units], "u double")
+    return df.select(*fx.limbs(F.col("u") / fx.USD_SCALE))
+
+
+def test_sums_of_everyday_amounts_are_exact(spark):
+    units = [10**9 + 7, 123_456_789, 1, 9 * 10**11 + 3, 0] * 300
+    sums = fx.limb_sums(F.col("hi"), F.col("lo"))
+    row = limb_table(spark, units).agg(*[c.alias(n) for n, c in sums.items()]).first()
+    split = int(fx.SPLIT)
+    assert int(row.hi) * split + int(row.lo) == sum(units)
+    squares = int(row.hihi) * split**2 + 2 * split * int(row.hilo) + int(row.lolo)
+    assert squares == sum(u * u for u in units)
+
+
+@pytest.mark.parametrize(
+    "values", [[5, 5, 5], [10**13, 10**13 + 2], [1, 2, 3, 10**15], [7], [2**20 - 1, 2**20, 2**20 + 1]]
+)
 def test_deviation_does_not_cancel(spark, values):
     from fractions import Fraction
 
-    df = spark.createDataFrame([(v,) for v in values], "v long").selectExpr(
-        "CAST(v AS DECIMAL(19,0)) AS q"
-    )
-    got = df.agg(fx.stdev_from_sums(F.count("q"), fx.exact_sums(F.col("q")))).first()[0]
+    sums = fx.limb_sums(F.col("hi"), F.col("lo"))
+    got = limb_table(spark, values).agg(fx.stdev_from_sums(F.count("hi"), sums)).first()[0]
     mean = Fraction(sum(values), len(values))
     want = float(sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5 / fx.USD_SCALE
     assert got == pytest.approx(want, rel=1e-12, abs=1e-15)
 
 
-def test_amounts_that_cannot_be_represented_have_no_units(spark):
-    for usd in (float("inf"), float("nan"), 1e30, None):
-        assert one(spark, fx.usd_units(F.lit(usd).cast("double"))) is None
+@pytest.mark.parametrize("usd", [1e12, 8e14, 1e16, 1e30, 1e150, 1.7e308])
+def test_amounts_of_any_size_are_added_up(spark, usd):
+    df = spark.createDataFrame([(usd,), (usd / 2,), (0.5,)], "usd double").select(*fx.limbs(F.col("usd")))
+    sums = fx.limb_sums(F.col("hi"), F.col("lo"))
+    n = F.count("hi")
+    row = df.agg(n.alias("n"), fx.mean_from_sums(n, sums).alias("m"), fx.stdev_from_sums(n, sums).alias("s")).first()
+    values = [usd, usd / 2, 0.5]
+    mean = sum(v / 3 for v in values)
+    assert row.n == 3 and row.m == (pytest.approx(mean, rel=1e-14) if usd < 1e300 else float("inf"))
+    if usd <= 1e150:
+        want = mean * (sum((v / mean - 1) ** 2 for v in values) / 3) ** 0.5
+        assert row.s == pytest.approx(want, rel=1e-14)
+    else:
+        assert row.s == float("inf")
+
+
+def test_amounts_that_are_not_finite_have_no_limbs(spark):
+    for usd in (float("inf"), float("nan"), None):
+        row = spark.range(1).select(*fx.limbs(F.lit(usd).cast("double"))).first()
+        assert row.hi is None and row.lo is None
 
 
 @pytest.mark.parametrize(

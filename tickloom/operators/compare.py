@@ -3,25 +3,27 @@
 from __future__ import annotations
 
 from datetime import datetime
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.trade import (
+    SUMS,
     USD_SCALE,
-    exact_sums,
+    limb_sums,
+    limbs,
     mean_from_sums,
     spread_from_sums,
     stdev_from_sums,
-    usd_units,
 )
+from tickloom.operators.carry import CarryStore
 from tickloom.operators.enrich import ID_BLOCK_BITS
 from tickloom.operators.stats import (
+    Windows,
     symbol_summary,
     symbol_windows,
-    window_members,
     window_summary,
+    windows,
 )
 from tickloom.params import Params
 from tickloom.session import settled
@@ -45,81 +47,110 @@ SUMMARY_FIELDS = (
 )
 
 
-def positions(members: DataFrame) -> DataFrame:
-    """USD units of window members with their age rank per symbol, 1 for the newest.
+# Ranges of time that a window is cut into to rank its trades: one task ranks the ticks of one.
+RANK_RANGES = 64
 
-    Counts per clock tick are ranked first, then the trades within their tick, so no
-    single group holds all trades of a symbol.
+
+def positions(members: DataFrame, params: Params = Params()) -> DataFrame:
+    """Limbs of window members with their age rank per symbol, 1 for the newest.
+
+    Ranks are added up on three levels: trades in later time ranges of the window, ticks later
+    in the same range, and trades within the tick. A window has no more than ``RANK_RANGES``
+    + 1 ranges, so the scan over a symbol's ranges is short whatever the number of trades, and no
+    single group holds all trades or ticks of a symbol.
     """
+    width = max(1, -(-params.window_us // RANK_RANGES))
     rows = members.select(
         "symbol",
         "t",
+        F.expr(f"t - pmod(t, {width}) AS range"),
         F.shiftright("trade_id", ID_BLOCK_BITS).alias("uid"),
         "trade_id",
-        usd_units(F.col("usd_value")).alias("q"),
+        *limbs(F.col("usd_value")),
     )
-    newest = (
-        "PARTITION BY symbol ORDER BY t DESC, uid DESC "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    upto = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    counts = rows.groupBy("symbol", "range", "t", "uid").agg(F.count(F.lit(1)).alias("cnt"))
+    ranges = (
+        rows.groupBy("symbol", "range")
+        .agg(F.count(F.lit(1)).alias("inside"))
+        .selectExpr(
+            "symbol",
+            "range",
+            f"sum(inside) OVER (PARTITION BY symbol ORDER BY range DESC {upto}) - inside AS later",
+        )
     )
-    ticks = (
-        rows.groupBy("symbol", "t", "uid")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .selectExpr("symbol", "t", "uid", f"sum(cnt) OVER ({newest}) - cnt AS newer")
+    newest = f"PARTITION BY symbol, range ORDER BY t DESC, uid DESC {upto}"
+    # At most RANK_RANGES + 1 rows per compared symbol.
+    ticks = counts.join(F.broadcast(ranges), ["symbol", "range"]).selectExpr(
+        "symbol", "t", "uid", f"later + sum(cnt) OVER ({newest}) - cnt AS newer"
     )
     rank = "row_number() OVER (PARTITION BY symbol, t, uid ORDER BY trade_id DESC)"
     return (
         rows.selectExpr("*", f"{rank} AS rank")
         .join(ticks, ["symbol", "t", "uid"])
-        .selectExpr("symbol", "q", "newer + rank AS pos")
+        .selectExpr("symbol", "hi", "lo", "newer + rank AS pos")
     )
 
 
-def aligned_pairs(members: DataFrame, pair: tuple[str, str]) -> DataFrame:
-    """Window values of two symbols side by side, matched by age rank.
+def aligned_pairs(members: DataFrame, pair: tuple[str, str], params: Params = Params()) -> DataFrame:
+    """Window values of two symbols side by side, as limbs, matched by age rank.
 
     Both windows end at position 1. The pairing is one aggregate, not a self-join.
     """
-    placed = positions(members.where(F.col("symbol").isin(*pair)))
-    first, second = (F.max(F.when(F.col("symbol") == s, F.col("q"))) for s in pair)
-    return (
-        placed.groupBy("pos")
-        .agg(first.alias("x"), second.alias("y"))
-        .where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    )
+    placed = positions(members.where(F.col("symbol").isin(*pair)), params)
+    sides = [
+        F.max(F.when(F.col("symbol") == s, F.col(limb))).alias(f"{side}_{limb}")
+        for side, s in zip("xy", pair)
+        for limb in ("hi", "lo")
+    ]
+    return placed.groupBy("pos").agg(*sides).where("x_hi IS NOT NULL AND y_hi IS NOT NULL")
 
 
-def pearson(pairs: DataFrame) -> Column:
-    """Correlation of ``x`` and ``y`` from exact sums; NULL without spread."""
-    n = F.count(F.lit(1))
-    zero = F.lit(Decimal(0))
-    total = {c: F.coalesce(F.sum(c), zero) for c in ("x", "y")}
+_LIMBS = ("hi", "lo")
 
-    def spread(a: str, b: str) -> Column:
-        products = F.sum((F.col(a) * F.col(b)).cast("decimal(38,0)"))
-        return spread_from_sums(n, F.coalesce(products, zero), total[a], total[b])
 
-    vx, vy, cov = spread("x", "x"), spread("y", "y"), spread("x", "y")
-    return F.when((vx > 0) & (vy > 0), cov / F.nullif(F.sqrt(vx) * F.sqrt(vy), F.lit(0.0)))
+def _pair_sums() -> list[Column]:
+    """Every sum over the pairs that the figures need, under a name of its own."""
+    sums = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("pos") <= RECENT).alias("n_recent")]
+    for side in "xy":
+        hi, lo = (F.col(f"{side}_{limb}") for limb in _LIMBS)
+        for name, which in (("all", F.lit(True)), ("old", F.col("pos") > RECENT), ("new", F.col("pos") <= RECENT)):
+            for x, total in limb_sums(F.when(which, hi), F.when(which, lo)).items():
+                sums.append(F.coalesce(total, F.lit(0.0)).alias(f"{side}_{name}_{x}"))
+    for p in _LIMBS:
+        for q in _LIMBS:
+            product = F.sum(F.col(f"x_{p}") * F.col(f"y_{q}"))
+            sums.append(F.coalesce(product, F.lit(0.0)).alias(f"xy_{p}{q}"))
+    return sums
 
 
-def recent_z(value: str) -> Column:
-    """Mean of the newest values against the mean and deviation of the older ones."""
-    recent = F.when(F.col("pos") <= RECENT, F.col(value))
-    older = F.when(F.col("pos") > RECENT, F.col(value))
-    n, sums = F.count(older), exact_sums(older)
-    sd = stdev_from_sums(n, sums)
-    apart = F.avg(recent) / USD_SCALE - mean_from_sums(n, sums)
-    return F.when(sd == 0, F.lit(0.0)).otherwise(apart / F.nullif(sd, F.lit(0.0)))
+def _sums(side: str, name: str) -> dict[str, Column]:
+    return {x: F.col(f"{side}_{name}_{x}") for x in SUMS}
 
 
 def pair_figures(pairs: DataFrame) -> DataFrame:
-    """Correlation, recent z of both symbols and their divergence, in one row."""
-    raw = pairs.agg(
-        F.count(F.lit(1)).alias("pair_count"),
-        pearson(pairs).alias("r"),
-        recent_z("x").alias("zx"),
-        recent_z("y").alias("zy"),
+    """Correlation, recent z of both symbols and their divergence, in one row.
+
+    The correlation is NULL without spread. The recent z is the mean of the newest values
+    against the mean and deviation of the older ones, 0 without spread.
+    """
+    n, n_old = F.col("n"), F.col("n") - F.col("n_recent")
+    mixed = {(p, q): F.col(f"xy_{p}{q}") for p in _LIMBS for q in _LIMBS}
+    sums = pairs.agg(*_pair_sums()).select(
+        n.alias("pair_count"),
+        spread_from_sums(n, mixed, _sums("x", "all"), _sums("y", "all")).alias("cov"),
+        *[stdev_from_sums(n, _sums(s, "all")).alias(f"sd_{s}") for s in "xy"],
+        *[stdev_from_sums(n_old, _sums(s, "old")).alias(f"old_sd_{s}") for s in "xy"],
+        *[mean_from_sums(n_old, _sums(s, "old")).alias(f"old_{s}") for s in "xy"],
+        *[mean_from_sums(F.col("n_recent"), _sums(s, "new")).alias(f"new_{s}") for s in "xy"],
+    )
+    raw = sums.selectExpr(
+        "pair_count",
+        f"cov / nullif(sd_x * sd_y, 0D) / {USD_SCALE}D / {USD_SCALE}D AS r",
+        *[
+            f"IF(old_sd_{s} = 0D, 0D, (new_{s} - old_{s}) / nullif(old_sd_{s}, 0D)) AS z{s}"
+            for s in "xy"
+        ],
     )
     enough = F.col("pair_count") >= MIN_FOR_RECENT
     apart = F.abs(F.col("zy") - F.col("zx"))
@@ -168,17 +199,19 @@ def _side_by_side(summary: DataFrame, pair: tuple[str, str]) -> DataFrame:
 
 
 def cross_asset_comparison(
-    trades: DataFrame, params: Params = Params(), pair: tuple[str, str] | None = None
+    trades: DataFrame,
+    params: Params = Params(),
+    pair: tuple[str, str] | None = None,
+    store: CarryStore | None = None,
 ) -> DataFrame:
     """Full comparison of two symbols from their trades, one row."""
     pair = pair or params.symbols[:2]
     chosen = _pair_params(params, pair)
-    # Three parts of the plan use the windows, which are as small as the window is short.
-    members = settled(window_members(trades, chosen), "windows")
-    summary = symbol_windows(trades, members, chosen).withColumn(
-        "status", F.lit(None).cast("string")
-    )
-    figures = pair_figures(aligned_pairs(members, pair))
+    found = windows(trades, chosen, store)
+    # Several parts of the plan use the members, which are as few as the window is short.
+    found = Windows(found.ends, settled(found.members, "windows"))
+    summary = symbol_windows(found, chosen).withColumn("status", F.lit(None).cast("string"))
+    figures = pair_figures(aligned_pairs(found.members, pair, chosen))
     return (
         _side_by_side(summary, pair)
         .withColumn("f", figures.select(F.struct("*")).scalar())

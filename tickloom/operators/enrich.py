@@ -6,12 +6,15 @@ purge gap. A symbol is therefore cut into time slices that are worked on
 separately; each slice also gets a copy of what comes just before it (its
 lead-in). Two facts reach further back: the running numbers of the gaps and
 whether the pause after the latest gap is already over. They travel in a small
-table with one row per symbol and slice.
+table with one row per symbol and slice (``slice_carry``), which can also be kept
+from one run to the next (``operators.carry``).
 
-All running frames start at the first row of a slice, which Spark evaluates in one
-pass; a frame with a moving lower bound would be re-aggregated for every row. The
-window content is the difference of two such frames: all prior rows, less the rows
-that are too old. Sums are exact integers, so the difference loses nothing.
+All running frames start at the first row of a group, which Spark evaluates in one
+pass; a frame with a moving lower bound would be re-aggregated for every row. Counts are
+differences of two such frames. Sums are not: time is cut into blocks as long as the window, and the
+content of a window is the end of one block and the beginning of the next, each
+added up from the side where it is cut. Nothing is subtracted, so an amount that
+has left the window leaves no trace, whatever its size.
 
 A slice may hold any number of trades, but its length in time is fixed. Trades of one symbol at one
 time are therefore summed up first, before any shuffle: the slices work on those sums, of which
@@ -40,55 +43,83 @@ def with_usd(trades: DataFrame, params: Params) -> DataFrame:
 # not even a single moment has to fit into one group.
 ID_BLOCK_BITS = 20
 
+# What a symbol takes over from everything before a moment: its last trade, how many gaps of both
+# kinds it has had, whether the pause after the latest one is over, and how many trades since
+# that gap its window holds after the last trade.
+CARRY = "symbol string, last_t bigint, stops bigint, cuts bigint, over boolean, n_after bigint"
+_FIRST_SLICE = -(1 << 62)  # before any slice of the trades: where a given carry stands
+
 
 def _slice_start(params: Params) -> str:
     return f"t - pmod(t, {params.slice_us})"
 
 
-def _with_units(rows: DataFrame) -> DataFrame:
-    usd = fx.usd_value(F.col("price"), F.col("quantity"))
-    rows = rows.select("*", fx.usd_units(usd).alias("q"))
-    return rows.selectExpr("*", *[f"{t} AS {x}" for x, t in fx.SUMS.items() if x != "q"])
+def _usd_limbs() -> list[Column]:
+    return fx.limbs(fx.usd_value(F.col("price"), F.col("quantity")))
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    """Count and exact sums per symbol, time and id block; combines before the shuffle."""
-    usd = fx.usd_value(F.col("price"), F.col("quantity"))
-    sums = [c.alias(x) for x, c in fx.exact_sums(fx.usd_units(usd)).items()]
-    return rows.groupBy("symbol", "t", "uid").agg(F.count(F.lit(1)).alias("cnt"), *sums)
+def _ticked(trades: DataFrame) -> DataFrame:
+    rows = trades.select("*", F.unix_micros("event_time").alias("t"))
+    return rows.withColumn("uid", F.shiftright("trade_id", ID_BLOCK_BITS))
+
+
+def _tick_counts(rows: DataFrame) -> DataFrame:
+    """Number of trades per symbol, time and id block; combines before the shuffle."""
+    return rows.groupBy("symbol", "t", "uid").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def _tick_sums(rows: DataFrame) -> DataFrame:
+    """The same with the sums of the amounts."""
+    sums = fx.limb_sums(F.col("hi"), F.col("lo"))
+    return (
+        rows.select("symbol", "t", "uid", *_usd_limbs())
+        .groupBy("symbol", "t", "uid")
+        .agg(
+            F.count(F.lit(1)).alias("cnt"),
+            *[F.coalesce(c, F.lit(0.0)).alias(x) for x, c in sums.items()],
+        )
+    )
 
 
-def _sliced(units: DataFrame, params: Params) -> DataFrame:
-    """Bring a symbol's time slices together, each with its lead-in."""
+def _sliced(ticks: DataFrame, params: Params, since: int | None) -> DataFrame:
+    """Bring a symbol's time slices together, each with its lead-in.
+
+    Trades before ``since`` are lead-in only.
+    """
     width, lead, home = params.slice_us, params.lookback_us, _slice_start(params)
     targets = f"IF(pmod(t, {width}) >= {width - lead}, array({home}, {home} + {width}), array({home}))"
+    own = f"slice = {home}" + ("" if since is None else f" AND t >= {since}")
+    # A fixed number of tasks: the work on a slice is far more than its size suggests.
+    tasks = int(ticks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        units.select("*", F.explode(F.expr(targets)).alias("slice"))
-        .repartition("symbol", "slice")
-        .select("*", F.expr(f"slice = {home}").alias("own"))
+        ticks.select("*", F.explode(F.expr(targets)).alias("slice"))
+        .repartition(tasks, "symbol", "slice")
+        .select("*", F.expr(own).alias("own"))
     )
 
 
-def _local_frames(rows: DataFrame, params: Params) -> DataFrame:
-    """Everything that a slice and its lead-in determine by themselves.
+_SLICE = "PARTITION BY symbol, slice ORDER BY t, uid"
+_PRIOR = f"OVER ({_SLICE} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+_SO_FAR = f"OVER ({_SLICE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
-    A row stands for ``cnt`` trades at one time. The results hold for the first.
-    """
-    by_slice = "PARTITION BY symbol, slice ORDER BY t, uid"
-    prior = f"OVER ({by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    so_far = f"OVER ({by_slice} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    expired = (
+
+def _expired(params: Params) -> str:
+    return (
         "OVER (PARTITION BY symbol, slice ORDER BY t "
         f"RANGE BETWEEN UNBOUNDED PRECEDING AND {params.window_us + 1} PRECEDING)"
     )
-    sums = list(fx.SUMS)
+
+
+def _counted(rows: DataFrame, params: Params) -> DataFrame:
+    """Gaps and counts, as far as a slice and its lead-in determine them by themselves.
+
+    A row stands for ``cnt`` trades at one time. The results hold for the first.
+    """
     rows = rows.selectExpr(
         "*",
-        f"lag(t) OVER ({by_slice}) AS local_prev_t",
-        f"coalesce(sum(cnt) {prior}, 0L) AS idx",
-        f"coalesce(sum(cnt) {expired}, 0L) AS old_n",
-        *[f"CAST(coalesce(sum({x}) {prior}, 0) AS DECIMAL(38,0)) AS prior_{x}" for x in sums],
-        *[f"CAST(coalesce(sum({x}) {expired}, 0) AS DECIMAL(38,0)) AS old_{x}" for x in sums],
+        f"lag(t) OVER ({_SLICE}) AS local_prev_t",
+        f"coalesce(sum(cnt) {_PRIOR}, 0L) AS idx",
+        f"coalesce(sum(cnt) {_expired(params)}, 0L) AS old_n",
     )
     rows = rows.selectExpr(
         "*",
@@ -100,21 +131,22 @@ def _local_frames(rows: DataFrame, params: Params) -> DataFrame:
     purge_matters = params.purge_us < params.window_us
     rows = rows.selectExpr(
         "*",
-        f"max(IF(stop, idx, NULL)) {so_far} AS stop_idx",
-        f"sum(IF(own AND stop, 1L, 0L)) {so_far} AS own_stops",
-        f"sum(IF(own AND cut, 1L, 0L)) {so_far} AS own_cuts",
+        f"max(IF(stop, idx, NULL)) {_SO_FAR} AS stop_idx",
+        f"sum(IF(own AND stop, 1L, 0L)) {_SO_FAR} AS own_stops",
+        f"sum(IF(own AND cut, 1L, 0L)) {_SO_FAR} AS own_cuts",
         *(
-            [f"coalesce(max(IF(cut, idx, NULL)) {so_far}, 0L) AS cut_idx"]
-            + [f"last(IF(cut, prior_{x}, NULL), true) {so_far} AS cut_{x}" for x in sums]
+            [
+                f"coalesce(max(IF(cut, idx, NULL)) {_SO_FAR}, 0L) AS cut_idx",
+                f"sum(IF(cut, 1L, 0L)) {_SO_FAR} AS seg",
+            ]
             if purge_matters
-            else ["0L AS cut_idx"] + [f"CAST(NULL AS DECIMAL(38,0)) AS cut_{x}" for x in sums]
+            else ["0L AS cut_idx", "0L AS seg"]
         ),
     )
     rows = rows.selectExpr(
         "*",
         "idx - greatest(old_n, cut_idx) AS n",
         "idx - greatest(old_n, coalesce(stop_idx, 0L)) AS n_since_gap",
-        *[f"prior_{x} - IF(cut_idx > old_n, cut_{x}, old_{x}) AS s_{x}" for x in sums],
     )
     # The pause ends within a row if the last of its trades sees enough others.
     rows = rows.selectExpr(
@@ -122,13 +154,57 @@ def _local_frames(rows: DataFrame, params: Params) -> DataFrame:
     )
     return rows.selectExpr(
         "*",
-        f"coalesce(max(IF(ends_pause, idx, NULL)) {prior} >= coalesce(stop_idx, 0L), false)"
+        f"coalesce(max(IF(ends_pause, idx, NULL)) {_PRIOR} >= coalesce(stop_idx, 0L), false)"
         " AS over_earlier",
     )
 
 
-def _slice_carry(rows: DataFrame) -> DataFrame:
-    """One row per symbol and slice: what the slice takes over from earlier ones."""
+def _summed(rows: DataFrame, params: Params) -> DataFrame:
+    """Sums of the window content before each row.
+
+    A block is as long as the window and ends early at a purge. What a window has of the
+    block before its own is what follows the last row that has expired there, or all of it.
+    """
+    width, sums = params.window_us, fx.SUMS
+    rows = rows.selectExpr("*", f"t - pmod(t, {width}) AS block")
+    part = "PARTITION BY symbol, slice, block, seg ORDER BY"
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    rows = rows.selectExpr(
+        "*", *[f"coalesce(sum({x}) OVER ({part} t DESC, uid DESC {before}), 0D) AS rest_{x}" for x in sums]
+    )
+    rows = rows.selectExpr(
+        "*",
+        *[f"coalesce(sum({x}) OVER ({part} t, uid {before}), 0D) AS head_{x}" for x in sums],
+    )
+    whole = ", ".join(f"'{x}', head_{x} + {x}" for x in sums)
+    rest = ", ".join(f"'{x}', rest_{x}" for x in sums)
+    place = "'block', block, 'seg', seg"
+    # The last row of a block is the one behind which nothing of it follows.
+    ends = f"coalesce(lead(block) OVER ({_SLICE}) <> block OR lead(seg) OVER ({_SLICE}) <> seg, true)"
+    rows = rows.selectExpr("*", f"IF({ends}, named_struct({place}, {whole}), NULL) AS full")
+    rows = rows.selectExpr(
+        "*",
+        f"last(full, true) {_PRIOR} AS prev",
+        f"last(named_struct({place}, {rest})) {_expired(params)} AS gone",
+    )
+    here = f"{{0}}.block = block - {width} AND {{0}}.seg = seg"
+    return rows.selectExpr(
+        "*",
+        *[
+            f"head_{x} + CASE WHEN {here.format('gone')} THEN gone.{x} "
+            f"WHEN {here.format('prev')} THEN prev.{x} ELSE 0D END AS s_{x}"
+            for x in sums
+        ],
+    )
+
+
+def slice_carry(
+    rows: DataFrame, carry: DataFrame | None = None
+) -> DataFrame:
+    """One row per symbol and slice: what it takes over from earlier ones, and what it leaves.
+
+    ``rows`` are counted ticks. ``carry`` has what the symbols take over from all trades before these.
+    """
     per_slice = (
         rows.where("own")
         .groupBy("symbol", "slice")
@@ -138,8 +214,15 @@ def _slice_carry(rows: DataFrame) -> DataFrame:
             F.expr("max(own_stops) AS stops"),
             F.expr("max(own_cuts) AS cuts"),
             F.expr("max_by(over_earlier OR ends_pause, idx) AS over_at_end"),
+            F.expr("max_by(n_since_gap + cnt, idx) AS n_after"),
         )
     )
+    if carry is not None:
+        given = carry.selectExpr(
+            "symbol", f"{_FIRST_SLICE} AS slice", "last_t", "false AS fresh", "stops", "cuts",
+            "over AS over_at_end", "n_after",
+        )
+        per_slice = per_slice.unionByName(given)
     # Bounded by the time range over the slice width, whatever the number of trades.
     in_order = "PARTITION BY symbol ORDER BY slice"
     upto = "ROWS BETWEEN UNBOUNDED PRECEDING AND"
@@ -150,30 +233,64 @@ def _slice_carry(rows: DataFrame) -> DataFrame:
     )
     per_slice = per_slice.selectExpr(
         "*",
-        f"coalesce(sum(stops + late_start) OVER ({in_order} {upto} 1 PRECEDING), 0L) AS stops_before",
-        f"coalesce(sum(cuts + late_start) OVER ({in_order} {upto} 1 PRECEDING), 0L) AS cuts_before",
         f"sum(stops + late_start) OVER ({in_order} {upto} CURRENT ROW) AS stops_after",
+        f"sum(cuts + late_start) OVER ({in_order} {upto} CURRENT ROW) AS cuts_after",
     )
     # Within one pause segment the pause, once over, stays over.
     same_gap = f"PARTITION BY symbol, stops_after ORDER BY slice {upto} CURRENT ROW"
-    per_slice = per_slice.selectExpr("*", f"max(over_at_end) OVER ({same_gap}) AS over_out")
+    per_slice = per_slice.selectExpr("*", f"max(over_at_end) OVER ({same_gap}) AS over_after")
     return per_slice.selectExpr(
         "symbol",
         "slice",
+        "last_t",
         "late_start",
         "prev_last_t",
-        "stops_before",
-        "cuts_before",
-        f"coalesce(lag(over_out) OVER ({in_order}) AND late_start = 0, false) AS over_before",
+        "stops_after",
+        "cuts_after",
+        "over_after",
+        "n_after",
+        "stops_after - stops - late_start AS stops_before",
+        "cuts_after - cuts - late_start AS cuts_before",
+        f"coalesce(lag(over_after) OVER ({in_order}) AND late_start = 0, false) AS over_before",
+    )
+
+
+def carry_after(
+    trades: DataFrame,
+    params: Params = Params(),
+    carry: DataFrame | None = None,
+    since: int | None = None,
+) -> DataFrame:
+    """What every symbol takes over from these trades, as ``CARRY``.
+
+    With ``carry`` and ``since`` (epoch micros), the trades need to begin only a look-back before
+    ``since``; ``carry`` has the rest. Only symbol, time and id are read.
+    """
+    ticks = _tick_counts(_ticked(trades.select("symbol", "event_time", "trade_id")))
+    slices = slice_carry(_counted(_sliced(ticks, params, since), params), carry)
+    kept = ("last_t", "stops_after", "cuts_after", "over_after", "n_after")
+    return (
+        slices.groupBy("symbol")
+        .agg(*[F.max_by(c, "slice").alias(c) for c in kept])
+        .selectExpr(
+            "symbol", "last_t", "stops_after AS stops", "cuts_after AS cuts", "over_after AS over", "n_after"
+        )
     )
 
 
-def _tick_state(units: DataFrame, params: Params) -> DataFrame:
-    """Rolling state before the first trade of every tick."""
-    rows = _local_frames(_sliced(units, params), params)
-    rows = rows.where("own").join(_slice_carry(rows), ["symbol", "slice"], "left")
+def _trade_state(
+    trades: DataFrame, params: Params, carry: DataFrame | None, since: int | None
+) -> DataFrame:
+    """State per trade by way of the sums per tick."""
+    rows = _ticked(trades)
+    counts = _counted(_sliced(_tick_counts(rows), params, since), params)
+    ticks = _counted(_sliced(_tick_sums(rows), params, since), params)
+    state = _summed(ticks, params).where("own").join(
+        slice_carry(counts, carry).drop("last_t", "stops_after", "cuts_after", "over_after", "n_after"),
+        ["symbol", "slice"],
+    )
     first_here = "local_prev_t IS NULL AND prev_last_t IS NOT NULL"
-    return rows.selectExpr(
+    state = state.selectExpr(
         "symbol",
         "t",
         "uid",
@@ -187,24 +304,21 @@ def _tick_state(units: DataFrame, params: Params) -> DataFrame:
         *[f"s_{x}" for x in fx.SUMS],
         "over_earlier OR (stop_idx IS NULL AND over_before) AS over_earlier",
     )
-
-
-def _trade_state(trades: DataFrame, params: Params) -> DataFrame:
-    """State per trade by way of the sums per tick."""
-    rows = trades.select("*", F.unix_micros("event_time").alias("t"))
-    rows = rows.withColumn("uid", F.shiftright("trade_id", ID_BLOCK_BITS))
-    state = _tick_state(_moments(rows), params)
     tick = "PARTITION BY symbol, t, uid ORDER BY trade_id"
     before = f"OVER ({tick} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    # The units are computed behind the shuffle by tick, which join and window share.
-    placed = _with_units(rows.repartition("symbol", "t", "uid")).selectExpr(
+    own = rows if since is None else rows.where(F.col("t") >= since)
+    # The limbs are computed behind the shuffle by tick, which join and window share.
+    parts = {"hi": "hi", "lo": "lo", "hihi": "hi * hi", "hilo": "hi * lo", "lolo": "lo * lo"}
+    tasks = int(trades.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = own.repartition(tasks, "symbol", "t", "uid").select("*", *_usd_limbs()).selectExpr(
         *trades.columns,
         "t",
         "uid",
         f"CAST(row_number() OVER ({tick}) - 1 AS BIGINT) AS rank",
-        *[f"CAST(coalesce(sum({x}) {before}, 0) AS DECIMAL(38,0)) AS tick_{x}" for x in fx.SUMS],
+        *[f"coalesce(sum({part}) {before}, 0D) AS tick_{x}" for x, part in parts.items()],
     )
-    return placed.join(state, ["symbol", "t", "uid"]).selectExpr(
+    # As large as the trades: never to be broadcast, whatever the estimate says.
+    return placed.join(state.hint("merge"), ["symbol", "t", "uid"]).selectExpr(
         *trades.columns,
         "t",
         "IF(rank = 0, gap_us, 0L) AS gap_us",
@@ -219,22 +333,27 @@ def _trade_state(trades: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def rolling_state(trades: DataFrame, params: Params = Params()) -> DataFrame:
+def rolling_state(
+    trades: DataFrame,
+    params: Params = Params(),
+    carry: DataFrame | None = None,
+    since: int | None = None,
+) -> DataFrame:
     """Trades with the rolling state that held just before each of them.
 
     Adds the enriched columns and ``t`` (epoch micros), ``gap_us``, ``is_purge``,
     ``is_pause``, ``purge_seg``, ``pause_seg``, ``n``, ``n_since_gap``, ``mean``,
     ``stdev``, ``pause_over`` and ``warm``. Nothing runs until an action.
+
+    With ``since`` (epoch micros), only trades from then on come out; the trades need to begin
+    a look-back before it, and ``carry`` has what the symbols take over from all earlier ones.
     """
-    state = _trade_state(trades, params)
+    state = _trade_state(trades, params, carry, since)
     need = params.warmup_min_samples
-    sums = {x: F.col(f"s_{x}") for x in fx.SUMS}
-    state = with_usd(state, params).select(
+    state = with_usd(fx.with_moments(state), params).select(
         "*",
         F.expr(f"over_earlier OR n_since_gap >= {need}").alias("pause_over"),
         F.expr(f"n >= {need} AND (over_earlier OR n_since_gap >= {need})").alias("warm"),
-        fx.mean_from_sums(F.col("n"), sums).alias("mean"),
-        fx.stdev_from_sums(F.col("n"), sums).alias("stdev"),
     )
     z = F.when(
         F.col("warm") & (F.col("n") >= 2),
@@ -244,9 +363,14 @@ def rolling_state(trades: DataFrame, params: Params = Params()) -> DataFrame:
     return state.select("*", fx.anomaly_flag(F.col("z_score"), params).alias("is_anomaly"))
 
 
-def enrich(trades: DataFrame, params: Params = Params()) -> DataFrame:
+def enrich(
+    trades: DataFrame,
+    params: Params = Params(),
+    carry: DataFrame | None = None,
+    since: int | None = None,
+) -> DataFrame:
     """Trades with USD value, size class, rolling z-score and anomaly flag."""
-    return rolling_state(trades, params).select(*ENRICHED_TRADE.fieldNames())
+    return rolling_state(trades, params, carry, since).select(*ENRICHED_TRADE.fieldNames())
 
 
 def distinct_trades(

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.timing import utc_day
+from tickloom.params import Params
 from tickloom.schemas import TABLE_COLUMNS, TABLE_KEY
+from tickloom.session import fresh_path
 from tickloom.sources.table import read_trades, with_day, write_trades
 
 
@@ -64,6 +66,53 @@ def new_rows(
     return first.join(stored.select(*key), list(key), "left_anti")
 
 
+def new_rows_of_table(spark: SparkSession, trades: DataFrame, path: str) -> DataFrame:
+    """The raw trades that the table does not have; only the days that they touch are looked up."""
+    stored = stored_or_none(spark, path)
+    if stored is None:
+        return trades
+    span = trades.agg(F.min("event_time").alias("a"), F.max("event_time").alias("b")).first()
+    keys = stored.where(F.col("time").between(F.lit(span["a"]), F.lit(span["b"]))).where(
+        F.col("day").between(utc_day(F.lit(span["a"])), utc_day(F.lit(span["b"])))
+    )
+    keys = keys.select("trade_id", F.col("time").alias("event_time"))
+    return trades.join(keys, ["trade_id", "event_time"], "left_anti").select(*trades.columns)
+
+
+def compact_days(
+    spark: SparkSession, path: str, params: Params = Params(), smallest: int = 8
+) -> int:
+    """Rewrite the days of the table that have gathered many small files; how many were.
+
+    A day with at least ``smallest`` files is read, written to a folder beside the table, and put
+    in its place by one overwrite of that day's folder. Files hold ``batch_flush_size`` rows or
+    more. Nothing may append to the table meanwhile.
+    """
+    table = stored_or_none(spark, path)
+    if table is None:
+        return 0
+    files = table.select("day", F.col("_metadata.file_path").alias("file")).groupBy("day")
+    # One row per day with many files.
+    days = files.agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("n")).where(
+        (F.col("files") >= smallest) & (F.col("n") < F.col("files") * params.batch_flush_size)
+    )
+    found = [r["day"] for r in days.collect()]
+    if not found:
+        return 0
+    draft = fresh_path(spark, "compacted")
+    write_trades(table.where(F.col("day").isin(found)).drop("day"), draft)
+    (
+        read_trades(spark, draft)
+        .hint("rebalance", "day")
+        .sortWithinPartitions("day", "symbol", "time")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day")
+        .parquet(path)
+    )
+    return len(found)
+
+
 def append_new(
     spark: SparkSession,
     rows: DataFrame,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,14 +11,15 @@ from pyspark.sql import functions as F
 from tickloom.functions.timing import ago, event_order
 from tickloom.functions.trade import (
     SUMS,
-    USD_SCALE,
-    exact_sums,
+    limb_sums,
+    limbs,
     mean_from_sums,
     stdev_from_sums,
-    usd_units,
+    total_from_sums,
     usd_value,
 )
-from tickloom.operators.enrich import rolling_state
+from tickloom.operators.carry import CarryStore, moment, tail
+from tickloom.operators.enrich import carry_after
 from tickloom.params import Params
 from tickloom.sources.table import scan_after
 
@@ -59,86 +61,100 @@ def live_stats(
     )
 
 
-def window_members(trades: DataFrame, params: Params = Params()) -> DataFrame:
-    """The trades inside each configured symbol's window as of its own last trade.
+@dataclass(frozen=True)
+class Windows:
+    """The windows of the configured symbols as of their own last trades.
 
-    The last times, one row per configured symbol, are fetched first. They come back
-    as a broadcast table and as one literal bound, which lets the scan skip all data
-    that is older than every window.
+    ``ends``: symbol, last_event and in_gap_pause, one row per symbol that has trades.
+    ``members``: the trades inside each window, with ``t`` and ``usd_value``.
+    """
+
+    ends: DataFrame
+    members: DataFrame
+
+
+def windows(
+    trades: DataFrame, params: Params = Params(), store: CarryStore | None = None
+) -> Windows:
+    """Find the windows; with a store of carries, only trades since its latest moment are read.
+
+    Where each symbol stands, one row per configured symbol, is fetched first: a pause can
+    be as old as the data, so without a store all trades count, by symbol, time and id. It comes
+    back as a broadcast table and as one literal bound, which lets the scan of the members
+    skip all data that is older than every window.
     """
     spark = trades.sparkSession
+    carry, since = store.latest() if store else (None, None)
     known = trades.where(F.col("symbol").isin(*params.symbols))
-    last = known.groupBy("symbol").agg(F.unix_micros(F.max("event_time")).alias("t")).collect()
-    starts = [(r["symbol"], r["t"] - params.window_us) for r in last]
-    bounds = spark.createDataFrame(starts, "symbol string, from_t long")
-    earliest = F.timestamp_micros(F.lit(min((t for _, t in starts), default=0)).cast("bigint"))
+    if carry is not None:
+        carry = carry.where(F.col("symbol").isin(*params.symbols))
+    last = carry_after(tail(known, since, params), params, carry, since).collect()
+    need = params.warmup_min_samples
+    # Looking at the window now counts the last trade too, and may find the pause over.
+    rows = [(r.symbol, r.last_t, r.stops > 0 and not r.over and r.n_after < need) for r in last]
+    ends = spark.createDataFrame(rows, "symbol string, last_t long, in_gap_pause boolean")
+    return Windows(
+        ends.select("symbol", F.timestamp_micros("last_t").alias("last_event"), "in_gap_pause"),
+        _members(known, [(s, t - params.window_us) for s, t, _ in rows], params),
+    )
+
+
+def _members(known: DataFrame, starts: list[tuple[str, int]], params: Params) -> DataFrame:
+    """The trades from each symbol's start on; starts are one per configured symbol."""
+    bounds = known.sparkSession.createDataFrame(starts, "symbol string, from_t long")
+    earliest = moment(min((t for _, t in starts), default=0))
     usd = usd_value(F.col("price"), F.col("quantity"))
-    tail = (
-        known.where(F.col("event_time") >= earliest)
+    inside = (
+        known.where(F.col("event_time") >= F.lit(earliest))
         .select("*", F.unix_micros("event_time").alias("t"), usd.alias("usd_value"))
         .join(F.broadcast(bounds), "symbol")
         .where("t >= from_t")
         .drop("from_t")
     )
     if params.purge_us >= params.window_us:
-        return tail
-    # A purge inside the window hides everything before it. Times are made distinct
-    # first, so one symbol's part has no more rows than its window has clock ticks.
-    gap_after = "lead(t) OVER (PARTITION BY symbol ORDER BY t) - t"
+        return inside
+    # A purge inside the window hides everything before it. Times are made distinct and cut into
+    # ranges as long as the purge gap; a gap within a range is too short, so only the ends of
+    # the ranges count, and of those a window has no more than its length allows.
+    width = params.purge_us
+    ranges = (
+        inside.groupBy("symbol", F.expr(f"t - pmod(t, {width})").alias("range"))
+        .agg(F.min("t").alias("first"), F.max("t").alias("last"))
+    )
+    after = "lead(first) OVER (PARTITION BY symbol ORDER BY range)"
     hidden = (
-        tail.select("symbol", "t")
-        .distinct()
-        .selectExpr("symbol", f"IF({gap_after} > {params.purge_us}, t, NULL) AS t")
+        ranges.selectExpr("symbol", f"IF({after} - last > {params.purge_us}, last, NULL) AS t")
         .groupBy("symbol")
         .agg(F.max("t").alias("hidden_t"))
     )
     return (
-        tail.join(F.broadcast(hidden), "symbol")
+        inside.join(F.broadcast(hidden), "symbol")
         .where("hidden_t IS NULL OR t > hidden_t")
         .drop("hidden_t")
     )
 
 
-def pause_state(trades: DataFrame, params: Params = Params()) -> DataFrame:
-    """Whether each configured symbol is paused right after its last trade.
-
-    A pause can be as old as the data, so all trades count; only their symbol, time
-    and id are read.
-    """
-    known = trades.where(F.col("symbol").isin(*params.symbols))
-    order = event_order(F.col("event_time"), F.col("trade_id"))
-    last = rolling_state(known, params).groupBy("symbol").agg(
-        F.max("event_time").alias("last_event"),
-        F.max_by(F.expr("pause_seg > 0 AND NOT pause_over"), order).alias("paused"),
-        F.max_by("n_since_gap", order).alias("n_since_gap"),
-    )
-    # Looking at the window now counts the last trade too, and may find the pause over.
-    need = params.warmup_min_samples
-    return last.select(
-        "symbol",
-        "last_event",
-        (F.col("paused") & (F.col("n_since_gap") + 1 < need)).alias("in_gap_pause"),
-    )
-
-
 def window_moments(members: DataFrame) -> DataFrame:
-    """Size, exact sums and extremes of every window, and the figures from them."""
+    """Size, sums and extremes of every window, and the figures from them."""
     usd = F.col("usd_value")
-    sums = [c.alias(f"s_{x}") for x, c in exact_sums(usd_units(usd)).items()]
-    moments = members.groupBy("symbol").agg(
+    sums = limb_sums(F.col("hi"), F.col("lo"))
+    moments = members.select("symbol", usd, *limbs(usd)).groupBy("symbol").agg(
         F.count(F.lit(1)).alias("window_size"),
-        *sums,
+        *[c.alias(f"s_{x}") for x, c in sums.items()],
         F.round(F.min(usd), 2).alias("min_usd"),
         F.round(F.max(usd), 2).alias("max_usd"),
     )
     n, s = F.col("window_size"), {x: F.col(f"s_{x}") for x in SUMS}
     moments = moments.select(
-        "*", mean_from_sums(n, s).alias("mean"), stdev_from_sums(n, s).alias("sd")
+        "*",
+        total_from_sums(s).alias("total"),
+        mean_from_sums(n, s).alias("mean"),
+        stdev_from_sums(n, s).alias("sd"),
     )
     return moments.select(
         "symbol",
         "window_size",
-        F.round(F.col("s_q").cast("double") / USD_SCALE, 2).alias("volume_usd"),
+        F.round("total", 2).alias("volume_usd"),
         F.round("mean", 2).alias("avg_trade_usd"),
         F.round("sd", 2).alias("stdev_usd"),
         F.expr("IF(mean > 0, round(sd / mean, 4), NULL) AS volatility_cv"),
@@ -147,27 +163,28 @@ def window_moments(members: DataFrame) -> DataFrame:
     )
 
 
-def symbol_windows(
-    trades: DataFrame, members: DataFrame, params: Params = Params()
-) -> DataFrame:
+def symbol_windows(found: Windows, params: Params = Params()) -> DataFrame:
     """Window summary and readiness of the configured symbols that have data."""
     warmed = ~F.col("in_gap_pause") & (F.col("window_size") >= params.warmup_min_samples)
+    # One row per configured symbol.
     return (
-        window_moments(members)
-        .join(pause_state(trades, params), "symbol")
-        .withColumn("warmed_up", warmed)
+        window_moments(found.members).join(F.broadcast(found.ends), "symbol").withColumn("warmed_up", warmed)
     )
 
 
 def window_stats(
-    spark: SparkSession, trades: DataFrame, params: Params = Params(), symbol: str | None = None
+    spark: SparkSession,
+    trades: DataFrame,
+    params: Params = Params(),
+    symbol: str | None = None,
+    store: CarryStore | None = None,
 ) -> DataFrame:
     """Window snapshot of every configured symbol, or of one; 'no_data' where none."""
     if symbol is not None:
         params = params.with_(symbol_partitions=((symbol.upper(), 0),))
     return (
         symbol_list(spark, params)
-        .join(symbol_windows(trades, window_members(trades, params), params), "symbol", "left")
+        .join(symbol_windows(windows(trades, params, store), params), "symbol", "left")
         .select(
             "symbol",
             F.when(F.col("window_size").isNull(), F.lit("no_data")).alias("status"),

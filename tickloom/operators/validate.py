@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.trade import LARGEST_USD, normalize_symbol, usd_value
+from tickloom.functions.trade import normalize_symbol, usd_value
 from tickloom.params import Params
 from tickloom.schemas import CLASSES
 
@@ -31,15 +31,13 @@ def trade_fault(
     def not_positive(name):
         return ~(F.col(name) > 0) | F.isnan(F.col(name))
 
-    infinite = F.lit(float("inf"))
-    not_finite = (F.col(price) == infinite) | (F.col(quantity) == infinite)
-    too_large = F.col(price) * F.col(quantity) > LARGEST_USD
+    # Either of them, or their product: no double holds the amount then.
+    not_finite = F.col(price) * F.col(quantity) == F.lit(float("inf"))
     return (
         F.when(missing, F.lit("missing_field"))
         .when(not_positive(price), F.lit("price_not_positive"))
         .when(not_positive(quantity), F.lit("quantity_not_positive"))
         .when(not_finite, F.lit("not_finite"))
-        .when(too_large, F.lit("amount_too_large"))
     )
 
 

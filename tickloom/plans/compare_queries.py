@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import labels as lb
 from tickloom.operators import compare as cp
-from tickloom.operators.stats import window_members
+from tickloom.operators.stats import windows
 from tickloom.plans import tables as tb
 from tickloom.plans.registry import query
 from tickloom.plans.sql import rolling
@@ -72,8 +72,8 @@ FALLBACK = f"""shaped AS (
 
 
 def _figures(spark, sf_dir):
-    members = window_members(tb.trades(spark, sf_dir), SCALED)
-    return cp.pair_figures(cp.aligned_pairs(members, PAIR))
+    found = windows(tb.trades(spark, sf_dir), SCALED, tb.stored_carry(spark, sf_dir))
+    return cp.pair_figures(cp.aligned_pairs(found.members, PAIR, SCALED))
 
 
 @query(
@@ -102,7 +102,8 @@ def relative_divergence(spark, sf_dir):
 
 
 def _full(spark, sf_dir):
-    return cp.cross_asset_comparison(tb.trades(spark, sf_dir), SCALED, PAIR)
+    store = tb.stored_carry(spark, sf_dir)
+    return cp.cross_asset_comparison(tb.trades(spark, sf_dir), SCALED, PAIR, store)
 
 
 @query(

@@ -1,15 +1,19 @@
 """Queries on the enrichment itself."""
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from tickloom.operators import enrich as op
 from tickloom.functions import trade as fx
+from tickloom.operators.carry import CarryStore, advance, tail
 from tickloom.operators.validate import check_enriched
 from tickloom.operators.quality import enrich_counts
 from tickloom.plans import tables as tb
 from tickloom.plans.registry import query
 from tickloom.plans.sql import TRADES, rolling
 from tickloom.plans.tables import SCALED
+from tickloom.session import fresh_path
 
 
 def _state(spark, sf_dir):
@@ -30,10 +34,34 @@ def enrich_trades(spark, sf_dir):
     return _z(op.enrich(tb.trades(spark, sf_dir), SCALED))
 
 
-@query("enrich_by_tick", ENRICHED_SQL)
-def enrich_by_tick(spark, sf_dir):
-    """The same through sums per clock tick, the way taken when slices are too full."""
-    return _z(op.enrich(tb.trades(spark, sf_dir), SCALED))
+RESUME = timedelta(days=12)  # before the latest trade
+
+
+@query(
+    "enrich_resumed",
+    f"""{ENRICHED_SQL}
+WHERE event_time >= (SELECT as_of FROM present) - INTERVAL '{RESUME.days} days'""",
+)
+def enrich_resumed(spark, sf_dir):
+    """The last days only, from what the symbols take over from all trades before them."""
+    rows = tb.trades(spark, sf_dir)
+    start = tb.latest(rows) - RESUME
+    store = CarryStore(spark, fresh_path(spark, "resumed-carry"))
+    advance(store, rows, start, SCALED)
+    carry, since = store.latest()
+    return _z(op.enrich(tail(rows, since, SCALED), SCALED, carry, since))
+
+
+@query(
+    "stored_carry",
+    f"""WITH {rolling()}
+SELECT symbol, epoch_us(max(event_time)) AS last_t, max(pause_seg) AS stops, max(purge_seg) AS cuts,
+       arg_max(pause_over, (t, trade_id)) AS over, arg_max(n_since_gap, (t, trade_id)) + 1 AS n_after
+FROM state WHERE event_time < (SELECT as_of FROM present) - INTERVAL '2 days' GROUP BY symbol""",
+)
+def stored_carry(spark, sf_dir):
+    """What every symbol takes over two days before the end, kept in two steps."""
+    return tb.stored_carry(spark, sf_dir).latest()[0]
 
 
 @query("enrich_replayed", ENRICHED_SQL)

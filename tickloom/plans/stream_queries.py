@@ -4,10 +4,14 @@ The driver calls them like any other query, so they stop when all input is read.
 Results are written to the shared folder and read back.
 """
 
+import time
+from datetime import timedelta
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.enrich import table_row
+from tickloom.operators.candles import PartVersions
 from tickloom.operators.quality import burst_windows
 from tickloom.plans import messages as ms
 from tickloom.plans import table_queries  # noqa: F401  (its SQL is shared)
@@ -17,12 +21,14 @@ from tickloom.plans.ingest_queries import PARSED
 from tickloom.plans.registry import ORACLES, query
 from tickloom.plans.sql import TRADES, after, rolling
 from tickloom.plans.tables import SCALED
-from tickloom.schemas import TABLE_COLUMNS, TRADES_TABLE
+from tickloom.params import MICROS
+from tickloom.schemas import ENRICHED_TRADE, RAW_TRADE, TABLE_COLUMNS, TOPIC, TRADES_TABLE
 from tickloom.session import fresh_path
 from tickloom.sources import topic as tp
 from tickloom.sources.wire import parse_wire, read_wire_stream
 from tickloom.streaming import enrich as se
 from tickloom.streaming import jobs
+from tickloom.streaming.counters import Counters, ProgressLog, ingest_counters
 
 EVENTS = T.StructType(
     [
@@ -91,13 +97,44 @@ def quarantine(spark, sf_dir):
     )
 
 
+def _enriched(spark, rows, label, params=SCALED, delay="0 seconds"):
+    """Run the stream of trades to its end; the enriched rows and the late ones."""
+    path, late = fresh_path(spark, label), fresh_path(spark, f"{label}-late")
+    state, checkpoint = fresh_path(spark, "epochs"), fresh_path(spark, "checkpoint")
+    sink = se.to_folders(path, late)
+    jobs.once(se.enriched_batches(rows, state, checkpoint, sink, params, delay))
+    return spark.read.parquet(path)
+
+
 @query("stream_enrich", ENRICHED_SQL)
 def stream_enrich(spark, sf_dir):
     """Same result as in batch; the events are in order, so no delay is needed."""
-    se.use_rocksdb(spark)
-    rows = se.on_time(se.enrich_stream(trade_stream(spark, sf_dir), SCALED, "0 seconds"))
-    done = _run_to_table(spark, rows, "enriched")
-    return done.withColumn("z_score", F.round("z_score", 6))
+    return _enriched(spark, trade_stream(spark, sf_dir), "enriched").select(
+        *ENRICHED_TRADE.fieldNames()
+    ).withColumn("z_score", F.round("z_score", 6))
+
+
+@query("stream_enrich_shuffled", ENRICHED_SQL)
+def stream_enrich_shuffled(spark, sf_dir):
+    """Three micro-batches whose trades arrive up to an hour out of order."""
+    rows = tb.trades(spark, sf_dir)
+    hour = 3_600 * MICROS
+    # When a trade arrives: up to an hour after it happened.
+    arrival = F.unix_micros("event_time") + F.pmod(F.xxhash64("trade_id"), F.lit(hour))
+    end = F.unix_micros(F.lit(tb.latest(rows)))
+    third = F.lit(10 * 24) * hour
+    part = F.least(F.greatest(F.floor((arrival - (end - 3 * third)) / third), F.lit(0)), F.lit(2))
+    source = fresh_path(spark, "arrivals")
+    placed = rows.withColumn("part", part.cast("int"))
+    for n in range(3):
+        placed.where(F.col("part") == n).drop("part").coalesce(1).write.parquet(f"{source}/part={n}")
+    beat = spark.createDataFrame(
+        [(se.HEARTBEAT, 1.0, 1.0, tb.latest(rows) + timedelta(days=1), -1)], RAW_TRADE
+    )
+    beat.coalesce(1).write.parquet(f"{source}/part=3")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    found = _enriched(spark, stream.parquet(f"{source}/part=*"), "shuffled", delay="1 hour")
+    return found.select(*ENRICHED_TRADE.fieldNames()).withColumn("z_score", F.round("z_score", 6))
 
 
 @query("stream_candles", ORACLES["candles_1m"])
@@ -106,11 +143,10 @@ def stream_candles(spark, sf_dir):
     folder = tb.stored_path(spark, sf_dir)
     schema = T.StructType(TRADES_TABLE.fields + [T.StructField("day", T.DateType())])
     rows = spark.readStream.schema(schema).parquet(folder).select(*TABLE_COLUMNS)
-    path = fresh_path(spark, "candle-changes")
-    live = jobs.candle_stream(rows, SCALED, f"{2 * SCALED.candle_seconds} seconds")
-    jobs.once(jobs.candle_updates(live, path, fresh_path(spark, "candle-checkpoint")))
+    path = fresh_path(spark, "candle-parts")
+    jobs.once(jobs.candle_sink(rows, path, fresh_path(spark, "candle-checkpoint"), SCALED))
     return (
-        jobs.latest_candles(spark, path)
+        PartVersions(spark, path).candles()
         .withColumn("usd_volume", F.round("usd_volume", 2))
         .withColumn("avg_z_score", F.round("avg_z_score", 6))
     )
@@ -130,22 +166,17 @@ MIDDLE = "2024-01-16 00:00:00"
 @query("stream_late_rows", f"WITH {TRADES} SELECT * FROM trades WHERE event_time < TIMESTAMP '{MIDDLE}'")
 def stream_late_rows(spark, sf_dir):
     """Trades behind the watermark when the older half arrives after the newer half."""
-    se.use_rocksdb(spark)
     rows = tb.trades(spark, sf_dir)
     middle = F.lit(MIDDLE).cast("timestamp")
-    source = fresh_path(spark, "halves")
-    rows.where(F.col("event_time") >= middle).write.parquet(f"{source}/part=1")
-    first = se.enrich_stream(_parts(spark, source, rows.schema), SCALED, "1 hour")
-    path, checkpoint = fresh_path(spark, "late"), fresh_path(spark, "late-checkpoint")
-
-    def write(stream):
-        writer = stream.writeStream.format("parquet").option("path", path)
-        jobs.once(writer.option("checkpointLocation", checkpoint))
-
-    write(first)
-    rows.where(F.col("event_time") < middle).write.parquet(f"{source}/part=2")
-    write(se.enrich_stream(_parts(spark, source, rows.schema), SCALED, "1 hour"))
-    return se.late_only(spark.read.schema(first.schema).parquet(path))
+    source, late = fresh_path(spark, "halves"), fresh_path(spark, "late")
+    state, checkpoint = fresh_path(spark, "epochs"), fresh_path(spark, "late-checkpoint")
+    sink = se.to_folders(fresh_path(spark, "on-time"), late)
+    halves = (F.col("event_time") >= middle, F.col("event_time") < middle)
+    for n, half in enumerate(halves, 1):
+        rows.where(half).write.parquet(f"{source}/part={n}")
+        stream = _parts(spark, source, rows.schema)
+        jobs.once(se.enriched_batches(stream, state, checkpoint, sink, SCALED, "0 seconds"))
+    return spark.read.schema(rows.schema).parquet(late)
 
 
 def _parts(spark, source, schema):
@@ -203,42 +234,142 @@ def stream_push(spark, sf_dir):
     )
 
 
+LATE_ID = -7
+
+
 @query(
     "stream_pipeline",
     f"""SELECT 'stored' AS destination, trade_id, z_score FROM ({ENRICHED_SQL}) WHERE symbol IN {tb.PAIR}
-UNION ALL SELECT 'refused', NULL, NULL""",
+UNION ALL SELECT 'refused', NULL, NULL UNION ALL SELECT 'late', {LATE_ID}, NULL""",
 )
 def stream_pipeline(spark, sf_dir):
-    """The main job from a topic to the table: decode, set refused messages aside, enrich, store."""
-    se.use_rocksdb(spark)
-    topic, table, late, refused = (
-        fresh_path(spark, n) for n in ("topic", "stored", "late", "refused")
+    """The main job from a topic to the table: decode, set refused messages aside, enrich, store.
+
+    It runs twice, as after a restart. The topic has a file per partition; in both runs every
+    seventh trade comes again with another price and a later offset, in the second one also trades
+    of the first, and one that nobody has seen before and that comes too late.
+    """
+    return _pipeline(spark, sf_dir)[0]
+
+
+def _pipeline(spark, sf_dir, fail_once=False):
+    topic, table, late, refused, state, counts = (
+        fresh_path(spark, n) for n in ("topic", "stored", "late", "refused", "epochs", "counters")
     )
-    sent = tp.encode_topic(tb.trades(spark, sf_dir), SCALED)
-    sent = sent.withColumn("offset", F.col("partition").cast("long"))
-    bad = sent.limit(1).withColumn("value", F.lit('{"symbol": 1}'))
-    sent.unionByName(bad).coalesce(1).write.parquet(topic)
-    decoded = tp.decode_topic(tp.read_topic_stream(spark, SCALED, path=topic))
-    jobs.once(jobs.refused_sink(decoded, refused, fresh_path(spark, "refused-checkpoint"), SCALED))
-    rows = se.enrich_stream(tp.good_messages(decoded), SCALED, "0 seconds")
-    jobs.once(jobs.enriched_sink(rows, table, late, fresh_path(spark, "main-checkpoint"), SCALED))
+    main, aside = fresh_path(spark, "main-checkpoint"), fresh_path(spark, "refused-checkpoint")
+    rows = tb.trades(spark, sf_dir).where(F.col("symbol").isin(*tb.PAIR))
+    middle = F.lit(MIDDLE).cast("timestamp")
+    halves = (rows.where(F.col("event_time") < middle), rows.where(F.col("event_time") >= middle))
+
+    def again(some):
+        return some.withColumn("price", F.col("price") + 1)
+
+    def sent(some, offset):
+        keyed = tp.encode_topic(some, SCALED)
+        place = F.get_json_object("value", "$.trade_id").cast("long") * 2 + offset
+        return keyed.withColumn("offset", place)
+
+    stray = halves[0].limit(1).withColumn("trade_id", F.lit(LATE_ID).cast("long"))
+    bad = sent(halves[1].limit(1), 0).withColumn("value", F.lit('{"symbol": 1}'))
+    seventh = F.col("trade_id") % 7 == 0
+    parts = (
+        sent(halves[0], 0).unionByName(sent(again(halves[0].where(seventh)), 1)),
+        sent(halves[1], 0)
+        .unionByName(sent(again(halves[1].where(seventh)), 1))
+        .unionByName(sent(again(halves[0].where(F.col("trade_id") % 5 == 0)), 1))
+        .unionByName(sent(stray, 0))
+        .unionByName(bad),
+    )
+    counters, log = Counters(spark, counts), ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        for n, part in enumerate(parts):
+            # One file per partition of the topic, whose rows come in order of their offsets.
+            ordered = part.repartitionByRange(len(tb.PAIR), "partition")
+            ordered.sortWithinPartitions("offset").write.parquet(f"{topic}/part={n}")
+            _run_pipeline(
+                spark, topic, (table, late, state, main), (refused, aside), counters, fail_once and n == 0
+            )
+        if fail_once:
+            _wait_for(log)
+    finally:
+        spark.streams.removeListener(log)
     stored = spark.read.parquet(table).select(
         F.lit("stored").alias("destination"), "trade_id", F.round("z_score", 6).alias("z_score")
     )
-    aside = spark.read.parquet(refused).select(
-        F.lit("refused").alias("destination"),
-        F.lit(None).cast("long").alias("trade_id"),
-        F.lit(None).cast("double").alias("z_score"),
+    nothing = F.lit(None).cast("double").alias("z_score")
+    behind = spark.read.parquet(late).select(F.lit("late").alias("destination"), "trade_id", nothing)
+    others = spark.read.parquet(refused).select(
+        F.lit("refused").alias("destination"), F.lit(None).cast("long").alias("trade_id"), nothing
+    )
+    return stored.unionByName(behind).unionByName(others), counters, log
+
+
+def _run_pipeline(spark, topic, main, side, counters, fail_first):
+    table, late, state, checkpoint = main
+    refused, aside = side
+    source = spark.readStream.schema(TOPIC).parquet(f"{topic}/part=*")
+    decoded = ingest_counters(tp.decode_topic(source))
+    jobs.once(jobs.refused_sink(decoded, refused, aside, SCALED), "refused")
+    trades = tp.good_messages(decoded)
+
+    def writer(where):
+        return jobs.enriched_sink(
+            trades, where, late, state, checkpoint, SCALED, "0 seconds", F.col("offset"), counters
+        )
+
+    if fail_first:
+        try:
+            # A table below a file cannot be written: the batch fails and comes again.
+            spark.range(1).select(F.lit("x")).coalesce(1).write.text(f"{table}-blocked")
+            files = spark.read.text(f"{table}-blocked").select("_metadata.file_path").first()[0]
+            jobs.once(writer(f"{files}/table"), "main")
+        except StreamingQueryException:
+            pass
+    jobs.once(writer(table), "main")
+
+
+def _wait_for(log, seconds=20):
+    """Listeners hear of the end of a stream a moment after it."""
+    for _ in range(seconds * 10):
+        if sum(name == "failures" for _, _, name, _ in log.found) >= 5:
+            return
+        time.sleep(0.1)
+
+
+@query(
+    "stream_counters",
+    f"""WITH {TRADES}, sent AS (SELECT * FROM trades WHERE symbol IN {tb.PAIR}),
+numbers AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE trade_id % 7 = 0) AS again,
+         count(*) FILTER (WHERE trade_id % 5 = 0 AND event_time < TIMESTAMP '{MIDDLE}') AS old FROM sent)
+SELECT unnest(['batches', 'errors', 'received', 'replays', 'late', 'inserted', 'skipped', 'ingest_received',
+               'ingest_published', 'ingest_refused', 'failures']) AS counter,
+       unnest([2, 1, n + again + old + 1, again + old, 1, n, 0, n + again + old + 2, n + again + old + 1, 1, 1])::BIGINT
+         AS value
+FROM numbers""",
+)
+def stream_counters(spark, sf_dir):
+    """Counters of the same job when the first batch fails once: sink, ingest and listener."""
+    _, counters, log = _pipeline(spark, sf_dir, fail_once=True)
+    totals = counters.totals()
+    sink = ("batches", "errors", "received", "replays", "late", "inserted", "skipped")
+    stack = ", ".join(f"'{c}', {c}" for c in sink)
+    rows = totals.selectExpr(f"stack({len(sink)}, {stack}) AS (counter, value)")
+    seen = log.totals(spark)
+    ingest = seen.where("query = 'refused' AND counter IN ('received', 'published', 'refused')").select(
+        F.concat(F.lit("ingest_"), F.col("counter")).alias("counter"), "value"
     )
-    return stored.unionByName(aside)
+    failures = seen.where("counter = 'failures'").groupBy("counter").agg(F.max("value").alias("value"))
+    return rows.unionByName(ingest).unionByName(failures)
 
 
 @query("stream_sink", f"WITH {TRADES} SELECT trade_id, symbol, event_time AS time FROM trades")
 def stream_sink(spark, sf_dir):
-    """Enriched stream stored through the idempotent sink, then the same run again."""
-    se.use_rocksdb(spark)
+    """Enriched stream stored through the idempotent sink, then the same run again; compacted."""
     path = fresh_path(spark, "sunk")
     for _ in range(2):
-        rows = se.on_time(se.enrich_stream(trade_stream(spark, sf_dir), SCALED, "0 seconds"))
-        jobs.once(jobs.table_sink(table_row(rows), path, fresh_path(spark, "sink-checkpoint")))
+        late, state, checkpoint = (fresh_path(spark, n) for n in ("late", "epochs", "sink-checkpoint"))
+        rows = trade_stream(spark, sf_dir)
+        jobs.once(jobs.enriched_sink(rows, path, late, state, checkpoint, SCALED, "0 seconds"))
     return spark.read.parquet(path).select("trade_id", "symbol", "time")

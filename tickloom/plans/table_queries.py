@@ -229,7 +229,9 @@ SELECT c.symbol, CASE WHEN window_size IS NULL THEN 'no_data' END AS status, win
 FROM {CONFIGURED} LEFT JOIN windows USING (symbol)""",
 )
 def window_stats(spark, sf_dir):
-    return st.window_stats(spark, tb.trades(spark, sf_dir), WITH_MISSING)
+    return st.window_stats(
+        spark, tb.trades(spark, sf_dir), WITH_MISSING, store=tb.stored_carry(spark, sf_dir)
+    )
 
 
 @query(
@@ -240,7 +242,9 @@ SELECT CASE WHEN bool_and(coalesce(warmed_up, false)) THEN 'LIVE' ELSE 'WARM' EN
 FROM {CONFIGURED} LEFT JOIN windows USING (symbol)""",
 )
 def zwindow_ready(spark, sf_dir):
-    return st.zwindow_ready(st.window_stats(spark, tb.trades(spark, sf_dir), WITH_MISSING))
+    return st.zwindow_ready(st.window_stats(
+        spark, tb.trades(spark, sf_dir), WITH_MISSING, store=tb.stored_carry(spark, sf_dir)
+    ))
 
 
 @query(
@@ -252,7 +256,8 @@ FROM live LEFT JOIN (SELECT * FROM windows WHERE symbol IN {PAIR}) w USING (symb
 )
 def stats_with_windows(spark, sf_dir):
     live, as_of = _live(spark, sf_dir)
-    windows = st.window_stats(spark, tb.trades(spark, sf_dir), SCALED)
+    store = tb.stored_carry(spark, sf_dir)
+    windows = st.window_stats(spark, tb.trades(spark, sf_dir), SCALED, store=store)
     return _rounded(
         st.stats_with_windows(spark, live, windows, as_of), vol_1m=2, vol_5m=2
     )

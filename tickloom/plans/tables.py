@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators.carry import CarryStore, advance
 from tickloom.operators.enrich import enrich, table_row
 from tickloom.params import Params
 from tickloom.session import fresh_path, utc
@@ -85,6 +86,21 @@ def stored_trades(spark: SparkSession, sf_dir: str, params: Params = SCALED) ->
     return read_trades(spark, stored_path(spark, sf_dir, params))
 
 
+_carries: dict[tuple, CarryStore] = {}
+
+
+def stored_carry(spark: SparkSession, sf_dir: str, params: Params = SCALED) -> CarryStore:
+    """What symbols take over, kept up to the last days; made once per application, in two steps."""
+    key = (spark.sparkContext.applicationId, sf_dir, params.with_(symbol_partitions=()))
+    if key not in _carries:
+        rows = trades(utc(spark), sf_dir)
+        store, now = CarryStore(spark, fresh_path(spark, "carry")), latest(rows)
+        for days in (10, 2):
+            advance(store, rows, now - timedelta(days=days), params)
+        _carries[key] = store
+    return _carries[key]
+
+
 def plain_times(df: DataFrame) -> DataFrame:
     """Timestamps as zone-free UTC times, the type of the given tables."""
     return df.select(

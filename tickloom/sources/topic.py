@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.trade import LARGEST_USD, normalize_symbol
+from tickloom.functions.trade import normalize_symbol
 from tickloom.operators.validate import known_symbols
 from tickloom.params import Params
 from tickloom.schemas import TOPIC
@@ -64,7 +64,7 @@ def decode_topic(messages: DataFrame) -> DataFrame:
         & (F.col("quantity") > 0)
         & ~F.isnan("price")
         & ~F.isnan("quantity")
-        & (F.col("price") * F.col("quantity") <= LARGEST_USD)
+        & (F.col("price") * F.col("quantity") < float("inf"))
         & F.col("event_time").isNotNull()
         & F.col("trade_id").isNotNull(),
         F.lit(False),
@@ -80,13 +80,14 @@ def decode_topic(messages: DataFrame) -> DataFrame:
 
 
 def good_messages(decoded: DataFrame) -> DataFrame:
-    return decoded.where("status = 'ok'").select(
-        "symbol", "price", "quantity", "event_time", "trade_id"
-    )
+    """The trades, and with them ``offset`` where the messages have one."""
+    fields = ("symbol", "price", "quantity", "event_time", "trade_id")
+    more = [c for c in ("offset",) if c in decoded.columns]
+    return decoded.where("status = 'ok'").select(*fields, *more)
 
 
 def topic_trades(messages: DataFrame) -> DataFrame:
-    return good_messages(decode_topic(messages))
+    return good_messages(decode_topic(messages)).drop("offset")
 
 
 def read_topic_stream(
@@ -98,7 +99,9 @@ def read_topic_stream(
 ) -> DataFrame:
     """The topic from its beginning, from a broker or from a folder of Parquet files.
 
-    Positions are kept in the checkpoint of the query that reads the stream.
+    Positions are kept in the checkpoint of the query that reads the stream. From a broker, a
+    batch starts when ``batch_flush_size`` messages wait or ``batch_flush_interval_ms`` have
+    passed, whichever comes first; a folder gives what files there are.
     """
     if (bootstrap is None) == (path is None):
         raise ValueError("give either a broker address or a path")
@@ -112,6 +115,7 @@ def read_topic_stream(
         .option("kafka.bootstrap.servers", bootstrap)
         .option("subscribe", params.topic)
         .option("startingOffsets", "earliest")
+        .options(**flush_options(params))
     )
     if max_per_batch:
         reader = reader.option("maxOffsetsPerTrigger", max_per_batch)
@@ -120,6 +124,14 @@ def read_topic_stream(
     )
 
 
+def flush_options(params: Params) -> dict[str, str]:
+    """Size-or-time admission of messages into a batch, for the broker's source."""
+    return {
+        "minOffsetsPerTrigger": str(params.batch_flush_size),
+        "maxTriggerDelay": f"{params.batch_flush_interval_ms}ms",
+    }
+
+
 def publish_stream(
     trades: DataFrame,
     checkpoint: str,

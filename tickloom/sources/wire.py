@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.trade import LARGEST_USD, normalize_symbol
+from tickloom.functions.trade import normalize_symbol
 from tickloom.schemas import WIRE
 
 TRADE_EVENT = "aggTrade"
@@ -125,7 +125,7 @@ def parse_wire(messages: DataFrame, value: str = "value") -> DataFrame:
     typed = F.expr("texts AND flag AND sent IS NOT NULL AND a IS NOT NULL AND at IS NOT NULL")
     positive = F.expr(
         "coalesce(price > 0 AND quantity > 0 AND NOT isnan(price) AND NOT isnan(quantity) "
-        f"AND price * quantity <= {LARGEST_USD!r}D AND abs(at) <= {LATEST_MS}, false)"
+        f"AND price * quantity < DOUBLE('Infinity') AND abs(at) <= {LATEST_MS}, false)"
     )
     bare = F.expr("shape RLIKE '^(ARRAY|STRING)' OR (startswith(shape, 'OBJECT') AND no_stream)")
     status = (

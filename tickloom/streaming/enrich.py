@@ -1,208 +1,225 @@
-"""Rolling enrichment on a stream.
-
-Each symbol keeps its window, the state of its pause and the trades that still wait
-for the watermark. Trades are taken in event order once the watermark has passed
-them, so the result equals the batch result on the same trades; trades behind the
-watermark come out marked as late and change nothing.
-
-One symbol is worked on by one task, because every trade needs the window left by
-the one before. State lives in the RocksDB store and survives a restart.
+"""Rolling enrichment on a stream, by the batch operator over what the watermark has closed.
+
+A micro-batch puts its trades to those that still wait. The watermark is the latest event time
+seen, less the delay: what lies up to it is closed, is enriched in event order by the batch operator
+and goes to the sink, so any number of tasks share the work on one symbol. Later trades wait.
+Trades behind what earlier batches closed come out as late and change nothing.
+
+Between two batches three things are kept in the folder of an epoch: the trades that wait, with
+a look-back of closed ones before them; what each symbol takes over from all older trades
+(``operators.carry``); and the moment up to which time is closed. The number of an epoch is that of
+its micro-batch. A batch reads the latest epoch before its own and replaces its own, so a batch that
+runs again after a failure finds what it found before and gives the same rows: together with a
+sink that stores a batch once, every trade counts exactly once.
+
+Copies of a trade are dropped before they count: the first by ``order``, such as the offset,
+stays, whether the copies come in one batch or in several.
 """
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator
-from math import sqrt
+import json
+from collections.abc import Callable
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import types as T
 
-from tickloom.functions import trade as fx
-from tickloom.params import Params
-from tickloom.schemas import ENRICHED_TRADE
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from tickloom.operators.enrich import CARRY, carry_after, enrich
+from tickloom.params import MICROS, Params
+from tickloom.schemas import RAW_TRADE
 
 # Trades of this symbol only move the watermark forward and never come out.
 HEARTBEAT = "__HEARTBEAT__"
-
-# Trades and window entries are kept in state as packed arrays, one value per batch
-# instead of one per trade.
-TRADE = np.dtype(
-    [("t", "i8"), ("trade_id", "i8"), ("price", "f8"), ("quantity", "f8"), ("usd_value", "f8")]
-)
-ENTRY = np.dtype([("t", "i8"), ("q", "i8")])
-TRADE_FIELDS = list(TRADE.names)
-OUTPUT = (
-    "symbol string, t long, trade_id long, price double, quantity double, usd_value double, "
-    "z_score double, is_anomaly boolean, late boolean"
+TRADE_KEY = ("trade_id", "event_time")
+KEPT_EPOCHS = 2
+HELD = T.StructType(
+    [*RAW_TRADE.fields, T.StructField("place", T.LongType()), T.StructField("new", T.BooleanType())]
 )
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
-
-class RollingWindow:
-    """Window content of one symbol with exact running sums."""
-
-    def __init__(self, params: Params, entries, last_t, paused, resume_from):
-        self.params = params
-        self.entries = deque(entries)
-        self.last_t, self.paused, self.resume_from = last_t, paused, resume_from
-        self.sx = sum(q for _, q in self.entries)
-        self.sxx = sum(q * q for _, q in self.entries)
-
-    def _drop_before(self, t):
-        while self.entries and self.entries[0][0] < t:
-            _, q = self.entries.popleft()
-            self.sx -= q
-            self.sxx -= q * q
-
-    def _since_resume(self):
-        count = 0
-        for t, _ in reversed(self.entries):
-            if t < self.resume_from:
-                break
-            count += 1
-        return count
-
-    def score(self, t: int, usd: float):
-        """z-score of a trade against the window before it, then take it in."""
-        p = self.params
-        gap = 0 if self.last_t is None else t - self.last_t
-        if gap > p.purge_us:
-            self._drop_before(t)
-        if gap > p.pause_us:
-            self.paused, self.resume_from = True, t
-        self._drop_before(t - p.window_us)
-        n, need = len(self.entries), p.warmup_min_samples
-        if self.paused and n >= need and self._since_resume() >= need:
-            self.paused, self.resume_from = False, None
-        z = None
-        if not self.paused and n >= max(need, 2):
-            mean = self.sx / n / fx.USD_SCALE
-            stdev = sqrt(n * self.sxx - self.sx * self.sx) / n / fx.USD_SCALE
-            z = (usd - mean) / max(stdev, abs(mean) * 0.001, 1.0)
-        # Amounts that batch cannot represent either have no part in the sums.
-        q = round(usd * fx.USD_SCALE) if abs(usd) < fx.MOST_USD else 0
-        self.entries.append((t, q))
-        self.sx += q
-        self.sxx += q * q
-        self.last_t = t
-        return z
-
-
-class RollingEnricher(StatefulProcessor):
-    def __init__(self, params: Params):
-        self.params = params
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "trades binary")
-        self.window = handle.getValueState("window", "entries binary")
-        self.pause = handle.getValueState(
-            "pause", "last_t long, paused boolean, resume_from long"
-        )
-        self.alarm = handle.getValueState("alarm", "at long")
-
-    def _set_alarm(self, at_ms: int) -> None:
-        """One timer per symbol, at the earliest waiting trade."""
-        current = self.alarm.get()[0] if self.alarm.exists() else None
-        if current is not None and current <= at_ms:
-            return
-        if current is not None:
-            self.handle.deleteTimer(current)
-        self.handle.registerTimer(at_ms)
-        self.alarm.update((at_ms,))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        passed_ms = timerValues.getCurrentWatermarkInMs()
-        for batch in rows:
-            trades = np.empty(len(batch), TRADE)
-            for name in TRADE_FIELDS:
-                trades[name] = batch[name].to_numpy()
-            late = (trades["t"] // 1000 <= passed_ms) & (passed_ms > 0)
-            if late.any():
-                count = int(late.sum())
-                yield self._shape(key[0], trades[late], [None] * count, [False] * count, True)
-            kept = trades[~late]
-            if len(kept):
-                self.waiting.appendValue((kept.tobytes(),))
-                self._set_alarm(int(kept["t"].min()) // 1000)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed_ms = timerValues.getCurrentWatermarkInMs()
-        self.alarm.clear()
-        held = np.concatenate([np.frombuffer(r[0], TRADE) for r in self.waiting.get()])
-        due = held["t"] // 1000 <= passed_ms
-        ready, later = held[due], held[~due]
-        if len(later):
-            self.waiting.put([(later.tobytes(),)])
-            self._set_alarm(int(later["t"].min()) // 1000)
-        else:
-            self.waiting.clear()
-        if not len(ready):
-            return
-        ready = ready[np.lexsort((ready["trade_id"], ready["t"]))]
-        state = self.pause.get() if self.pause.exists() else (None, False, None)
-        packed = self.window.get()[0] if self.window.exists() else b""
-        window = RollingWindow(self.params, np.frombuffer(packed, ENTRY).tolist(), *state)
-        z = [window.score(t, usd) for t, usd in zip(ready["t"].tolist(), ready["usd_value"].tolist())]
-        self.window.update((np.array(window.entries, ENTRY).tobytes(),))
-        self.pause.update((window.last_t, window.paused, window.resume_from))
-        limit = self.params.z_score_threshold
-        flags = [x is not None and abs(x) > limit for x in z]
-        yield self._shape(key[0], ready, z, flags, False)
-
-    @staticmethod
-    def _shape(symbol: str, trades: np.ndarray, z: list, flags: list, late: bool) -> pd.DataFrame:
-        columns = {name: trades[name] for name in TRADE_FIELDS}
-        scores = np.array(z, dtype="float64")
-        return pd.DataFrame(
-            {"symbol": symbol, **columns, "z_score": scores, "is_anomaly": flags, "late": late}
-        )
-
-    def close(self) -> None:
-        pass
-
-
-def enrich_stream(
-    trades: DataFrame, params: Params = Params(), delay: str = "10 seconds"
-) -> DataFrame:
-    """Enriched trades of a stream, plus ``late`` for those behind the watermark."""
-    usd = fx.usd_value(F.col("price"), F.col("quantity"))
-    rows = trades.withWatermark("event_time", delay).withColumn("usd_value", usd)
-    # Without the watermarked column among its input the operator gets late rows too.
-    rows = rows.select(
-        "symbol",
-        F.unix_micros("event_time").alias("t"),
-        *[f for f in TRADE_FIELDS if f != "t"],
+@dataclass(frozen=True)
+class Closed:
+    """What a micro-batch has closed: enriched trades, late ones, and their numbers."""
+
+    batch_id: int
+    enriched: DataFrame
+    late: DataFrame
+    received: int
+    copies: int
+    late_rows: int
+
+
+class EpochStore:
+    """Epochs of one stream below a shared folder."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _files(self, path: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def epochs(self) -> list[int]:
+        """The complete epochs in order; the mark is written last."""
+        where, files = self._files(f"{self.path}/epoch=*/mark/_SUCCESS")
+        found = files.globStatus(where) or []
+        return sorted(int(f.getPath().getParent().getParent().getName()[6:]) for f in found)
+
+    def before(self, batch_id: int) -> tuple[DataFrame | None, DataFrame | None, dict]:
+        """Waiting trades, carry and mark of the latest epoch before a batch."""
+        older = [e for e in self.epochs() if e < batch_id]
+        if not older:
+            return None, None, {"closed": None, "seen": None}
+        folder = f"{self.path}/epoch={older[-1]}"
+        mark = json.loads(self.spark.read.text(f"{folder}/mark").first()[0])
+        carry = self.spark.read.schema(CARRY).parquet(f"{folder}/carry")
+        return self.spark.read.schema(HELD).parquet(f"{folder}/held"), carry, mark
+
+    def save(self, batch_id: int, held: DataFrame, carry: DataFrame, mark: dict) -> None:
+        folder = f"{self.path}/epoch={batch_id}"
+        # A mark left by an earlier try must not vouch for the new content.
+        where, files = self._files(f"{folder}/mark")
+        files.delete(where, True)
+        held.write.mode("overwrite").parquet(f"{folder}/held")
+        carry.coalesce(1).write.mode("overwrite").parquet(f"{folder}/carry")
+        text = self.spark.createDataFrame([(json.dumps(mark),)], "value string")
+        text.coalesce(1).write.mode("overwrite").text(f"{folder}/mark")
+        for old in self.epochs()[:-KEPT_EPOCHS]:
+            where, files = self._files(f"{self.path}/epoch={old}")
+            files.delete(where, True)
+
+
+def _micros(ts: str) -> Column:
+    return F.unix_micros(ts)
+
+
+def close_batch(
+    store: EpochStore,
+    batch: DataFrame,
+    batch_id: int,
+    sink: Callable[[Closed], None],
+    params: Params = Params(),
+    delay_us: int = 10 * MICROS,
+    order: Column | None = None,
+) -> None:
+    """Take in one micro-batch: enrich what it closes, hand it to ``sink``, keep the rest."""
+    fields = RAW_TRADE.fieldNames()
+    place = F.lit(0).cast("bigint") if order is None else order.cast("bigint")
+    arrived = batch.select(*fields, place.alias("place"), F.lit(True).alias("new")).persist()
+    held, carry, mark = store.before(batch_id)
+    closed = mark["closed"]
+    try:
+        seen = arrived.agg(
+            F.max(_micros("event_time")).alias("latest"),
+            F.count_if(F.col("symbol") != HEARTBEAT).alias("received"),
+            F.count_if((F.col("symbol") != HEARTBEAT) & _behind(closed)).alias("late"),
+        ).first()
+        latest = max((x for x in (seen["latest"], mark["seen"]) if x is not None), default=None)
+        upto = None if latest is None else latest - delay_us + 1
+        if closed is not None and (upto is None or upto < closed):
+            upto = closed
+        trades = arrived.where(F.col("symbol") != HEARTBEAT)
+        on_time = trades.where(~_behind(closed))
+        everything = on_time if held is None else held.unionByName(on_time)
+        known = _first_copies(everything).persist()
+        try:
+            n_new = known.where("new").count()
+            waiting = known.select(*fields)
+            done = waiting if upto is None else waiting.where(_micros("event_time") < upto)
+            nothing = upto is None or upto == closed
+            store_carry, since = carry, closed
+            enriched = enrich(done, params, carry, closed)
+            if nothing:
+                enriched = enriched.where(F.lit(False))
+            late = trades.where(_behind(closed)).select(*fields)
+            counts = (int(seen["received"]), int(seen["received"] - seen["late"] - n_new), int(seen["late"]))
+            sink(Closed(batch_id, enriched, late, *counts))
+            if not nothing:
+                store_carry = carry_after(done, params, carry, since)
+                keep = _micros("event_time") >= upto - params.lookback_us
+            else:
+                keep = F.lit(True)
+            if store_carry is None:
+                store_carry = batch.sparkSession.createDataFrame([], CARRY)
+            rest = known.where(keep).withColumn("new", F.lit(False))
+            store.save(batch_id, rest, store_carry, {"closed": upto, "seen": latest})
+        finally:
+            known.unpersist()
+    finally:
+        arrived.unpersist()
+
+
+def _behind(closed: int | None) -> Column:
+    return F.lit(False) if closed is None else F.unix_micros("event_time") < closed
+
+
+def _first_copies(rows: DataFrame) -> DataFrame:
+    """One row per trade: one that is held already, else the first by place, then by values.
+
+    Aggregates of numbers combine before the shuffle without a sort; only keys with copies
+    have their rows compared.
+    """
+    firsts = rows.groupBy(*TRADE_KEY).agg(
+        F.count(F.lit(1)).alias("copies"),
+        F.min(F.when(F.col("new"), F.col("place")).otherwise(F.lit(-(1 << 62)))).alias("first"),
     )
-    out = rows.groupBy("symbol").transformWithStateInPandas(
-        statefulProcessor=RollingEnricher(params),
-        outputStructType=OUTPUT,
-        outputMode="Append",
-        timeMode="EventTime",
+    firsts = firsts.where("copies > 1").select(*[F.col(c).alias(f"k_{c}") for c in TRADE_KEY], "first")
+    same = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in TRADE_KEY]
+    joined = rows.join(firsts, same, "left")
+    single = joined.where("first IS NULL").select(*rows.columns)
+    own = F.when(F.col("new"), F.col("place")).otherwise(F.lit(-(1 << 62)))
+    rest = [c for c in rows.columns if c not in TRADE_KEY]
+    several = (
+        joined.where(F.col("first") == own)
+        .groupBy(*TRADE_KEY)
+        .agg(F.min(F.struct("new", "place", *[c for c in rest if c not in ("new", "place")])).alias("r"))
+        .select(*TRADE_KEY, "r.*")
     )
+    return single.unionByName(several.select(*rows.columns))
+
+
+def seconds_of(delay: str) -> int:
+    """Microseconds of a delay such as ``10 seconds`` or ``2 hours``."""
+    number, unit = delay.split()
+    units = {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400}
+    return round(float(number) * units[unit.rstrip("s")] * MICROS)
+
+
+def enriched_batches(
+    trades: DataFrame,
+    state_path: str,
+    checkpoint: str,
+    sink: Callable[[Closed], None],
+    params: Params = Params(),
+    delay: str = "10 seconds",
+    order: Column | None = None,
+):
+    """Writer that enriches a stream of trades and hands ``sink`` what each micro-batch closes.
+
+    ``sink`` is called again with the same rows when a batch is repeated after a failure. ``order``
+    may use columns of the stream that are no part of a trade. For a bounded replay append one row
+    of the ``HEARTBEAT`` symbol far ahead in time, otherwise the last trades keep waiting.
+    """
+
+    def close(batch: DataFrame, batch_id: int) -> None:
+        store = EpochStore(batch.sparkSession, state_path)
+        close_batch(store, batch, batch_id, sink, params, seconds_of(delay), order)
+
     return (
-        out.where(F.col("symbol") != HEARTBEAT)
-        .withColumn("event_time", F.timestamp_micros("t"))
-        .withColumn("classification", fx.size_class(F.col("usd_value"), params))
-        .withColumn("z_score", F.when(~F.isnan("z_score"), F.col("z_score")))
-        .select(*ENRICHED_TRADE.fieldNames(), "late")
+        trades.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(close)
     )
 
 
-def on_time(enriched: DataFrame) -> DataFrame:
-    return enriched.where(~F.col("late")).drop("late")
+def to_folders(path: str, late_path: str | None = None) -> Callable[[Closed], None]:
+    """A sink that writes a folder per batch, replaced when the batch runs again."""
 
+    def write(closed: Closed) -> None:
+        closed.enriched.write.mode("overwrite").parquet(f"{path}/batch={closed.batch_id}")
+        if late_path is not None and closed.late_rows:
+            closed.late.write.mode("overwrite").parquet(f"{late_path}/batch={closed.batch_id}")
 
-def late_only(enriched: DataFrame) -> DataFrame:
-    return enriched.where("late").select(
-        "symbol", "price", "quantity", "event_time", "trade_id"
-    )
+    return write

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.enrich import table_row
-from tickloom.operators.candles import CANDLE_COLUMNS, candle_aggregates
+from tickloom.operators.candles import PartVersions, candle_parts
 from tickloom.operators.feeds import push_anomalies, push_trades
 from tickloom.operators.output import push_envelope
-from tickloom.operators.sink import append_new
+from tickloom.operators.sink import append_new, new_rows_of_table
 from tickloom.params import Params
 from tickloom.schemas import TABLE_KEY
-from tickloom.streaming.enrich import late_only, on_time
+from tickloom.streaming.counters import Counters
+from tickloom.streaming.enrich import Closed, enriched_batches
 
 
 def once(writer, name: str | None = None) -> StreamingQuery:
@@ -60,39 +61,43 @@ def table_sink(
 
 
 def enriched_sink(
-    enriched: DataFrame,
+    trades: DataFrame,
     path: str,
     late_path: str,
+    state_path: str,
     checkpoint: str,
     params: Params = Params(),
-    on_counts: Callable | None = None,
+    delay: str = "10 seconds",
+    order: Column | None = None,
+    counters: Counters | None = None,
 ):
-    """Writer of the main job: on-time trades to the table, late ones to a folder of their own.
+    """Writer of the main job: closed trades, enriched, to the table; late ones to a folder.
 
-    It starts a batch at most every ``batch_flush_interval_ms``; another trigger may be set on
-    the writer. The folder of late rows carries the batch number and is replaced when the batch
-    runs again. ``on_counts`` gets the batch number, the counts of the table and of late rows.
+    Copies are dropped before they count in a window, and again against the table: a late
+    trade that is stored already is a replay and goes nowhere. It starts a batch at most every
+    ``batch_flush_interval_ms``; another trigger may be set on the writer. The folder of late rows
+    carries the batch number and is replaced when the batch runs again. ``counters`` keep
+    one row per batch; a batch that fails counts as an error and is tried again by the stream.
     """
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            late = late_only(batch)
-            n_late = late.count()
-            if n_late:
-                late.write.mode("overwrite").parquet(f"{late_path}/batch={batch_id}")
-            counts = append_new(batch.sparkSession, table_row(on_time(batch)), path)
-            if on_counts:
-                on_counts(batch_id, counts, n_late)
-        finally:
-            batch.unpersist()
-
-    return (
-        enriched.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**flush_trigger(params))
-        .foreachBatch(store)
-    )
+    def store(closed: Closed) -> None:
+        spark = closed.enriched.sparkSession
+        late_rows = closed.late_rows
+        if late_rows:
+            late = new_rows_of_table(spark, closed.late, path).persist()
+            try:
+                late_rows = late.count()
+                late.write.mode("overwrite").parquet(f"{late_path}/batch={closed.batch_id}")
+            finally:
+                late.unpersist()
+        counts = append_new(spark, table_row(closed.enriched), path)
+        if counters is not None:
+            replays = closed.copies + closed.late_rows - late_rows
+            counters.stored(closed.batch_id, closed.received, replays, late_rows, counts)
+
+    sink = store if counters is None else counters.watching(store)
+    writer = enriched_batches(trades, state_path, checkpoint, sink, params, delay, order)
+    return writer.trigger(**flush_trigger(params))
 
 
 def refused_sink(decoded: DataFrame, path: str, checkpoint: str, params: Params = Params()):
@@ -130,43 +135,34 @@ def distinct_trades(trades: DataFrame, delay: str = "10 seconds", key=("trade_id
     return trades.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(key))
 
 
-def candle_stream(
-    table_rows: DataFrame, params: Params = Params(), delay: str = "2 hours"
-) -> DataFrame:
-    """Candles of a stream of table rows; state is one row per open bucket and symbol."""
-    width = F.window("time", f"{params.candle_seconds} seconds")
-    return (
-        table_rows.withWatermark("time", delay)
-        .groupBy(width.alias("w"), "symbol")
-        .agg(*candle_aggregates())
-        .select(F.col("w.start").alias("bucket"), *CANDLE_COLUMNS[1:])
-    )
-
+def candle_sink(
+    table_rows: DataFrame, path: str, checkpoint: str, params: Params = Params(),
+):
+    """Writer that keeps candles up to date from a stream of table rows that come once each.
 
-def candle_updates(candle_rows: DataFrame, path: str, checkpoint: str):
-    """Writer that keeps every change of a candle, one folder per micro-batch."""
+    A micro-batch is summed up to parts of candles, which have a merge law (``merged_parts``). The
+    parts of the days that it touches are merged with those stored and written anew, under the
+    number of the batch; whatever the number of batches, a day holds one part per candle.
+    ``PartVersions.candles`` reads them.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        fresh = candle_parts(batch, params).persist()
+        try:
+            # One row per day that the batch touches.
+            days = [r["day"] for r in fresh.select("day").distinct().collect()]
+            if days:
+                PartVersions(batch.sparkSession, path).merge(fresh, days, batch_id)
+        finally:
+            fresh.unpersist()
 
     return (
-        candle_rows.writeStream.outputMode("update")
+        table_rows.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(store)
     )
 
 
-def latest_candles(spark: SparkSession, path: str) -> DataFrame:
-    """Current state of the candles from their stored changes."""
-    changes = spark.read.parquet(path)
-    rest = [c for c in CANDLE_COLUMNS if c not in ("bucket", "symbol")]
-    return (
-        changes.groupBy("bucket", "symbol")
-        .agg(F.max_by(F.struct(*rest), "batch").alias("row"))
-        .select("bucket", "symbol", "row.*")
-    )
-
-
 def push_sink(
     table: Callable[[], DataFrame],
     ticks: DataFrame,
