@@ -137,5 +137,5 @@ def with_moments(rows: DataFrame) -> DataFrame:
     return rows.selectExpr(
         *[f"`{c}`" for c in kept],
         f"_m / {USD_SCALE} AS mean",
-        f"sqrt(greatest(nanvl(_sq - _r * _r, DOUBLE('Infinity')), 0D)) / {USD_SCALE} AS stdev",
+        f"IF(_n IS NULL, NULL, sqrt(greatest(nanvl(_sq - _r * _r, DOUBLE('Infinity')), 0D)) / {USD_SCALE}) AS stdev",
     )

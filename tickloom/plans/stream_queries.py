@@ -176,7 +176,7 @@ def stream_late_rows(spark, sf_dir):
         rows.where(half).write.parquet(f"{source}/part={n}")
         stream = _parts(spark, source, rows.schema)
         jobs.once(se.enriched_batches(stream, state, checkpoint, sink, SCALED, "0 seconds"))
-    return spark.read.schema(rows.schema).parquet(late)
+    return spark.read.parquet(late).select(*rows.columns)
 
 
 def _parts(spark, source, schema):
