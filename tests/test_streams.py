@@ -4,7 +4,10 @@ import random
 from datetime import timedelta
 
 import pytest
-from tickloom.operators.candles import candles
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from tickloom.operators.candles import PartVersions, candles
 from tickloom.operators.enrich import enrich, table_row
 from tickloom.params import Params
 from tickloom.schemas import RAW_TRADE, TRADES_TABLE
@@ -42,44 +45,81 @@ def key(r):
     return (r.trade_id, r.symbol, r.usd_value, r.classification, z, r.is_anomaly)
 
 
+def enriched(spark, trades, out, state, checkpoint, order=None):
+    sink = se.to_folders(out, f"{out}-late")
+    jobs.once(se.enriched_batches(trades, state, checkpoint, sink, PARAMS, "10 seconds", order))
+    return spark.read.parquet(out)
+
+
+def batch(spark, rows):
+    return sorted(key(r) for r in enrich(spark.createDataFrame(rows, RAW_TRADE), PARAMS).collect())
+
+
 def test_enriched_stream_equals_batch_across_a_restart(spark, tmp_path):
-    se.use_rocksdb(spark)
     rows = make_trades(7, 800)
-    expected = sorted(key(r) for r in enrich(spark.createDataFrame(rows, RAW_TRADE), PARAMS).collect())
     # Arrival differs from event order by less than the delay.
     rng = random.Random(1)
     arrival = sorted(rows, key=lambda r: r[3] + timedelta(seconds=rng.uniform(0, 8)))
-    src, out, cp = (str(tmp_path / n) for n in ("src", "out", "cp"))
-    parts = [arrival[i : i + 200] for i in range(0, 800, 200)]
-    put(spark, src, 0, parts[0])
-    put(spark, src, 1, parts[1])
-    q = se.on_time(se.enrich_stream(stream(spark, src), PARAMS, "10 seconds"))
-    run(q, out, cp)
-    between = spark.read.parquet(out).count()
-    assert 0 < between < 400
-    put(spark, src, 2, parts[2])
-    put(spark, src, 3, parts[3])
-    put(spark, src, 4, [heartbeat(rows)])
-    run(se.on_time(se.enrich_stream(stream(spark, src), PARAMS, "10 seconds")), out, cp)
-    assert sorted(key(r) for r in spark.read.parquet(out).collect()) == expected
+    src, *places = (str(tmp_path / n) for n in ("src", "out", "state", "cp"))
+    put(spark, src, 0, arrival[:300])
+    put(spark, src, 1, arrival[300:500])
+    between = enriched(spark, stream(spark, src), *places).count()
+    assert 0 < between < 500
+    put(spark, src, 2, arrival[500:])
+    put(spark, src, 3, [heartbeat(rows)])
+    got = enriched(spark, stream(spark, src), *places)
+    assert sorted(key(r) for r in got.collect()) == batch(spark, rows)
 
 
 def test_rows_behind_the_watermark_come_out_as_late(spark, tmp_path):
-    se.use_rocksdb(spark)
     rows = make_trades(8, 300)
-    src, out, cp = (str(tmp_path / n) for n in ("src", "out", "cp"))
+    src, *places = (str(tmp_path / n) for n in ("src", "out", "state", "cp"))
     put(spark, src, 0, rows)
-    run(se.enrich_stream(stream(spark, src), PARAMS, "10 seconds"), out, cp)
+    enriched(spark, stream(spark, src), *places)
     late = [("AAA", 1.0, 1.0, EPOCH - timedelta(hours=1), 9001), ("NEW", 1.0, 1.0, EPOCH, 9002)]
     put(spark, src, 1, late)
     put(spark, src, 2, [heartbeat(rows)])
-    run(se.enrich_stream(stream(spark, src), PARAMS, "10 seconds"), out, cp)
-    got = spark.read.parquet(out)
-    assert {r.trade_id for r in se.late_only(got).collect()} == {9001, 9002}
-    on_time = sorted(key(r) for r in se.on_time(got).collect())
-    assert on_time == sorted(
-        key(r) for r in enrich(spark.createDataFrame(rows, RAW_TRADE), PARAMS).collect()
-    )
+    got = enriched(spark, stream(spark, src), *places)
+    assert {r.trade_id for r in spark.read.parquet(f"{places[0]}-late").collect()} == {9001, 9002}
+    assert sorted(key(r) for r in got.collect()) == batch(spark, rows)
+
+
+def test_replays_of_a_stream_count_once_and_the_first_offset_stays(spark, tmp_path):
+    rows = sorted(make_trades(13, 300), key=lambda r: r[3])
+    src, *places = (str(tmp_path / n) for n in ("src", "out", "state", "cp"))
+    numbered = [(*r, i) for i, r in enumerate(rows)]
+    copies = [(r[0], r[1] + 5.0, *r[2:5], 1000 + r[5]) for r in numbered]
+    end = (*heartbeat(rows), 9999)
+    schema = T.StructType([*RAW_TRADE.fields, T.StructField("offset", T.LongType())])
+    # A copy within its batch and ahead of the first, others in a later batch.
+    for n, part in enumerate((copies[:50] + numbered[:200], numbered[200:] + copies[190:], [end])):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{src}/part={n}")
+    trades = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/part=*")
+    got = enriched(spark, trades, *places, order=F.col("offset"))
+    assert sorted(key(r) for r in got.collect()) == batch(spark, rows)
+
+
+def test_a_batch_that_fails_comes_again_with_the_same_rows(spark, tmp_path):
+    rows = sorted(make_trades(14, 200), key=lambda r: r[3])
+    src, out, state, cp = (str(tmp_path / n) for n in ("src", "out", "state", "cp"))
+    put(spark, src, 0, rows[:120])
+    put(spark, src, 1, rows[120:] + [heartbeat(rows)])
+    write, failed = se.to_folders(out), []
+
+    def sink(closed):
+        write(closed)
+        if closed.batch_id == 1 and not failed:
+            failed.append(closed.batch_id)
+            raise RuntimeError("lost after the rows were written")
+
+    def job():
+        return se.enriched_batches(stream(spark, src), state, cp, sink, PARAMS, "10 seconds")
+
+    with pytest.raises(StreamingQueryException):
+        jobs.once(job())
+    jobs.once(job())
+    assert failed == [1]
+    assert sorted(key(r) for r in spark.read.parquet(out).collect()) == batch(spark, rows)
 
 
 def test_table_sink_survives_a_lost_checkpoint(spark, tmp_path):
@@ -96,17 +136,17 @@ def test_table_sink_survives_a_lost_checkpoint(spark, tmp_path):
     assert spark.read.parquet(path).count() == 300
 
 
-def test_candle_changes_end_as_batch_candles(spark, tmp_path):
+def test_candles_of_several_batches_are_those_of_one(spark, tmp_path):
     rows = table_row(enrich(spark.createDataFrame(make_trades(10, 600), RAW_TRADE), PARAMS))
     rows = rows.orderBy("time")
-    src, path, cp = (str(tmp_path / n) for n in ("src", "changes", "cp"))
+    src, path, cp = (str(tmp_path / n) for n in ("src", "parts", "cp"))
     kept = rows.collect()
     for n in range(3):
         spark.createDataFrame(kept[n::3], TRADES_TABLE).coalesce(1).write.parquet(f"{src}/part={n}")
     source = (
         spark.readStream.schema(TRADES_TABLE).option("maxFilesPerTrigger", 1).parquet(f"{src}/part=*")
     )
-    jobs.once(jobs.candle_updates(jobs.candle_stream(source, PARAMS), path, cp))
+    jobs.once(jobs.candle_sink(source, path, cp, PARAMS))
 
     def shape(df):
         return sorted(
@@ -115,7 +155,7 @@ def test_candle_changes_end_as_batch_candles(spark, tmp_path):
             for r in df.collect()
         )
 
-    assert shape(jobs.latest_candles(spark, path)) == shape(candles(rows, PARAMS))
+    assert shape(PartVersions(spark, path).candles()) == shape(candles(rows, PARAMS))
 
 
 def test_duplicates_within_the_delay_come_out_once(spark, tmp_path):
