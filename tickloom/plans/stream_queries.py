@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tickloom.operators.candles import PartVersions
 from tickloom.operators.quality import burst_windows
+from tickloom.operators.sink import compact_days
 from tickloom.plans import messages as ms
 from tickloom.plans import table_queries  # noqa: F401  (its SQL is shared)
 from tickloom.plans import tables as tb
@@ -372,4 +373,5 @@ def stream_sink(spark, sf_dir):
         late, state, checkpoint = (fresh_path(spark, n) for n in ("late", "epochs", "sink-checkpoint"))
         rows = trade_stream(spark, sf_dir)
         jobs.once(jobs.enriched_sink(rows, path, late, state, checkpoint, SCALED, "0 seconds"))
+    compact_days(spark, path, SCALED, smallest=2)
     return spark.read.parquet(path).select("trade_id", "symbol", "time")
