@@ -16,6 +16,7 @@ pytest.importorskip("tickloom.llm.queries")
 
 from tickloom.llm import (  # noqa: E402
     decontaminate,
+    encode,
     jaccard_join,
     lm_scoring,
     mixing,
@@ -28,6 +29,7 @@ from tickloom.llm import (  # noqa: E402
     token_files,
 )
 from tickloom.llm.elias_fano import EliasFano  # noqa: E402
+from tickloom.llm.encode import Encoder  # noqa: E402
 from tickloom.llm.queries import tokenizer_file  # noqa: E402
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -529,9 +531,22 @@ def test_token_files_round_trip(docs, empty, tmp_path):
     file = token_files.TokenFile(first["path"])
     got = np.concatenate([file.document(i) for i in range(len(file))])
     assert len(got) == first["n_ids"] and (got == np.fromfile(first["path"] + ".bin", file.dtype)).all()
+    starts = np.cumsum([0] + [len(file.document(i)) for i in range(len(file))])
+    assert [file.start(i) for i in range(len(file) + 1)] == starts.tolist()
     assert token_files.token_digest(empty, tokenizer_file()).count() == 0
 
 
+def test_digest_selects_and_never_decodes_the_boundaries(spark, docs, tmp_path, monkeypatch):
+    files = token_files.write_token_files(docs, str(tmp_path / "ids"), tokenizer_file()).collect()
+    assert all(f["place"].startswith("file:") for f in files)
+    monkeypatch.setattr(EliasFano, "values", None)
+    monkeypatch.setattr(token_files, "BATCH", 7)
+    rows = [r for f in files for b in token_files._digest(f["place"], 0) for r in b.to_pylist()]
+    assert len(rows) == len(ROWS)
+    want = collections.Counter((r[0], len(plain_ids(r[1])) + 1) for r in ROWS)
+    assert collections.Counter((r["doc_id"], r["n_tokens"]) for r in rows) == want
+
+
 @pytest.mark.parametrize("n, most", [(0, 1), (1, 1), (1, 10**9), (1000, 3), (1000, 10**6), (700, 1)])
 def test_elias_fano(n, most):
     values = np.cumsum(np.random.default_rng(n).integers(0, most, n))
@@ -568,6 +583,58 @@ def test_token_counts_follow_edits(spark, docs, empty):
     assert token_counts.count_tokens(empty, tokenizer_file()).count() == 0
 
 
+def test_edits_at_one_place_leave_leaves_short():
+    encoder = Encoder(tokenizer_file())
+    text = " ".join(f"word{i} and more." for i in range(400))
+    done = token_counts.Counted(text, encoder)
+    n_leaves, before = len(done.leaves), text
+    for i in range(30):
+        put = f" inserted {i}" + " some words" * 80
+        done.edit(1_000, 1_000, put)
+        before = before[:1_000] + put + before[1_000:]
+    assert done.text() == before and len(done.leaves) > n_leaves + 20
+    assert max(map(len, done.leaves)) < 2 * token_counts.LEAF_CHARS
+    done.encoded_chars = 0
+    done.edit(1_500, 1_501, "x")
+    before = before[:1_500] + "x" + before[1_501:]
+    assert done.encoded_chars < 4 * token_counts.LEAF_CHARS
+    # Most of the text goes, then all of it, and new text comes.
+    for start, end, put in [(40, len(before) - 30, ""), (0, 70, None), (0, 0, before)]:
+        done.edit(start, end, put)
+        assert done.tree.tokens == len(plain_ids(done.text())) and done.tree.chars == len(done.text())
+    assert done.text() == before
+
+
+def test_edits_that_do_not_fit_are_refused(spark):
+    row = "doc_id bigint, text string, edits array<struct<start:bigint,end:bigint,replacement:string>>"
+    edits = [[(0, 99, "x")], [(-1, 2, "x")], [(3, 2, "x")], [(0, 3, "x"), (2, 4, "y")], [(None, 2, "x")],
+             [None], [(0, 1, "x"), (0, 50, "y")], [(0, 1, "I")], [], None]
+    rows = spark.createDataFrame([(i, "a text of words", e) for i, e in enumerate(edits)], row)
+    counted = token_counts.count_tokens(rows, tokenizer_file()).join(rows.select("doc_id", "edits"), "doc_id")
+    for r in token_counts.apply_edits(counted, tokenizer_file()).collect():
+        refused = len(edits[r["doc_id"]] or []) if r["doc_id"] < 7 else 0
+        assert r["n_refused"] == refused and r["n_edits"] == (1 if r["doc_id"] == 7 else 0)
+        assert r["text"] == ("I text of words" if r["doc_id"] == 7 else "a text of words")
+        assert r["n_tokens"] == len(plain_ids(r["text"]))
+
+
+def test_words_of_a_batch_are_encoded_as_by_the_library(monkeypatch):
+    draw = random.Random(5)
+    letters = " \n\tabé1.'s,x日"
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(14))) for _ in range(3_000)]
+    texts += [None, "", "<|endoftext|> a", " a b", "a  b", "a b ", "don't stop", "ÿ ÿÿ x"]
+    for most in (10**6, 50):
+        monkeypatch.setattr(encode, "MOST_WORDS", most)
+        monkeypatch.setattr(encode, "MOST_PIECES", most)
+        encoder = Encoder(tokenizer_file())
+        got = [ids for at in range(0, len(texts), 100) for ids in encoder(texts[at : at + 100])]
+        assert got == [encoder.whole(t or "") for t in texts]
+        # Without a border between pieces, each goes to the model by itself.
+        encoder = Encoder(tokenizer_file())
+        encoder.border_id = None
+        assert encoder(texts) == got
+
+
 def test_masking_edits_cut_what_the_pattern_finds(spark):
     texts = ["mail a.b@c.org or 12345678 now", "1234567", "", None, "é 日本 7654321x@y.z end"]
     rows = spark.createDataFrame([(t,) for t in texts], "text string")

@@ -16,13 +16,14 @@ class EliasFano:
 
     The lower bits of each number are stored as they are; the upper ones as a bit vector in which
     the i-th one-bit stands at place upper(i) + i. Sampled places of one-bits, 32 bits each, are
-    all the table that select needs.
+    all the table that select needs; they are stored with the rest.
     """
 
-    def __init__(self, n: int, limit: int, low_bits: int, low: np.ndarray, high: np.ndarray):
-        self.n, self.limit, self.low_bits, self.low, self.high = n, limit, low_bits, low, high
-        ones = np.flatnonzero(np.unpackbits(high, bitorder="little"))
-        self.sample = ones[::EVERY].astype(np.uint32)
+    def __init__(
+        self, n: int, limit: int, low_bits: int, low: np.ndarray, high: np.ndarray, sample: np.ndarray
+    ):
+        self.n, self.limit, self.low_bits = n, limit, low_bits
+        self.low, self.high, self.sample = low, high, sample
 
     @classmethod
     def encode(cls, values: np.ndarray) -> "EliasFano":
@@ -35,11 +36,13 @@ class EliasFano:
             ((values[:, None] >> shift) & np.uint64(1)).astype(np.uint8), bitorder="little"
         )
         bits = np.zeros(n + (limit >> low_bits) + 1, np.uint8)
-        bits[(values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)] = 1
-        return cls(n, limit, low_bits, low, np.packbits(bits, bitorder="little"))
+        ones = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
+        bits[ones] = 1
+        sample = ones[::EVERY].astype("<u4")
+        return cls(n, limit, low_bits, low, np.packbits(bits, bitorder="little"), sample)
 
     def to_bytes(self) -> bytes:
-        parts = [p.tobytes() for p in (self.low, self.high)]
+        parts = [p.tobytes() for p in (self.low, self.high, self.sample)]
         head = struct.pack(_HEAD, self.n, self.limit, self.low_bits, len(parts[1]))
         return head + b"".join(parts)
 
@@ -51,7 +54,9 @@ class EliasFano:
         low_size = -(-n * low_bits // 8)
         low = np.frombuffer(data, np.uint8, low_size, at)
         high = np.frombuffer(data, np.uint8, high_size, at + low_size)
-        return cls(n, limit, low_bits, low, high), at + low_size + high_size
+        at += low_size + high_size
+        sample = np.frombuffer(data, "<u4", -(-n // EVERY), at)
+        return cls(n, limit, low_bits, low, high, sample), at + sample.nbytes
 
     def _low(self, i: int) -> int:
         first = i * self.low_bits

@@ -26,6 +26,7 @@ from tickloom.llm import (
     token_counts,
     token_files,
 )
+from tickloom.llm.scratch import written
 from tickloom.llm.sql import ORACLES
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -89,8 +90,9 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts before and after personal data is masked, a real edit of many documents."""
+    """Counts before and after personal data is masked, a real edit of many documents with stored trees."""
     counted = token_counts.count_tokens(documents(spark, sf_dir), tokenizer_file())
+    counted = written(counted, "token-counts")
     edited = counted.withColumn("edits", token_counts.masking_edits(F.col("text")))
     return token_counts.apply_edits(edited, tokenizer_file()).select(
         "doc_id", "tokens_before", "n_edits", "n_tokens", "encoded_chars"

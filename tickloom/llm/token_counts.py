@@ -7,17 +7,20 @@ and tokens below them.
 
 An edit replaces a range of characters. The tree is descended by character sums to the leaves that
 the range touches, and to the leaf before or behind where the range comes within a character of the
-border, as that character takes part in the decision. Only the text of these leaves is encoded
-again, after cutting it anew; the sums on the paths up change.
+border, as that character takes part in the decision. Only the text of these leaves is cut anew
+and encoded again. Where it gives no more leaves than before, the sums on the paths up change; where
+it has grown by a leaf or more, the new leaves are put between the others and the sums above are added up
+again, without any text.
 
 Trees are rows of a table; edits are joined to them by document, so the work is spread like the
 documents. A document is one row and one tree.
 
 Defined results for odd input: a NULL or empty text has no leaf and no token; edits may touch,
-insert at either end, or empty a text; an edit whose range does not fit the text, overlaps another
-or has a NULL in its range is refused with an error; a NULL replacement deletes; documents without
-edits keep their counts; equal rows are counted one by one; an empty table gives an empty result;
-other columns are not read.
+insert at either end, or empty a text; where the range of an edit does not fit the text, overlaps
+another's or has a NULL, and where an edit is NULL, all edits of the document are refused: it keeps its
+text and counts, and ``n_refused`` is their number; a NULL replacement deletes; documents without edits
+keep their counts; equal rows are counted one by one; an empty table gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -102,22 +105,22 @@ class SegmentTree:
 
 
 class Counted:
-    """A text with its tree. An edited leaf may grow or become empty; it stays one leaf."""
+    """A text with its tree. Edited leaves are cut anew, so none grows with the edits."""
 
     def __init__(self, text: str, encoder: Encoder, tree: SegmentTree | None = None) -> None:
         self.encoder, self.encoded_chars = encoder, 0
         if tree is None:
             self.leaves = leaves_of(text)
-            tree = SegmentTree([len(x) for x in self.leaves], [self._count(x) for x in self.leaves])
+            tree = SegmentTree([len(x) for x in self.leaves], self._counts(self.leaves))
         else:
             sizes = tree.sums[tree.base : tree.base + tree.n, 0]
             ends = sizes.cumsum().tolist()
             self.leaves = [text[e - s : e] for s, e in zip(sizes.tolist(), ends)]
         self.tree = tree
 
-    def _count(self, text: str) -> int:
-        self.encoded_chars += len(text)
-        return len(self.encoder.one(text)) // self.encoder.width
+    def _counts(self, texts: list[str]) -> list[int]:
+        self.encoded_chars += sum(map(len, texts))
+        return [len(ids) // self.encoder.width for ids in self.encoder(texts)]
 
     def text(self) -> str:
         return "".join(self.leaves)
@@ -128,22 +131,33 @@ class Counted:
             raise ValueError(f"no range {start} to {end} in a text of {self.tree.chars}")
         new = replacement or ""
         if not self.leaves:
-            self.leaves = [new]
-            self.tree = SegmentTree([len(new)], [self._count(new)])
+            first, found, old = 0, leaves_of(new), 0
+        else:
+            last_char = max(0, self.tree.chars - 1)
+            # A border is decided by the character before it, the space, and the one behind.
+            first, begin = self.tree.find(min(max(0, start - 2), last_char))
+            last, _ = self.tree.find(min(end + 1, last_char))
+            joined = "".join(self.leaves[first : last + 1])
+            # The region begins and ends at borders that stand.
+            found = leaves_of(joined[: start - begin] + new + joined[end - begin :])
+            old = last + 1 - first
+        chars, tokens = [len(x) for x in found], self._counts(found)
+        if len(found) > old:
+            self._splice(first, old, found, chars, tokens)
             return
-        last_char = max(0, self.tree.chars - 1)
-        # A border is decided by the character before it, the space, and the one behind.
-        first, begin = self.tree.find(min(max(0, start - 2), last_char))
-        last, last_begin = self.tree.find(min(end + 1, last_char))
-        parts = self.leaves[first : last + 1]
-        joined = "".join(parts)
-        joined = joined[: start - begin] + new + joined[end - begin :]
-        # The region begins and ends at borders that stand; all of it becomes the first leaf.
-        self.leaves[first] = joined
-        self.tree.update(first, len(joined), self._count(joined))
-        for leaf in range(first + 1, last + 1):
-            self.leaves[leaf] = ""
-            self.tree.update(leaf, 0, 0)
+        for i in range(old):
+            here = i < len(found)
+            self.leaves[first + i] = found[i] if here else ""
+            self.tree.update(first + i, *((chars[i], tokens[i]) if here else (0, 0)))
+
+    def _splice(self, first: int, old: int, found: list[str], chars: list[int], tokens: list[int]) -> None:
+        """Put leaves in the place of fewer ones; the empty ones of earlier edits go."""
+        rows = self.tree.sums[self.tree.base : self.tree.base + self.tree.n].tolist()
+        rows[first : first + old] = [list(x) for x in zip(chars, tokens)]
+        self.leaves[first : first + old] = found
+        kept = [i for i, leaf in enumerate(self.leaves) if leaf]
+        self.leaves = [self.leaves[i] for i in kept]
+        self.tree = SegmentTree([rows[i][0] for i in kept], [rows[i][1] for i in kept])
 
 
 _TREES = "doc_id bigint, text string, n_tokens bigint, tree binary"
@@ -172,15 +186,25 @@ def count_tokens(docs: DataFrame, tokenizer_file: str) -> DataFrame:
 
 _EDITED = (
     "doc_id bigint, text string, n_tokens bigint, tree binary, tokens_before bigint, "
-    "n_edits int, encoded_chars bigint"
+    "n_edits int, n_refused int, encoded_chars bigint"
 )
 
 
+def _fit(edits: list[dict | None], size: int) -> bool:
+    """Whether all ranges are in a text of a size and none overlaps another."""
+    if any(e is None or e["start"] is None or e["end"] is None for e in edits):
+        return False
+    ranges = sorted((e["start"], e["end"]) for e in edits)
+    inside = all(0 <= start <= end <= size for start, end in ranges)
+    return inside and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
 def apply_edits(counted: DataFrame, tokenizer_file: str) -> DataFrame:
     """Apply a column ``edits`` (array of start, end, replacement; character positions in the
     text as it is before all of them) to each row of ``count_tokens``.
 
-    Adds ``tokens_before``, ``n_edits`` and ``encoded_chars``, the characters encoded again.
+    Adds ``tokens_before``, ``n_edits``, ``n_refused`` and ``encoded_chars``, the characters encoded
+    again.
     """
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,10 +214,8 @@ def apply_edits(counted: DataFrame, tokenizer_file: str) -> DataFrame:
             for row in batch.to_pylist():
                 text, edits = row["text"], row["edits"] or []
                 done = Counted(text or "", encoder, SegmentTree.from_bytes(row["tree"]))
-                edits = sorted(edits, key=lambda e: (e["start"], e["end"]))
-                for a, b in zip(edits, edits[1:]):
-                    if a["end"] > b["start"]:
-                        raise ValueError(f"edits of document {row['doc_id']} overlap")
+                n_refused = 0 if _fit(edits, done.tree.chars) else len(edits)
+                edits = [] if n_refused else sorted(edits, key=lambda e: (e["start"], e["end"]))
                 # From the back, so that the places of earlier ones hold.
                 for e in reversed(edits):
                     done.edit(e["start"], e["end"], e["replacement"])
@@ -207,13 +229,14 @@ def apply_edits(counted: DataFrame, tokenizer_file: str) -> DataFrame:
                         "tree": sums.tobytes(),
                         "tokens_before": row["n_tokens"],
                         "n_edits": len(edits),
+                        "n_refused": n_refused,
                         "encoded_chars": done.encoded_chars,
                     }
                 )
             schema = pa.schema(
                 [("doc_id", pa.int64()), ("text", pa.string()), ("n_tokens", pa.int64())]
                 + [("tree", pa.binary()), ("tokens_before", pa.int64()), ("n_edits", pa.int32())]
-                + [("encoded_chars", pa.int64())]
+                + [("n_refused", pa.int32()), ("encoded_chars", pa.int64())]
             )
             yield pa.RecordBatch.from_pylist(out, schema)
 

@@ -6,7 +6,8 @@ one range exchange; each range becomes one pair of files in a shared folder:
 * ``ids-NNNNNN.bin``: the ids of all its documents, one after the other, as little-endian unsigned
   16-bit integers (32-bit for vocabularies of over 65,536 entries), to be mapped into memory;
 * ``ids-NNNNNN.idx``: the number of documents with a NULL id, the smallest id, and two Elias-Fano
-  lists: where each document ends, and the ids of the documents less the smallest.
+  lists with the samples that select needs: where each document ends, and the ids of the
+  documents less the smallest.
 
 A file is written under another name and renamed when complete, and its content depends only on
 the rows of its range, so a repeated task does no harm. The ranges and their totals come back as
@@ -39,14 +40,20 @@ END_ID = 2
 _HEAD = "<4sBQq"
 _MARK = b"IDX1"
 BATCH = 256  # texts that are encoded together
-_FILES = "shard int, path string, width int, n_docs bigint, n_ids bigint"
+_FILES = "shard int, path string, place string, width int, n_docs bigint, n_ids bigint"
 
 
 def _place(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path[:5] == "file:" else (
-        fs.LocalFileSystem(),
-        path,
-    )
+    """The file system and the name in it; a path without a scheme is a local one."""
+    if "://" in path or path.startswith("file:"):
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme: one without is in the cluster's default file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
 
 
 def _put(path: str, parts: Iterator[bytes]) -> None:
@@ -63,8 +70,9 @@ def write_token_files(
     docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID
 ) -> DataFrame:
     """Write all texts; one row per file pair, in the order of the ranges."""
-    spark = docs.sparkSession
-    files, name = _place(path)
+    # Tasks go by the place, which is the same on every machine.
+    place = _qualified(docs.sparkSession, path)
+    files, name = _place(place)
     files.create_dir(name)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +91,8 @@ def write_token_files(
                         sizes.append(len(ids) // encoder.width + 1)
                         yield ids + end
 
-        target = f"{path}/ids-{shard:06d}"
+        name = f"ids-{shard:06d}"
+        target = f"{place}/{name}"
         _put(f"{target}.bin", contents())
         if doc_ids:
             known = [d for d in doc_ids if d is not None]
@@ -99,15 +108,16 @@ def write_token_files(
                 [
                     {
                         "shard": shard,
-                        "path": target,
+                        "path": f"{path}/{name}",
+                        "place": target,
                         "width": encoder.width,
                         "n_docs": len(doc_ids),
                         "n_ids": int(ends[-1]),
                     }
                 ],
                 schema=pa.schema(
-                    [("shard", pa.int32()), ("path", pa.string()), ("width", pa.int32())]
-                    + [("n_docs", pa.int64()), ("n_ids", pa.int64())]
+                    [("shard", pa.int32()), ("path", pa.string()), ("place", pa.string())]
+                    + [("width", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]
                 ),
             )
 
@@ -125,14 +135,14 @@ def read_token_files(files: DataFrame) -> DataFrame:
     """
     # One row per file pair.
     base = "coalesce(sum(n_ids) OVER (ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"
-    based = files.selectExpr("shard", "path", f"{base} AS base")
+    based = files.selectExpr("shard", "place", f"{base} AS base")
     # A task per file pair; by a number, so that rows this small are not put together.
     based = based.repartition(max(1, files.count()), "shard")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield _digest(row["path"], row["base"])
+                yield from _digest(row["place"], row["base"])
 
     return based.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
@@ -155,30 +165,44 @@ class TokenFile:
     def __len__(self) -> int:
         return self.ends.n
 
+    def start(self, i: int) -> int:
+        """Number of ids before the i-th document."""
+        return self.ends.select(i - 1) if i else 0
+
+    def doc_id(self, i: int) -> int | None:
+        return None if i < self.nulls else self.ids_of_docs.select(i - self.nulls) + self.first
+
+    def documents(self, first: int, stop: int) -> list[np.ndarray]:
+        """Ids of the documents from the first up to but without the last, by one read."""
+        starts = [self.start(i) for i in range(first, stop + 1)]
+        size = self.dtype.itemsize
+        raw = self.data.read_at((starts[-1] - starts[0]) * size, starts[0] * size)
+        ids = np.frombuffer(raw, self.dtype)
+        return [ids[a - starts[0] : b - starts[0]] for a, b in zip(starts, starts[1:])]
+
     def document(self, i: int) -> np.ndarray:
         """Ids of the i-th document, by two selects and one read."""
-        start = self.ends.select(i - 1) if i else 0
-        size = self.ends.select(i) - start
-        raw = self.data.read_at(size * self.dtype.itemsize, start * self.dtype.itemsize)
-        return np.frombuffer(raw, self.dtype)
-
-
-def _digest(path: str, base: int) -> pa.RecordBatch:
-    file = TokenFile(path)
-    ends = file.ends.values().astype(np.int64)
-    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-    sizes = ends - starts
-    crcs = np.zeros(len(ends), np.int64)
-    width = file.dtype.itemsize
-    file.data.seek(0)
-    for i, size in enumerate(sizes):
-        ids = np.frombuffer(file.data.read(int(size) * width), file.dtype)
-        crcs[i] = zlib.crc32(ids.astype("<u4").tobytes())
-    doc_ids = [None] * file.nulls + (file.ids_of_docs.values().astype(np.int64) + file.first).tolist()
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc_ids, pa.int64()), pa.array(base + starts), pa.array(sizes), pa.array(crcs)],
-        ["doc_id", "start", "n_tokens", "ids_crc32"],
-    )
+        return self.documents(i, i + 1)[0]
+
+
+def _digest(place: str, base: int) -> Iterator[pa.RecordBatch]:
+    """The documents of a file, so many at a time; their places come from select alone."""
+    file = TokenFile(place)
+    for first in range(0, len(file), BATCH):
+        stop = min(first + BATCH, len(file))
+        found = file.documents(first, stop)
+        sizes = np.array([len(ids) for ids in found], np.int64)
+        starts = base + file.start(first) + sizes.cumsum() - sizes
+        crcs = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in found]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([file.doc_id(i) for i in range(first, stop)], pa.int64()),
+                pa.array(starts),
+                pa.array(sizes),
+                pa.array(crcs, pa.int64()),
+            ],
+            ["doc_id", "start", "n_tokens", "ids_crc32"],
+        )
 
 
 def token_digest(docs: DataFrame, tokenizer_file: str, path: str | None = None) -> DataFrame:
