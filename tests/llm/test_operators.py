@@ -622,7 +622,7 @@ def test_words_of_a_batch_are_encoded_as_by_the_library(monkeypatch):
     draw = random.Random(5)
     letters = " \n\tabé1.'s,x日"
     texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(14))) for _ in range(3_000)]
-    texts += [None, "", "<|endoftext|> a", " a b", "a  b", "a b ", "don't stop", "ÿ ÿÿ x"]
+    texts += [None, "", "<|endoftext|> a", " a b", "a  b", "a b ", "don't stop", "ÿ ÿÿ x", "or so, no. A1 B' c- é» x\n y"]
     for most in (10**6, 50):
         monkeypatch.setattr(encode, "MOST_WORDS", most)
         monkeypatch.setattr(encode, "MOST_PIECES", most)

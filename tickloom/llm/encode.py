@@ -24,7 +24,7 @@ _PATTERN = re.compile(
 )
 _UNSURE = re.compile(rf"[^\x00-\x1B\x20-\x7F{_LETTER}]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-MOST_WORDS, MOST_PIECES = 800_000, 200_000
+MOST_WORDS, MOST_PIECES = 1_200_000, 200_000
 TOGETHER = 20  # pieces in one call of the model
 
 _loaded: dict[str, "Encoder"] = {}
@@ -105,13 +105,21 @@ class Encoder:
     def _learn_words(self, words: set[str]) -> None:
         """Ids of words behind a space whose characters leave no doubt."""
         plain = [word for word in words if word.isalpha()]
-        self.words.update(zip(plain, self._pieces([" " + word for word in plain])))
+        words = words.difference(plain)
+        # Most others are a word and one sign behind it, which is a piece of its own.
+        signed = [word for word in words if word[:-1].isalpha() and not word[-1].isspace()]
         cut = {
             word: _PATTERN.findall(" " + word)
-            for word in words.difference(plain)
+            for word in words.difference(signed)
             if word and not word[0].isspace() and not word[-1].isspace()
         }
+        stems = [word[:-1] for word in signed]
+        plain.extend({stem for stem in stems if stem not in self.words}.difference(plain))
+        self.words.update(zip(plain, self._pieces([" " + word for word in plain])))
         self._learn_pieces({piece for found in cut.values() for piece in found})
+        self._learn_pieces({word[-1] for word in signed})
+        for word, stem in zip(signed, stems):
+            self.words[word] = self.words[stem] + self.pieces[word[-1]]
         for word, found in cut.items():
             self.words[word] = b"".join(map(self.pieces.__getitem__, found))
 
