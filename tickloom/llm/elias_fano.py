@@ -8,7 +8,6 @@ import numpy as np
 
 EVERY = 256  # the place of each so-manieth one-bit is stored
 _HEAD = "<QQBQ"
-_ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
 class EliasFano:
@@ -63,17 +62,21 @@ class EliasFano:
         chunk = self.low[first // 8 : (first + self.low_bits + 7) // 8].tobytes()
         return (int.from_bytes(chunk, "little") >> (first % 8)) & ((1 << self.low_bits) - 1)
 
+    def _eight(self, byte: int) -> int:
+        """Eight bytes of the upper bits as one number."""
+        return int.from_bytes(self.high[byte : byte + 8].tobytes(), "little")
+
     def select(self, i: int) -> int:
         """The i-th number, found from the nearest sampled one-bit."""
         if not 0 <= i < self.n:
             raise IndexError(i)
         place, rest = int(self.sample[i // EVERY]), i % EVERY
         byte = place // 8
-        rest += int(_ONES[int(self.high[byte]) & ((1 << (place % 8)) - 1)])
-        while rest >= _ONES[self.high[byte]]:
-            rest -= int(_ONES[self.high[byte]])
-            byte += 1
-        value = int(self.high[byte])
+        value = self._eight(byte) >> (place % 8) << (place % 8)
+        while rest >= (ones := value.bit_count()):
+            rest -= ones
+            byte += 8
+            value = self._eight(byte)
         for _ in range(rest):
             value &= value - 1
         place = byte * 8 + (value & -value).bit_length() - 1
