@@ -8,11 +8,12 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tickloom.operators.candles import PartVersions, candles
-from tickloom.operators.enrich import enrich, table_row
+from tickloom.operators.enrich import enrich, gap_segments, table_row
 from tickloom.params import Params
 from tickloom.schemas import RAW_TRADE, TRADES_TABLE
 from tickloom.streaming import enrich as se
 from tickloom.streaming import jobs
+from tickloom.streaming.segments import OpenSegments, segment_sink
 
 from model import EPOCH, make_trades
 
@@ -71,6 +72,42 @@ def test_enriched_stream_equals_batch_across_a_restart(spark, tmp_path):
     assert sorted(key(r) for r in got.collect()) == batch(spark, rows)
 
 
+def test_segments_come_out_once_when_the_next_gap_ends_them(spark, tmp_path):
+    rows = make_trades(13, 600)
+    src, out, left, state, cp = (str(tmp_path / n) for n in ("src", "out", "open", "state", "cp"))
+    want = gap_segments(spark.createDataFrame(rows, RAW_TRADE), PARAMS)
+    names, last = want.columns, {}
+    whole = {tuple(r) for r in want.collect()}
+    for r in whole:
+        last[r[0]] = max(last.get(r[0], 0), r[1])
+    sink, fail = segment_sink(out, left), []
+
+    def failing(closed):
+        sink(closed)
+        if fail:
+            raise RuntimeError(fail.pop())
+
+    def go():
+        jobs.once(se.enriched_batches(stream(spark, src), state, cp, failing, PARAMS, "10 seconds"))
+        return [tuple(r) for r in spark.read.parquet(out).select(*names).collect()]
+
+    rows = sorted(rows, key=lambda r: r[3])
+    put(spark, src, 0, rows[:250])
+    early = go()
+    assert early and set(early) < whole
+    put(spark, src, 1, rows[250:400])
+    # The batch fails after it has written; it comes again and finds what it found before.
+    fail.append("after the write")
+    with pytest.raises(StreamingQueryException):
+        go()
+    put(spark, src, 2, rows[400:])
+    put(spark, src, 3, [heartbeat(rows)])
+    done = go()
+    still = [tuple(r) for r in OpenSegments(spark, left).before().select(*names).collect()]
+    assert len(done) == len(set(done)) and set(done) | set(still) == whole
+    assert sorted((r[0], r[1]) for r in still) == sorted(last.items())
+
+
 def test_rows_behind_the_watermark_come_out_as_late(spark, tmp_path):
     rows = make_trades(8, 300)
     src, *places = (str(tmp_path / n) for n in ("src", "out", "state", "cp"))

@@ -416,21 +416,22 @@ def data_gaps(trades: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def gap_segments(trades: DataFrame, params: Params = Params()) -> DataFrame:
-    """Stretches between gaps: extent, what started them, when scoring resumed."""
+def segments_of(state: DataFrame) -> DataFrame:
+    """Stretches between gaps that the rows of ``rolling_state`` make up."""
     kind = (
         F.when(F.col("is_purge"), F.lit("purge"))
         .when(F.col("is_pause"), F.lit("pause"))
         .otherwise(F.lit("first"))
     )
-    return (
-        rolling_state(trades, params)
-        .groupBy("symbol", F.col("pause_seg").alias("segment"))
-        .agg(
-            F.min("event_time").alias("started_at"),
-            F.max("event_time").alias("ended_at"),
-            F.count(F.lit(1)).alias("trade_count"),
-            F.min_by(kind, F.struct("t", "trade_id")).alias("kind"),
-            F.min(F.when(F.col("pause_over"), F.col("event_time"))).alias("resumed_at"),
-        )
+    return state.groupBy("symbol", F.col("pause_seg").alias("segment")).agg(
+        F.min("event_time").alias("started_at"),
+        F.max("event_time").alias("ended_at"),
+        F.count(F.lit(1)).alias("trade_count"),
+        F.min_by(kind, F.struct("t", "trade_id")).alias("kind"),
+        F.min(F.when(F.col("pause_over"), F.col("event_time"))).alias("resumed_at"),
     )
+
+
+def gap_segments(trades: DataFrame, params: Params = Params()) -> DataFrame:
+    """Stretches between gaps: extent, what started them, when scoring resumed."""
+    return segments_of(rolling_state(trades, params))

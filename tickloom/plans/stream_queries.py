@@ -30,6 +30,7 @@ from tickloom.sources.wire import parse_wire, read_wire_stream
 from tickloom.streaming import enrich as se
 from tickloom.streaming import jobs
 from tickloom.streaming.counters import Counters, ProgressLog, ingest_counters
+from tickloom.streaming.segments import OpenSegments, segment_sink
 
 EVENTS = T.StructType(
     [
@@ -115,9 +116,8 @@ def stream_enrich(spark, sf_dir):
     ).withColumn("z_score", F.round("z_score", 6))
 
 
-@query("stream_enrich_shuffled", ENRICHED_SQL)
-def stream_enrich_shuffled(spark, sf_dir):
-    """Three micro-batches whose trades arrive up to an hour out of order."""
+def _arrivals(spark, sf_dir):
+    """A stream of three micro-batches whose trades arrive up to an hour out of order."""
     rows = tb.trades(spark, sf_dir)
     hour = 3_600 * MICROS
     # When a trade arrives: up to an hour after it happened.
@@ -134,10 +134,29 @@ def stream_enrich_shuffled(spark, sf_dir):
     )
     beat.coalesce(1).write.parquet(f"{source}/part=3")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
-    found = _enriched(spark, stream.parquet(f"{source}/part=*"), "shuffled", delay="1 hour")
+    return stream.parquet(f"{source}/part=*")
+
+
+@query("stream_enrich_shuffled", ENRICHED_SQL)
+def stream_enrich_shuffled(spark, sf_dir):
+    """Same result as in batch, from trades that are out of order."""
+    found = _enriched(spark, _arrivals(spark, sf_dir), "shuffled", delay="1 hour")
     return found.select(*ENRICHED_TRADE.fieldNames()).withColumn("z_score", F.round("z_score", 6))
 
 
+@query("stream_segments", ORACLES["gap_segments"])
+def stream_segments(spark, sf_dir):
+    """Segments put out as they close, and those that are open at the end."""
+    path, left, state, checkpoint = (
+        fresh_path(spark, n) for n in ("segments", "open-segments", "epochs", "checkpoint")
+    )
+    sink = segment_sink(path, left)
+    rows = _arrivals(spark, sf_dir)
+    jobs.once(se.enriched_batches(rows, state, checkpoint, sink, SCALED, "1 hour"))
+    closed, still = spark.read.parquet(path).drop("batch"), OpenSegments(spark, left).before()
+    return closed.unionByName(still)
+
+
 @query("stream_candles", ORACLES["candles_1m"])
 def stream_candles(spark, sf_dir):
     """Candles kept up to date over the stored table read as a stream."""

@@ -26,9 +26,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.enrich import CARRY, carry_after, enrich
+from tickloom.operators.enrich import CARRY, carry_after, rolling_state
 from tickloom.params import MICROS, Params
-from tickloom.schemas import RAW_TRADE
+from tickloom.schemas import ENRICHED_TRADE, RAW_TRADE
 
 # Trades of this symbol only move the watermark forward and never come out.
 HEARTBEAT = "__HEARTBEAT__"
@@ -41,7 +41,8 @@ HELD = T.StructType(
 
 @dataclass(frozen=True)
 class Closed:
-    """What a micro-batch has closed: enriched trades, late ones, and their numbers."""
+    """What a micro-batch has closed: enriched trades, late ones, their numbers, and the trades with
+    their rolling state."""
 
     batch_id: int
     enriched: DataFrame
@@ -49,6 +50,7 @@ class Closed:
     received: int
     copies: int
     late_rows: int
+    state: DataFrame
 
 
 class EpochStore:
@@ -130,12 +132,13 @@ def close_batch(
             done = waiting if upto is None else waiting.where(_micros("event_time") < upto)
             nothing = upto is None or upto == closed
             store_carry, since = carry, closed
-            enriched = enrich(done, params, carry, closed)
+            state = rolling_state(done, params, carry, closed)
             if nothing:
-                enriched = enriched.where(F.lit(False))
+                state = state.where(F.lit(False))
+            enriched = state.select(*ENRICHED_TRADE.fieldNames())
             late = trades.where(_behind(closed)).select(*fields)
             counts = (int(seen["received"]), int(seen["received"] - seen["late"] - n_new), int(seen["late"]))
-            sink(Closed(batch_id, enriched, late, *counts))
+            sink(Closed(batch_id, enriched, late, *counts, state))
             if not nothing:
                 store_carry = carry_after(done, params, carry, since)
                 keep = _micros("event_time") >= upto - params.lookback_us
