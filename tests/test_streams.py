@@ -2,14 +2,18 @@
 
 import random
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tickloom.operators import enrich as ope
 from tickloom.operators.candles import PartVersions, candles
 from tickloom.operators.enrich import enrich, gap_segments, table_row
 from tickloom.params import Params
+from tickloom.plans import stream_queries as sq
+from tickloom.plans import tables as tb
 from tickloom.schemas import RAW_TRADE, TRADES_TABLE
 from tickloom.streaming import enrich as se
 from tickloom.streaming import jobs
@@ -233,3 +237,78 @@ def test_topic_folder_round_trip(spark, tmp_path):
     assert spark.read.parquet(out).count() == 100
     with pytest.raises(ValueError):
         tp.read_topic_stream(spark)
+
+
+def events_folder(spark, path, n=6_000, files=4):
+    """Events of 30 days in several files, as large tables have them."""
+    rng = random.Random(5)
+    rows = [
+        (i, EPOCH.replace(tzinfo=None, year=2024, month=1, day=1, hour=0, minute=0, second=0, microsecond=0)
+         + timedelta(seconds=rng.randrange(30 * 86_400), microseconds=i), rng.choice(["view", "purchase", "click"]),
+         float(rng.randrange(1, 500)))
+        for i in range(n)
+    ]
+    spark.createDataFrame(rows, sq.EVENTS).repartition(files).write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def data_files(path):
+    return sorted(Path(path.removeprefix("file:")).glob("*.parquet"))
+
+
+def test_arrivals_are_written_and_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    made = {}
+    monkeypatch.setattr(sq, "fresh_path", lambda s, label: made.setdefault(label, f"{tmp_path}/{label}"))
+    folder = events_folder(spark, tmp_path / "tables")
+    expected = gap_segments(tb.trades(spark, folder), tb.SCALED)
+    got = sq.stream_segments(spark, folder)
+    key = lambda r: (r.symbol, r.segment)
+    assert sorted(got.collect(), key=key) == sorted(expected.select(*got.columns).collect(), key=key)
+    assert all(len(data_files(f"{made['arrivals']}/part={n}")) > 1 for n in range(3))
+
+
+def test_what_a_batch_keeps_has_no_more_partitions_than_its_rows_need(spark, tmp_path):
+    rows = make_trades(11, 300)
+    put(spark, f"{tmp_path}/in", 0, [*rows, heartbeat(rows)])
+    kept = []
+
+    def sink(closed):
+        closed.enriched.count()
+        infos = spark.sparkContext._jsc.sc().getRDDStorageInfo()
+        kept.extend(info.numPartitions() for info in infos)
+
+    trades = stream(spark, f"{tmp_path}/in")
+    jobs.once(se.enriched_batches(trades, f"{tmp_path}/state", f"{tmp_path}/check", sink, PARAMS))
+    assert kept and max(kept) < int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_batch_works_out_its_slices_once(spark, tmp_path, monkeypatch):
+    rows = make_trades(12, 300)
+    put(spark, f"{tmp_path}/in", 0, [*rows, heartbeat(rows)])
+    calls = []
+    whole = ope.slice_carry
+    monkeypatch.setattr(ope, "slice_carry", lambda *a, **k: calls.append(1) or whole(*a, **k))
+    got = enriched(spark, stream(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/s", f"{tmp_path}/c")
+    assert len(calls) == 1
+    assert sorted(map(key, got.collect())) == batch(spark, rows)
+
+
+def test_first_copies_take_one_shuffle_and_keep_the_held_row(spark):
+    at = EPOCH + timedelta(seconds=5)
+    rows = [
+        ("A", 1.0, 1.0, at, 1, 7, True),
+        ("A", 2.0, 1.0, at, 1, 3, True),  # the first by place
+        ("A", 3.0, 1.0, at, 2, 9, False),  # held already
+        ("A", 4.0, 1.0, at, 2, 1, True),
+        ("A", 6.0, 1.0, at, 3, 4, True),
+        ("A", 5.0, 1.0, at, 3, 4, True),  # the first by values
+        ("A", 8.0, 1.0, at, None, 4, True),
+        ("A", 7.0, 1.0, at, None, None, True),
+        ("A", 1.0, 1.0, at, 4, None, True),  # without any place both stay
+        ("A", 2.0, 1.0, at, 4, None, True),
+    ]
+    got = se._first_copies(spark.createDataFrame(rows, se.HELD))
+    assert sorted(r.price for r in got.collect()) == [1.0, 2.0, 2.0, 3.0, 5.0, 8.0]
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    executed = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and executed.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1

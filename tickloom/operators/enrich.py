@@ -255,19 +255,30 @@ def slice_carry(
     )
 
 
+def slices_of(
+    trades: DataFrame,
+    params: Params = Params(),
+    carry: DataFrame | None = None,
+    since: int | None = None,
+) -> DataFrame:
+    """``slice_carry`` of trades. Only symbol, time and id are read."""
+    ticks = _tick_counts(_ticked(trades.select("symbol", "event_time", "trade_id")))
+    return slice_carry(_counted(_sliced(ticks, params, since), params), carry)
+
+
 def carry_after(
     trades: DataFrame,
     params: Params = Params(),
     carry: DataFrame | None = None,
     since: int | None = None,
+    slices: DataFrame | None = None,
 ) -> DataFrame:
     """What every symbol takes over from these trades, as ``CARRY``.
 
     With ``carry`` and ``since`` (epoch micros), the trades need to begin only a look-back before
-    ``since``; ``carry`` has the rest. Only symbol, time and id are read.
+    ``since``; ``carry`` has the rest. ``slices`` are those of the same trades where they are known.
     """
-    ticks = _tick_counts(_ticked(trades.select("symbol", "event_time", "trade_id")))
-    slices = slice_carry(_counted(_sliced(ticks, params, since), params), carry)
+    slices = slices_of(trades, params, carry, since) if slices is None else slices
     kept = ("last_t", "stops_after", "cuts_after", "over_after", "n_after")
     return (
         slices.groupBy("symbol")
@@ -279,14 +290,18 @@ def carry_after(
 
 
 def _trade_state(
-    trades: DataFrame, params: Params, carry: DataFrame | None, since: int | None
+    trades: DataFrame,
+    params: Params,
+    carry: DataFrame | None,
+    since: int | None,
+    slices: DataFrame | None = None,
 ) -> DataFrame:
     """State per trade by way of the sums per tick."""
     rows = _ticked(trades)
-    counts = _counted(_sliced(_tick_counts(rows), params, since), params)
+    slices = slices_of(trades, params, carry, since) if slices is None else slices
     ticks = _counted(_sliced(_tick_sums(rows), params, since), params)
     state = _summed(ticks, params).where("own").join(
-        slice_carry(counts, carry).drop("last_t", "stops_after", "cuts_after", "over_after", "n_after"),
+        slices.drop("last_t", "stops_after", "cuts_after", "over_after", "n_after"),
         ["symbol", "slice"],
     )
     first_here = "local_prev_t IS NULL AND prev_last_t IS NOT NULL"
@@ -338,6 +353,7 @@ def rolling_state(
     params: Params = Params(),
     carry: DataFrame | None = None,
     since: int | None = None,
+    slices: DataFrame | None = None,
 ) -> DataFrame:
     """Trades with the rolling state that held just before each of them.
 
@@ -347,8 +363,9 @@ def rolling_state(
 
     With ``since`` (epoch micros), only trades from then on come out; the trades need to begin
     a look-back before it, and ``carry`` has what the symbols take over from all earlier ones.
+    ``slices`` (``slices_of``) may be given where the caller keeps them for ``carry_after`` as well.
     """
-    state = _trade_state(trades, params, carry, since)
+    state = _trade_state(trades, params, carry, since, slices)
     need = params.warmup_min_samples
     state = with_usd(fx.with_moments(state), params).select(
         "*",

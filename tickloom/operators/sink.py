@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.timing import utc_day
 from tickloom.params import Params
 from tickloom.schemas import TABLE_COLUMNS, TABLE_KEY
-from tickloom.session import fresh_path
+from tickloom.session import fresh_path, kept
 from tickloom.sources.table import read_trades, with_day, write_trades
 
 
@@ -128,7 +128,7 @@ def append_new(
     use columns that are not stored, such as an offset; it is needed wherever copies of a
     key may differ.
     """
-    rows, fresh = rows.persist(), None
+    rows, fresh = kept(rows), None
     try:
         # One row per day that the batch touches.
         days = (
@@ -154,7 +154,7 @@ def append_new(
                     moment(max((d["last"] for d in known), default=0)),
                 )
             )
-        fresh = new_rows(rows, stored, key, order).select(*TABLE_COLUMNS).persist()
+        fresh = kept(new_rows(rows, stored, key, order).select(*TABLE_COLUMNS))
         inserted = fresh.count()
         if inserted:
             write_trades(fresh, path, mode="append")

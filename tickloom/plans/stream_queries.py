@@ -99,42 +99,46 @@ def quarantine(spark, sf_dir):
     )
 
 
-def _enriched(spark, rows, label, params=SCALED, delay="0 seconds"):
-    """Run the stream of trades to its end; the enriched rows and the late ones."""
+def _enriched(spark, runs, label, params=SCALED, delay="0 seconds"):
+    """Run the stream of trades to its end, once for each of ``runs``; the enriched rows."""
     path, late = fresh_path(spark, label), fresh_path(spark, f"{label}-late")
     state, checkpoint = fresh_path(spark, "epochs"), fresh_path(spark, "checkpoint")
     sink = se.to_folders(path, late)
-    jobs.once(se.enriched_batches(rows, state, checkpoint, sink, params, delay))
+    for rows in runs:
+        jobs.once(se.enriched_batches(rows, state, checkpoint, sink, params, delay))
     return spark.read.parquet(path)
 
 
 @query("stream_enrich", ENRICHED_SQL)
 def stream_enrich(spark, sf_dir):
     """Same result as in batch; the events are in order, so no delay is needed."""
-    return _enriched(spark, trade_stream(spark, sf_dir), "enriched").select(
+    return _enriched(spark, [trade_stream(spark, sf_dir)], "enriched").select(
         *ENRICHED_TRADE.fieldNames()
     ).withColumn("z_score", F.round("z_score", 6))
 
 
 def _arrivals(spark, sf_dir):
-    """A stream of three micro-batches whose trades arrive up to an hour out of order."""
+    """A stream of three micro-batches whose trades arrive up to an hour out of order.
+
+    Gives the stream anew as each of them has come in, and at last with the heartbeat; a run takes
+    all files that are new, so a micro-batch may have any number of them.
+    """
     rows = tb.trades(spark, sf_dir)
+    now = tb.latest(rows)
     hour = 3_600 * MICROS
     # When a trade arrives: up to an hour after it happened.
     arrival = F.unix_micros("event_time") + F.pmod(F.xxhash64("trade_id"), F.lit(hour))
-    end = F.unix_micros(F.lit(tb.latest(rows)))
+    end = F.unix_micros(F.lit(now))
     third = F.lit(10 * 24) * hour
     part = F.least(F.greatest(F.floor((arrival - (end - 3 * third)) / third), F.lit(0)), F.lit(2))
     source = fresh_path(spark, "arrivals")
     placed = rows.withColumn("part", part.cast("int"))
     for n in range(3):
-        placed.where(F.col("part") == n).drop("part").coalesce(1).write.parquet(f"{source}/part={n}")
-    beat = spark.createDataFrame(
-        [(se.HEARTBEAT, 1.0, 1.0, tb.latest(rows) + timedelta(days=1), -1)], RAW_TRADE
-    )
+        placed.where(F.col("part") == n).drop("part").write.parquet(f"{source}/part={n}")
+        yield _parts(spark, source, rows.schema)
+    beat = spark.createDataFrame([(se.HEARTBEAT, 1.0, 1.0, now + timedelta(days=1), -1)], RAW_TRADE)
     beat.coalesce(1).write.parquet(f"{source}/part=3")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
-    return stream.parquet(f"{source}/part=*")
+    yield _parts(spark, source, rows.schema)
 
 
 @query("stream_enrich_shuffled", ENRICHED_SQL)
@@ -151,8 +155,8 @@ def stream_segments(spark, sf_dir):
         fresh_path(spark, n) for n in ("segments", "open-segments", "epochs", "checkpoint")
     )
     sink = segment_sink(path, left)
-    rows = _arrivals(spark, sf_dir)
-    jobs.once(se.enriched_batches(rows, state, checkpoint, sink, SCALED, "1 hour"))
+    for rows in _arrivals(spark, sf_dir):
+        jobs.once(se.enriched_batches(rows, state, checkpoint, sink, SCALED, "1 hour"))
     closed, still = spark.read.parquet(path).drop("batch"), OpenSegments(spark, left).before()
     return closed.unionByName(still)
 

@@ -22,13 +22,14 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.enrich import CARRY, carry_after, rolling_state
+from tickloom.operators.enrich import CARRY, carry_after, rolling_state, slices_of
 from tickloom.params import MICROS, Params
 from tickloom.schemas import ENRICHED_TRADE, RAW_TRADE
+from tickloom.session import kept
 
 # Trades of this symbol only move the watermark forward and never come out.
 HEARTBEAT = "__HEARTBEAT__"
@@ -125,14 +126,16 @@ def close_batch(
         trades = arrived.where(F.col("symbol") != HEARTBEAT)
         on_time = trades.where(~_behind(closed))
         everything = on_time if held is None else held.unionByName(on_time)
-        known = _first_copies(everything).persist()
+        known, slices = kept(_first_copies(everything)), None
         try:
             n_new = known.where("new").count()
             waiting = known.select(*fields)
             done = waiting if upto is None else waiting.where(_micros("event_time") < upto)
             nothing = upto is None or upto == closed
-            store_carry, since = carry, closed
-            state = rolling_state(done, params, carry, closed)
+            store_carry = carry
+            # A few rows a symbol, which the sink and the carry take both.
+            slices = kept(slices_of(done, params, carry, closed))
+            state = rolling_state(done, params, carry, closed, slices)
             if nothing:
                 state = state.where(F.lit(False))
             enriched = state.select(*ENRICHED_TRADE.fieldNames())
@@ -140,7 +143,7 @@ def close_batch(
             counts = (int(seen["received"]), int(seen["received"] - seen["late"] - n_new), int(seen["late"]))
             sink(Closed(batch_id, enriched, late, *counts, state))
             if not nothing:
-                store_carry = carry_after(done, params, carry, since)
+                store_carry = carry_after(done, params, carry, closed, slices)
                 keep = _micros("event_time") >= upto - params.lookback_us
             else:
                 keep = F.lit(True)
@@ -149,6 +152,8 @@ def close_batch(
             rest = known.where(keep).withColumn("new", F.lit(False))
             store.save(batch_id, rest, store_carry, {"closed": upto, "seen": latest})
         finally:
+            if slices is not None:
+                slices.unpersist()
             known.unpersist()
     finally:
         arrived.unpersist()
@@ -161,26 +166,15 @@ def _behind(closed: int | None) -> Column:
 def _first_copies(rows: DataFrame) -> DataFrame:
     """One row per trade: one that is held already, else the first by place, then by values.
 
-    Aggregates of numbers combine before the shuffle without a sort; only keys with copies
-    have their rows compared.
+    Rows without any place to compare all stay.
     """
-    firsts = rows.groupBy(*TRADE_KEY).agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.min(F.when(F.col("new"), F.col("place")).otherwise(F.lit(-(1 << 62)))).alias("first"),
-    )
-    firsts = firsts.where("copies > 1").select(*[F.col(c).alias(f"k_{c}") for c in TRADE_KEY], "first")
-    same = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in TRADE_KEY]
-    joined = rows.join(firsts, same, "left")
-    single = joined.where("first IS NULL").select(*rows.columns)
     own = F.when(F.col("new"), F.col("place")).otherwise(F.lit(-(1 << 62)))
-    rest = [c for c in rows.columns if c not in TRADE_KEY]
-    several = (
-        joined.where(F.col("first") == own)
-        .groupBy(*TRADE_KEY)
-        .agg(F.min(F.struct("new", "place", *[c for c in rest if c not in ("new", "place")])).alias("r"))
-        .select(*TRADE_KEY, "r.*")
+    rest = [F.col(c) for c in rows.columns if c not in (*TRADE_KEY, "new", "place")]
+    in_order = Window.partitionBy(*TRADE_KEY).orderBy(own.asc_nulls_last(), "new", "place", *rest)
+    numbered = rows.select(
+        "*", F.row_number().over(in_order).alias("_copy"), F.first(own).over(in_order).alias("_first")
     )
-    return single.unionByName(several.select(*rows.columns))
+    return numbered.where("_copy = 1 OR _first IS NULL").select(*rows.columns)
 
 
 def seconds_of(delay: str) -> int:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.enrich import segments_of
+from tickloom.session import kept
 from tickloom.streaming.enrich import KEPT_EPOCHS, Closed
 
 SEGMENT = (
@@ -77,7 +78,7 @@ def segment_sink(path: str, open_path: str) -> Callable[[Closed], None]:
         if left is not None:
             parts = parts.unionByName(left)
         # One row per symbol and segment that the batch has touched.
-        segments = merged_segments(parts).persist()
+        segments = kept(merged_segments(parts))
         try:
             last = segments.groupBy("symbol").agg(F.max("segment").alias("last"))
             marked = segments.join(last, "symbol")
