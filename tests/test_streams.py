@@ -267,6 +267,28 @@ def test_arrivals_are_written_and_read_by_several_tasks(spark, tmp_path, monkeyp
     assert all(len(data_files(f"{made['arrivals']}/part={n}")) > 1 for n in range(3))
 
 
+def test_a_topic_partition_has_several_files_in_order_of_offsets(spark, tmp_path, monkeypatch):
+    made = {}
+    monkeypatch.setattr(sq, "fresh_path", lambda s, label: made.setdefault(label, f"{tmp_path}/{label}"))
+    folder = events_folder(spark, tmp_path / "tables")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # the tables are small
+    try:
+        sq.stream_pipeline(spark, folder).count()
+    finally:
+        spark.conf.unset(coalesce)
+    for n in range(2):
+        files = data_files(f"{made['topic']}/part={n}")
+        assert len(files) > len(tb.PAIR)
+        ranges = []
+        for f in files:
+            places = [tuple(r) for r in spark.read.parquet(str(f)).select("partition", "offset").collect()]
+            assert places == sorted(places)
+            ranges += [(places[0], places[-1])] if places else []
+        ranges.sort()
+        assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
 def test_what_a_batch_keeps_has_no_more_partitions_than_its_rows_need(spark, tmp_path):
     rows = make_trades(11, 300)
     put(spark, f"{tmp_path}/in", 0, [*rows, heartbeat(rows)])

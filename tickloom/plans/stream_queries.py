@@ -269,7 +269,7 @@ UNION ALL SELECT 'refused', NULL, NULL UNION ALL SELECT 'late', {LATE_ID}, NULL"
 def stream_pipeline(spark, sf_dir):
     """The main job from a topic to the table: decode, set refused messages aside, enrich, store.
 
-    It runs twice, as after a restart. The topic has a file per partition; in both runs every
+    It runs twice, as after a restart. The topic has files by partition and offset; in both runs every
     seventh trade comes again with another price and a later offset, in the second one also trades
     of the first, and one that nobody has seen before and that comes too late.
     """
@@ -308,9 +308,9 @@ def _pipeline(spark, sf_dir, fail_once=False):
     spark.streams.addListener(log)
     try:
         for n, part in enumerate(parts):
-            # One file per partition of the topic, whose rows come in order of their offsets.
-            ordered = part.repartitionByRange(len(tb.PAIR), "partition")
-            ordered.sortWithinPartitions("offset").write.parquet(f"{topic}/part={n}")
+            # A file has a range of offsets of the topic's partitions, and its rows in their order.
+            ordered = part.repartitionByRange("partition", "offset")
+            ordered.sortWithinPartitions("partition", "offset").write.parquet(f"{topic}/part={n}")
             _run_pipeline(
                 spark, topic, (table, late, state, main), (refused, aside), counters, fail_once and n == 0
             )
