@@ -316,6 +316,12 @@ def test_strip_repeats_equals_brute_force(docs, empty, hot, monkeypatch):
     assert suffix_dedup.strip_repeats(empty).count() == 0
 
 
+def test_strip_repeats_leaves_no_shuffle_of_the_search_behind(docs):
+    plan = suffix_dedup.strip_repeats(docs)._jdf.queryExecution().toString()
+    # Anchors and segments were shuffled by plans of their own, whose files are gone.
+    assert "FlatMapGroupsInArrow" not in plan and "_compare" not in plan
+
+
 def test_multikey_quicksort_groups():
     rng = random.Random(2)
     data = bytes(rng.choice(b"ab") for _ in range(40)) * 6 + bytes(rng.choice(b"ab") for _ in range(300))

@@ -532,16 +532,19 @@ def _spans(docs: DataFrame, keyed: DataFrame, copies: DataFrame) -> DataFrame:
         .applyInArrow(_to_documents, "_id bigint, _text bigint, anchors array<bigint>")
         .dropDuplicates(["_id", "_text"])
     )
+    # Written, as the spans are: what was shuffled to find them goes from the disks.
+    survivors = written(survivors, "anchors")
     parts = (
         fresh.join(survivors, ["_id", "_text"])
         .select("_id", "_text", "anchors", "data")
         .mapInArrow(_cut(buckets, splitters), _CUT)
     )
-    return (
+    spans = (
         parts.repartition(buckets, "part")
         .sortWithinPartitions("part", "anchor")
         .mapInArrow(_compare, _SPANS)
     )
+    return written(spans, "spans")
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
