@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -650,6 +651,21 @@ def test_masking_edits_cut_what_the_pattern_finds(spark):
         assert [(e["start"], e["end"]) for e in r["e"]] == [m.span() for m in found]
 
 
+def test_masking_edits_take_long_words_in_one_pass(spark):
+    rng, pattern = random.Random(12), re.compile(r"[A-Za-z0-9._]+@[A-Za-z0-9.]+|[0-9]{7,}")
+    texts = ["a@b_c@d", "a@b@c", "1234567_x@y", "x1234567b", "a@1234567_1234567@b", "_@.", "@", "12345678_"]
+    texts += ["".join(rng.choice("a1._@ 1111111") for _ in range(rng.randrange(60))) for _ in range(400)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in rows.select("text", token_counts.masking_edits(F.col("text")).alias("e")).collect():
+        assert [(e["start"], e["end"]) for e in r["e"]] == [m.span() for m in pattern.finditer(r["text"])]
+    # From each character of a word to its end, these would be some 10 ** 11 steps.
+    texts = ["a" * 400_000 + end for end in ("", " b@c", " 1234567")]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    began = time.monotonic()
+    got = rows.select(F.size(token_counts.masking_edits(F.col("text"))).alias("n")).collect()
+    assert sorted(r["n"] for r in got) == [0, 1, 1] and time.monotonic() - began < 30
+
+
 # ---- sharding and mixing ---------------------------------------------------------------------------------------
 
 

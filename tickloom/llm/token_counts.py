@@ -246,7 +246,10 @@ def apply_edits(counted: DataFrame, tokenizer_file: str) -> DataFrame:
 
 def masking_edits(text):
     """Edits that replace e-mail addresses and numbers of seven digits or more by a mark."""
-    pattern = r"(?s)[A-Za-z0-9._]+@[A-Za-z0-9.]+|[0-9]{7,}"
+    none = F.array().cast("array<struct<start:bigint,end:bigint,replacement:string>>")
+    # A run of address characters is tried once, from its start or from the end of the match before
+    # it: from any later character it ends in the same place.
+    pattern = r"(?s)(?:\G|(?<![A-Za-z0-9._]))[A-Za-z0-9._]++@[A-Za-z0-9.]+|[0-9]{7,}"
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
     between = F.split(F.coalesce(text, F.lit("")), pattern, -1)
     # Where a match begins: all that stands before it, matches and the text between them.
@@ -254,7 +257,7 @@ def masking_edits(text):
         F.arrays_zip(found.alias("m"), F.slice(between, F.lit(1), F.size(found)).alias("b")),
         F.struct(
             F.lit(0).cast("bigint").alias("at"),
-            F.array().cast("array<struct<start:bigint,end:bigint,replacement:string>>").alias("out"),
+            none.alias("out"),
         ),
         lambda acc, x: F.struct(
             (acc["at"] + F.char_length(x["b"]) + F.char_length(x["m"])).alias("at"),
@@ -271,4 +274,5 @@ def masking_edits(text):
         ),
         lambda acc: acc["out"],
     )
-    return place
+    # Few texts have what any match needs; the others are not searched.
+    return F.when(F.contains(text, F.lit("@")) | text.rlike("[0-9]{7}"), place).otherwise(none)
