@@ -10,6 +10,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -448,6 +449,45 @@ def test_parts_of_a_passage_in_other_documents_hide_no_holder(spark):
     assert pairs <= got
 
 
+def test_windows_are_made_once_a_text_and_only_where_a_passage_may_be(monkeypatch):
+    built = []
+
+    class Seen(substring_dedup.Text):
+        def __init__(self, tokens):
+            built.append(len(tokens))
+            super().__init__(tokens)
+
+    monkeypatch.setattr(substring_dedup, "Text", Seen)
+    rng = random.Random(14)
+    fresh = lambda n: [rng.getrandbits(60) for _ in range(n)]
+    same = fresh(80)
+    x, y, z = fresh(30) + same + fresh(40), fresh(10) + same + fresh(50), fresh(7) + same
+    pairs = [(x, y), (z, y), (x, z), (x, x), (x, fresh(70) + same[:30]), (fresh(20), x), (y, z)]
+    keys = pa.array(range(len(pairs)), pa.int64())
+    columns = [keys, keys, keys, *[pa.array([p[k] for p in pairs], pa.list_(pa.int64())) for k in (0, 1)]]
+    batch = pa.RecordBatch.from_arrays(columns, ["b", "b_text", "a", "mine", "theirs"])
+    (got,) = substring_dedup._verify(iter([batch]))
+    found = {r["b"]: (r["start_word"], r["end_word"], r["source_start"]) for r in got.to_pylist()}
+    assert found == {0: (30, 114, 10), 1: (7, 91, 10), 2: (30, 114, 7), 3: (0, 154, 0), 6: (10, 94, 7)}
+    assert sorted(built) == sorted(map(len, (x, y, z)))
+
+
+def test_open_signatures_equal_the_plain_rule():
+    rng = np.random.default_rng(15)
+    for n in (100, 300, 900):
+        text = substring_dedup.Text(rng.integers(1, 1 << 63, n).astype(np.uint64))
+        sigs = [w[3] for f in text.windows for w in f]
+        shared = {h: bool(rng.random() < 0.5) for h in sigs if rng.random() < 0.6}
+        covered = np.repeat(rng.random(n // 50) < 0.5, 50)
+        want, active = set(), []
+        for w in sorted((lo, hi, c, h) for f in text.windows for lo, c, hi, h in f if h in shared):
+            active = [x for x in active if x[1] >= w[0] + substring_dedup.LEAST - 1] + [w]
+            if len({x[3] & 7 for x in active}) >= substring_dedup.FEWEST and any(shared[x[3]] for x in active):
+                want.update(x[3] for x in active if not all(covered[y[2]] for y in active))
+        assert substring_dedup.open_signatures(text, shared, covered) == want
+        assert substring_dedup.open_signatures(text, {}, covered) == set()
+
+
 def test_places_beyond_the_bits_of_a_piece(monkeypatch):
     rng = np.random.default_rng(6)
     tokens = rng.integers(1, 1 << 63, 2_000).astype(np.uint64)
