@@ -6,6 +6,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import duckdb
@@ -30,6 +31,7 @@ from tickloom.llm import (  # noqa: E402
     token_counts,
     token_files,
 )
+from tickloom.llm import text as text_module  # noqa: E402
 from tickloom.llm.elias_fano import EliasFano  # noqa: E402
 from tickloom.llm.encode import Encoder  # noqa: E402
 from tickloom.llm.queries import tokenizer_file  # noqa: E402
@@ -488,6 +490,80 @@ def test_open_signatures_equal_the_plain_rule():
         assert substring_dedup.open_signatures(text, {}, covered) == set()
 
 
+def sent_windows(texts, limit, monkeypatch):
+    """What a bucket gets of some lists of tokens, and what it gives for them."""
+    monkeypatch.setattr(substring_dedup, "_ROWS_OUT", limit)
+    keys = pa.array(range(len(texts)), pa.int64())
+    columns = [keys, keys, pa.array(texts, pa.list_(pa.int64()))]
+    sent = list(substring_dedup._send(1)(iter([pa.RecordBatch.from_arrays(columns, ["i", "t", "x"])])))
+    tracemalloc.start()
+    out = list(substring_dedup._pair_up(iter(sent)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return sum(len(s.as_py()) // 8 for batch in sent for s in batch.column("sigs")), out, peak
+
+
+def test_a_bucket_is_paired_up_in_little_memory_and_given_in_small_parts(monkeypatch):
+    rng = random.Random(21)
+    stock = [[rng.getrandbits(60) for _ in range(60)] for _ in range(200)]
+    texts = [[t for _ in range(8) for t in rng.choice(stock)] for _ in range(600)]
+    n, out, peak = sent_windows(texts, 700, monkeypatch)
+    assert len(out) > 10 and max(b.num_rows for b in out) <= 700
+    assert peak < 600 * n
+
+
+def test_pairs_and_shared_windows_of_a_bucket_equal_brute_force(monkeypatch):
+    rng = random.Random(22)
+    stock = [[rng.getrandbits(60) for _ in range(60)] for _ in range(12)]
+    texts = [[t for _ in range(rng.randrange(1, 5)) for t in rng.choice(stock)] for _ in range(30)]
+    _, out, _ = sent_windows(texts, 50, monkeypatch)
+    rows = [r for b in out for r in b.to_pylist()]
+    windows = collections.defaultdict(set)
+    for d, tokens in enumerate(texts):
+        for f in substring_dedup.Text(np.array(tokens, np.uint64)).windows:
+            for lo, c, hi, h in f:
+                windows[h].add((d, lo, c, hi))
+    pairs, shared = collections.Counter(), set()
+    for h, some in windows.items():
+        docs = sorted({w[0] for w in some})
+        for i in range(1, len(docs)):
+            for a in (docs[0], docs[i - 1]):
+                pairs[docs[i], a] |= 1 << (h & 7)
+        if len(docs) > 1:
+            shared |= {(h, *w, len(docs) > 3) for w in some}
+    assert {(r["b"], r["a"]): r["functions"] for r in rows if r["a"] is not None} == pairs
+    lone = [r for r in rows if r["a"] is None]
+    crowded = substring_dedup._CROWDED
+    got = [(r["sig"] % (1 << 64), r["b"], r["lo"], r["c"], r["hi"], r["functions"] == crowded) for r in lone]
+    assert len(got) == len(shared) and set(got) == shared
+    # Documents that go on from batch to batch come out whole.
+    lone.sort(key=lambda r: (r["b"], r["b_text"], r["sig"]))
+    names = ["b", "b_text", "sig", "lo", "c", "hi"]
+    columns = [pa.array([r[k] for r in lone], pa.int64() if i < 3 else pa.int32()) for i, k in enumerate(names)]
+    columns.append(pa.array([r["functions"] == crowded for r in lone]))
+    batch = pa.RecordBatch.from_arrays(columns, [*names, "crowded"])
+    parts = [batch.slice(i, 17) for i in range(0, len(lone), 17)]
+    packed = [r for b in substring_dedup._by_document(iter(parts)) for r in b.to_pylist()]
+    assert [r["b"] for r in packed] == sorted({r["b"] for r in lone})
+    for r in packed:
+        mine = [x for x in lone if x["b"] == r["b"]]
+        assert np.frombuffer(r["sigs"], np.int64).tolist() == [x["sig"] for x in mine]
+        assert np.frombuffer(r["spans"], np.int32).tolist() == [v for x in mine for v in (x["lo"], x["hi"])]
+        assert np.frombuffer(r["middles"], np.int32).tolist() == [x["c"] for x in mine]
+        assert list(r["crowded"]) == [x["functions"] == crowded for x in mine]
+        assert r["hot"] == any(r["crowded"])
+
+
+def test_shingles_in_python_are_those_of_spark(spark):
+    rng, texts = random.Random(23), ["", "a b c d", " A  b\tc\x0bd e\x0cF\u00a0g\u2003h \u0130 \u00c4 z "]
+    texts += [" ".join(rng.choice(["x", "Y", "y", "zz", "\u00e9", "\u00c9"]) for _ in range(90)) for _ in range(5)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for t, (want,) in zip(texts, rows.select(text_module.shingle_sequence(F.col("text"))).collect()):
+        got = substring_dedup._tokens(t.encode()).tolist()
+        first = lambda xs: [xs.index(x) for x in xs]
+        assert first(got) == first(want)
+
+
 def test_places_beyond_the_bits_of_a_piece(monkeypatch):
     rng = np.random.default_rng(6)
     tokens = rng.integers(1, 1 << 63, 2_000).astype(np.uint64)
