@@ -554,6 +554,20 @@ def test_pairs_and_shared_windows_of_a_bucket_equal_brute_force(monkeypatch):
         assert r["hot"] == any(r["crowded"])
 
 
+def test_pairs_agree_whatever_the_order_of_their_signatures():
+    rng = np.random.default_rng(24)
+    same = rng.integers(1, 1 << 63, 200).astype(np.uint64)
+    b, a = (substring_dedup.Text(np.append(same, rng.integers(1, 1 << 63, 90).astype(np.uint64))) for _ in "ba")
+    order = np.argsort(a.sigs.view(np.int64))  # negative numbers first, as Spark sorts them
+    spans = np.ascontiguousarray(b.rows[:, ::2].astype(np.int32))
+    row = [[1], [2], [3], [4], [b.sigs.tobytes()], [spans.tobytes()], [a.sigs[order].tobytes()]]
+    names = ["b", "b_text", "a", "a_text", "b_sigs", "b_spans", "a_sigs"]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in row], names)
+    (got,) = substring_dedup._agree(iter([batch]))
+    (r,) = got.to_pylist()
+    assert list(zip(r["begins"], r["ends"])) == substring_dedup._overlaps(b, a) != []
+
+
 def test_shingles_in_python_are_those_of_spark(spark):
     rng, texts = random.Random(23), ["", "a b c d", " A  b\tc\x0bd e\x0cF\u00a0g\u2003h \u0130 \u00c4 z "]
     texts += [" ".join(rng.choice(["x", "Y", "y", "zz", "\u00e9", "\u00c9"]) for _ in range(90)) for _ in range(5)]
