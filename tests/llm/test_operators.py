@@ -31,6 +31,7 @@ from tickloom.llm import (  # noqa: E402
     token_counts,
     token_files,
 )
+from tickloom.llm import shingles as by_arrays  # noqa: E402
 from tickloom.llm import text as text_module  # noqa: E402
 from tickloom.llm.elias_fano import EliasFano  # noqa: E402
 from tickloom.llm.encode import Encoder  # noqa: E402
@@ -578,6 +579,83 @@ def test_shingles_in_python_are_those_of_spark(spark):
         assert first(got) == first(want)
 
 
+def test_shingles_by_arrays_are_those_of_spark(spark, monkeypatch):
+    rng, sizes = random.Random(31), [1, 2, 3, 4, 5, 7, 8, 9, 12, 16, 31, 32, 33, 64, 65, 100]
+    word = lambda: "".join(rng.choice("abXYZ\u00e9\u65e5.") for _ in range(rng.choice(sizes)))
+    texts = ["", "  ", "a b c d", "x " * 7, *(" ".join(word() for _ in range(rng.randrange(50))) for _ in range(40))]
+    texts = [t + rng.choice(["", " ", "\t\n"]) for t in texts]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    want = dict(rows.select("id", text_module.shingle_sequence(F.col("text"))).collect())
+    keys = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([keys, keys, pa.array(texts)], ["id", "key", "text"])
+    for size in (1 << 20, 700, 1):
+        monkeypatch.setattr(by_arrays, "CHUNK_BYTES", size)
+        parts = by_arrays.with_shingles(iter([batch.slice(0, 9), batch.slice(9)]))
+        assert {r["id"]: r["tokens"] for b in parts for r in b.to_pylist()} == want
+
+
+def test_buckets_of_signatures_are_of_even_size():
+    rng = np.random.default_rng(33)
+    tokens = pa.array([rng.integers(-(1 << 63), 1 << 63, 40_000).tolist()], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), tokens], ["i", "t", "x"])
+    (sent,) = substring_dedup._send(20)(iter([batch]))
+    sizes = [len(s.as_py()) // 8 for s in sent.column("sigs")]
+    assert len(sizes) == 20 and max(sizes) < 2 * min(sizes)
+
+
+def test_open_signatures_meet_earlier_holders_as_by_brute_force(monkeypatch):
+    rng, fewest = random.Random(34), substring_dedup.FEWEST
+    monkeypatch.setattr(substring_dedup, "_ROWS_OUT", 5)
+    docs = [(rng.randrange(30), rng.getrandbits(62)) for _ in range(60)]
+    sigs = [rng.getrandbits(60) - (1 << 59) for _ in range(40)]
+    opened = {(d, s) for d in docs for s in rng.sample(sigs, rng.randrange(20))}
+    holders = {(d, s) for d in docs[:40] for s in rng.sample(sigs, rng.randrange(20))}
+    met = {(b, a): rng.randrange(1, 256) for b in docs for a in docs if a < b and rng.random() < 0.1}
+
+    def table(rows, names):
+        return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*rows)], names)
+
+    packed = []
+    for rows, earlier in ((opened, False), (holders, True)):
+        batch = table([(*d, s) for d, s in sorted(rows)], ["x", "text", "sig"])
+        packed += substring_dedup._by_bucket(3, earlier)(iter([batch]))
+    by_bucket = collections.defaultdict(list)
+    for batch in packed:
+        for i, bucket in enumerate(batch.column("bucket").to_pylist()):
+            by_bucket[bucket].append(batch.slice(i, 1))
+    parts = collections.defaultdict(list)
+    rows = [x for some in by_bucket.values() for b in substring_dedup._meet(2)(iter(some)) for x in b.to_pylist()]
+    known = table([(*b, *a, f) for (b, a), f in met.items()], ["b", "b_text", "a", "a_text", "functions"])
+    rows += substring_dedup._met(known, 2).to_pylist()
+    for r in rows:
+        parts[r["part"]].append({n: r.get(n) for n in substring_dedup._ASKED_SCHEMA.names})
+    got = [
+        tuple(x.values())
+        for some in parts.values()
+        for b in substring_dedup._count(iter([pa.RecordBatch.from_pylist(some, substring_dedup._ASKED_SCHEMA)]))
+        for x in b.to_pylist()
+    ]
+    want = set()
+    for b in docs:
+        for a in docs:
+            now = {s & 7 for d, s in opened if d == b and (a, s) in holders}
+            before = {f for f in range(8) if met.get((b, a), 0) >> f & 1}
+            if a < b and now and len(now | before) >= fewest > len(before):
+                want.add((*b, *a))
+    assert len(got) == len(want) and set(got) == want and want
+
+
+def test_stretches_of_repeated_lines_are_not_tried_again(monkeypatch):
+    asked, call = [], substring_dedup._Bounds.__call__
+    monkeypatch.setattr(substring_dedup._Bounds, "__call__", lambda *x: asked.append(1) or call(*x))
+    rng = random.Random(35)
+    line = [rng.getrandbits(60) for _ in range(70)]
+    text, other = line * 12, line[:25] + [rng.getrandbits(60) for _ in range(30)] + line[30:] * 2
+    b, a = (substring_dedup.Text(np.array(x, np.uint64)) for x in (text, other))
+    substring_dedup.passages(b, a, [(0, len(text))])
+    assert len(asked) < 100
+
+
 def test_places_beyond_the_bits_of_a_piece(monkeypatch):
     rng = np.random.default_rng(6)
     tokens = rng.integers(1, 1 << 63, 2_000).astype(np.uint64)
